@@ -7,10 +7,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 _PRICES = ("open", "high", "low", "close")
+_PARSED = ("open_time", "close_time", "trade_count")
 
 
 def is_sane(df: DataFrame) -> Column:
-    """Prices above zero, high at or above low, volume at or above zero, all of them finite numbers."""
+    """Prices above zero, high at or above low, volume at or above zero, all of them finite numbers.
+
+    Times and trade count, where ``df`` has them, have to have parsed.
+    """
 
     def number(name: str) -> Column:
         c = F.col(name)
@@ -20,6 +24,7 @@ def is_sane(df: DataFrame) -> Column:
 
     checks = [number(c) > 0 for c in _PRICES]
     checks += [number("high") >= number("low"), number("volume") >= 0]
+    checks += [F.col(c).isNotNull() for c in _PARSED if c in df.columns]
     all_hold = checks[0]
     for check in checks[1:]:
         all_hold = all_hold & check

@@ -63,6 +63,11 @@ GOLD_NAME = {"hour": "hourly_candle_metrics", "day": "daily_candle_metrics"}
 ROLLUP_NAME = {"hour": "candle_rollups_hourly", "day": "candle_rollups_daily"}
 
 
+def _last_in_list() -> list:
+    """Of a coin listed twice, the later entry of the list, which is sorted by cap, stays."""
+    return [F.asc_nulls_first("market_cap_usd")]
+
+
 def candle_work_list(spark: SparkSession, tables: Tables, as_of: datetime, interval: str = "1h") -> DataFrame:
     """Coins with an exchange symbol and the time to read each from."""
     coins = tables.read(spark, "coins").filter(F.col("binance_symbol").isNotNull()).select("coin_id", "binance_symbol")
@@ -71,7 +76,7 @@ def candle_work_list(spark: SparkSession, tables: Tables, as_of: datetime, inter
 
 def ingest_candles(
     spark: SparkSession, tables: Tables, raw: DataFrame, as_of: datetime, interval: str = "1h"
-) -> DataFrame:
+) -> dict[str, int]:
     """Landed candle responses (``coin_id, body``) into bronze, watermarks and snapshot prices.
 
     The order matters: bronze first, then the watermarks, so that a failed load never moves
@@ -79,21 +84,21 @@ def ingest_candles(
     not JSON among them.
     """
     parsed = landed.parse_klines(raw, interval, as_of)
-    rows = staged(parsed.withColumn("sane", is_sane(parsed)), "candles")
-    kept = rows.filter("sane")
-    append(kept, tables.path("bronze_candles"), layout.BRONZE)
+    with staging(parsed.withColumn("sane", is_sane(parsed)), "candles") as rows:
+        kept = rows.filter("sane")
+        append(kept, tables.path("bronze_candles"), layout.BRONZE)
 
-    marks = incremental.new_watermarks(kept).withColumn("updated_at", at(as_of))
-    upsert_table(tables.path("ingestion_watermarks"), marks, layout.WATERMARKS)
+        marks = incremental.new_watermarks(kept).withColumn("updated_at", at(as_of))
+        upsert_table(tables.path("ingestion_watermarks"), marks, layout.WATERMARKS)
 
-    prices = incremental.latest_closed(rollup.silver(kept), as_of)
-    prices = prices.withColumn("price_source", F.lit(S.EXCHANGE_PRICE_SOURCE))
-    newer = F.col("t.updated_at") < F.col("s.updated_at")
-    upsert_table(tables.path("coin_snapshots"), prices, layout.SNAPSHOTS, when=newer)
+        prices = incremental.latest_closed(rollup.silver(kept), as_of)
+        prices = prices.withColumn("price_source", F.lit(S.EXCHANGE_PRICE_SOURCE))
+        newer = F.col("t.updated_at") < F.col("s.updated_at")
+        upsert_table(tables.path("coin_snapshots"), prices, layout.SNAPSHOTS, when=newer)
 
-    failed = landed.unparsed(raw, S.KLINE_BATCH).agg(F.count("*").alias("failed"))
-    counts = job_counters(rows, {"kept": F.col("sane"), "skipped": ~F.col("sane")})
-    return counts.select("*", F.lit(failed.first()["failed"]).alias("failed"))
+        counts = job_counters(rows, {"kept": F.col("sane"), "skipped": ~F.col("sane")}).first().asDict()
+    counts["failed"] = landed.unparsed(raw, S.KLINE_BATCH).count()
+    return counts
 
 
 def refresh_silver(
@@ -151,19 +156,19 @@ def sync_serving(
 
 def seed_coins(
     spark: SparkSession, tables: Tables, raw_list: DataFrame, raw_symbols: DataFrame, n: int = registry.TOP_N
-) -> DataFrame:
+) -> dict[str, int]:
     """Top coins with their exchange symbols into ``coins``; returns how many matched."""
     coins = registry.top_coins(landed.parse_markets(raw_list), n)
     pairs = registry.trading_pairs(landed.parse_symbols(raw_symbols))
-    matched = staged(registry.match_symbols(coins, pairs), "seed")
-    upsert_table(
-        tables.path("coins"),
-        matched.select(*S.COINS.names, "market_cap_usd"),
-        layout.COINS,
-        order_by=[F.asc_nulls_first("market_cap_usd")],
-    )
     found = F.col("binance_symbol").isNotNull()
-    return job_counters(matched, {"matched": found, "unmatched": ~found})
+    with staging(registry.match_symbols(coins, pairs), "seed") as matched:
+        upsert_table(
+            tables.path("coins"),
+            matched.select(*S.COINS.names, "market_cap_usd"),
+            layout.COINS,
+            order_by=_last_in_list(),
+        )
+        return job_counters(matched, {"matched": found, "unmatched": ~found}).first().asDict()
 
 
 def snapshot_changes() -> dict:
@@ -213,19 +218,17 @@ def refresh_coins(
 
     Exchange symbols already known are kept. Returns whether listings were refreshed.
     """
-    # A coin listed twice: the later, lower-cap entry is the one that stays.
-    last_in_list = [F.asc_nulls_first("market_cap_usd")]
     with staging(registry.top_coins(landed.parse_markets(raw_list), n), "coin-list") as markets:
         upsert_table(
             tables.path("coins"),
             markets.select("coin_id", "symbol", "name", "market_cap_usd"),
             layout.COINS,
             update=["symbol", "name"],
-            order_by=last_in_list,
+            order_by=_last_in_list(),
         )
         rows = snapshot_rows(markets, tables.read(spark, "coins"), as_of)
         upsert_table(
-            tables.path("coin_snapshots"), rows, layout.SNAPSHOTS, update=snapshot_changes(), order_by=last_in_list
+            tables.path("coin_snapshots"), rows, layout.SNAPSHOTS, update=snapshot_changes(), order_by=_last_in_list()
         )
     if raw_tickers is None or not incremental.due(as_of, listings_hour):
         return False

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wickwork import layout
 from wickwork.sinks.tables import append
@@ -12,12 +12,12 @@ from wickwork.sources.landed import bronze_to_json, read_candle_ndjson
 def stage_ndjson(bronze: DataFrame, path: str, rows_per_file: int = 2_000_000) -> None:
     """Candles as JSON lines, one folder per coin.
 
-    Rows are range-partitioned by coin and time first: a coin's lines end in few files, and
-    a coin with much of the data is spread over many.
+    Rows are gathered by coin first, so a coin's lines end in few files; a coin with much of
+    the data is split over many tasks when the sizes are known.
     """
-    lines = bronze.repartitionByRange("coin_id", "open_time")
     (
-        bronze_to_json(lines)
+        bronze_to_json(bronze)
+        .hint("rebalance", F.col("coin_id"))
         .write.partitionBy("coin_id")
         .option("maxRecordsPerFile", rows_per_file)
         .mode("overwrite")

@@ -27,7 +27,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def create_table(spark: SparkSession, path: str, layout: Layout) -> None:
     """An empty table, unless there is one already."""
     if not table_exists(spark, path):
-        spark.createDataFrame([], layout.stored_schema()).write.parquet(path)
+        empty = spark.createDataFrame([], layout.stored_schema())
+        empty.write.partitionBy(layout.partition).parquet(path)
 
 
 def partition_values(spark: SparkSession, path: str, layout: Layout) -> list[str]:

@@ -109,14 +109,10 @@ def select_archive_files(keys: DataFrame) -> DataFrame:
     is a partial aggregate, so a symbol with very many files costs one row per task.
     """
     zips = key_parts(keys.filter(F.col("key").endswith(".zip")))
+    # As a date the month keeps the aggregate hash-based; a text maximum would have to sort.
+    month = F.concat("year_month", F.lit("-01")).try_cast("date")
     newest = (
-        zips.filter(~F.col("is_daily")).groupBy("symbol", "interval").agg(F.max("year_month").alias("newest_month"))
+        zips.filter(~F.col("is_daily")).groupBy("symbol", "interval").agg(F.max(month).alias("newest_month"))
     )
-    monthly = zips.filter(~F.col("is_daily"))
-    daily = (
-        zips.filter("is_daily")
-        .join(newest, ["symbol", "interval"], "left")
-        .filter(F.col("newest_month").isNull() | (F.col("year_month") > F.col("newest_month")))
-        .drop("newest_month")
-    )
-    return monthly.unionByName(daily)
+    wanted = ~F.col("is_daily") | F.col("newest_month").isNull() | (month > F.col("newest_month"))
+    return zips.join(newest, ["symbol", "interval"], "left").filter(wanted).select(*zips.columns)
