@@ -73,7 +73,7 @@ def test_candles_from_response_to_chart(spark, tables):
     assert tables.read(spark, "bronze_candles").count() == 7
     assert tables.read(spark, "coin_snapshots").filter("coin_id = 'bit'").first()["price_usd"] == 16
 
-    jobs.refresh_silver(spark, tables)
+    jobs.rebuild_silver(spark, tables)
     silver = tables.read(spark, "silver_candles")
     assert silver.count() == 5
     assert silver.filter("coin_id = 'bit' and hour(open_time) = 2").first()["close"] == 15
@@ -96,7 +96,7 @@ def test_every_job_may_run_again(spark, tables):
     seen = []
     for _ in range(2):
         jobs.ingest_candles(spark, tables, raw, as_of)
-        jobs.refresh_silver(spark, tables)
+        jobs.refresh_silver(spark, tables, START)
         jobs.rebuild_gold(spark, tables, "hour", as_of=as_of)
         jobs.sync_serving(spark, tables, "hour", as_of)
         seen.append([sorted(map(str, tables.read(spark, n).collect())) for n in names])
@@ -108,7 +108,7 @@ def test_incremental_rebuild_keeps_older_hours_of_the_day(spark, tables):
     raw = landed(spark, bit=[kline(h, str(10 + h)) for h in range(20)])
     as_of = utc(2024, 1, 10, 20)
     jobs.ingest_candles(spark, tables, raw, as_of)
-    jobs.refresh_silver(spark, tables)
+    jobs.rebuild_silver(spark, tables)
     jobs.rebuild_gold(spark, tables, "hour")
     full = sorted(map(str, tables.read(spark, "hourly_candle_metrics").collect()))
     jobs.rebuild_gold(spark, tables, "hour", as_of=as_of)
@@ -117,8 +117,8 @@ def test_incremental_rebuild_keeps_older_hours_of_the_day(spark, tables):
 
 def test_silver_refresh_without_news_writes_nothing(spark, tables):
     jobs.ingest_candles(spark, tables, landed(spark, bit=[kline(0, "10")]), utc(2024, 1, 10, 5))
-    assert jobs.refresh_silver(spark, tables) == [date(2024, 1, 10)]
-    assert jobs.refresh_silver(spark, tables, published_after=utc(2024, 1, 10, 5)) == []
+    assert jobs.refresh_silver(spark, tables, START) == [date(2024, 1, 10)]
+    assert jobs.refresh_silver(spark, tables, START, published_after=utc(2024, 1, 10, 5)) == []
 
 
 def test_coin_refresh_leaves_exchange_prices_alone(spark, tables):

@@ -131,8 +131,8 @@ def test_pruning_drops_old_partitions_unread(spark, tmp_path, table, unit):
     times = [start + timedelta(hours=12 * i) for i in range(120)]
     T.upsert_table(path, bars(spark, *[("a", t, 1) for t in times]), table)
     as_of = utc(2024, 2, 20, 6)
-    T.prune_table(spark, path, table, as_of, days=10)
     limit = as_of - timedelta(days=10)
+    assert T.prune_table(spark, path, table, as_of, days=10) == sum(t < limit for t in times)
     left = [r[0] for r in layout.read_table(spark, path, table).select(F.unix_timestamp("bucket_start")).collect()]
     assert sorted(left) == [t.timestamp() for t in times if t >= limit]
     edge = "2024-02-10" if unit == "date" else "2024-02"

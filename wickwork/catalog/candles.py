@@ -193,7 +193,7 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[jobs.Tables, datetime]
     kept, _ = sane(shapes.bronze(spark, sf_dir))
     mid = F.lit(str(_MID)).cast("timestamp")
     append(kept.filter(F.col("publish_time") < mid), tables.path("bronze_candles"), layout.BRONZE)
-    jobs.refresh_silver(spark, tables)
+    jobs.rebuild_silver(spark, tables)
     jobs.rebuild_gold(spark, tables, "hour")
     jobs.rebuild_gold(spark, tables, "day")
     append(kept.filter(F.col("publish_time") >= mid), tables.path("bronze_candles"), layout.BRONZE)

@@ -101,17 +101,22 @@ def ingest_candles(
     return counts
 
 
+def rebuild_silver(spark: SparkSession, tables: Tables) -> None:
+    """Silver from all of bronze, in one pass."""
+    bronze = tables.read(spark, "bronze_candles").drop("month")
+    write_partitions(rollup.silver(bronze), tables.path("silver_candles"), layout.SILVER)
+
+
 def refresh_silver(
-    spark: SparkSession, tables: Tables, since: datetime | None = None, published_after: datetime | None = None
-) -> list:
-    """Merge bronze versions into silver; returns the days that changed.
+    spark: SparkSession, tables: Tables, since: datetime, published_after: datetime | None = None
+) -> list[date]:
+    """Merge bronze versions of candles from ``since`` on into silver; returns the days that changed.
 
-    ``since`` bounds the candles by open time, which bronze partitions prune by, and
-    ``published_after`` by publish time. With nothing new in bronze nothing is written.
+    ``since`` bounds candles by open time, which bronze partitions prune by, and
+    ``published_after`` versions by publish time. With nothing new in bronze nothing is written.
     """
     bronze = tables.read(spark, "bronze_candles")
-    if since is not None:
-        bronze = bronze.filter((F.col("month") >= utc(since).strftime("%Y-%m")) & (F.col("open_time") >= at(since)))
+    bronze = bronze.filter((F.col("month") >= utc(since).strftime("%Y-%m")) & (F.col("open_time") >= at(since)))
     if published_after is not None:
         bronze = bronze.filter(F.col("publish_time") > at(published_after))
     return merge_into_silver(bronze.drop("month"), tables.path("silver_candles"))
@@ -143,7 +148,7 @@ def sync_serving(
     interval: str = "1h",
     lookback: timedelta | None = None,
 ) -> int:
-    """Recent gold buckets into the serving table, then the retention limit; returns pruned partitions."""
+    """Recent gold buckets into the serving table, then the retention limit; returns the rows pruned."""
     lookback = serving.SYNC_LOOKBACK[unit] if lookback is None else lookback
     first = (utc(as_of) - lookback).date()
     gold = tables.read(spark, GOLD_NAME[unit]).filter(F.col("date") >= F.lit(first))
@@ -254,17 +259,17 @@ def backfill_candles(
     """
     coins = tables.read(spark, "coins").filter(F.col("binance_symbol").isNotNull()).select("coin_id", "binance_symbol")
     coins = first_coins(coins, limit_coins)
+    named = F.col("symbol") == F.col("binance_symbol")
     keys = archive.select_archive_files(archive.archive_keys(spark, archive_path))
-    keys = keys.filter(F.col("interval") == interval)
-    keys = keys.join(coins, F.col("symbol") == F.col("binance_symbol"), "left_semi")
-    lines = archive.read_kline_archive(spark, archive_path, keys).withColumnRenamed("path", "key")
-    lines = archive.key_parts(lines).join(coins, F.col("symbol") == F.col("binance_symbol"))
-    loaded = staged(lines, "archive-lines")
-    stage_ndjson(landed.archive_to_bronze(loaded, interval, as_of), staging_path)
-    load_ndjson(spark, f"{staging_path}/*/*", tables.path("bronze_candles"))
-    return loaded.groupBy("coin_id").agg(
-        F.count_distinct("key").alias("files"), F.count("*").alias("rows")
-    )
+    keys = keys.filter(F.col("interval") == interval).join(coins, named)
+    with staging(keys.select("key", "coin_id"), "archive-keys") as wanted:
+        lines = archive.read_kline_archive(spark, archive_path, wanted).withColumnRenamed("path", "key")
+        lines = archive.key_parts(lines).join(coins, named)
+        stage_ndjson(landed.archive_to_bronze(lines, interval, as_of), staging_path)
+        load_ndjson(spark, f"{staging_path}/*/*", tables.path("bronze_candles"))
+        files = staged(wanted.groupBy("coin_id").agg(F.count("*").alias("files")), "backfill-files")
+    rows = spark.read.text(staging_path).groupBy(F.col("coin_id").cast("string")).agg(F.count("*").alias("rows"))
+    return files.join(rows, "coin_id", "left").na.fill(0, ["rows"])
 
 
 def backfill_market_caps(spark: SparkSession, tables: Tables, raw: DataFrame) -> None:

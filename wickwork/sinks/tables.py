@@ -39,11 +39,6 @@ def partition_values(spark: SparkSession, path: str, layout: Layout) -> list[str
     return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
 
-def _drop_partitions(spark: SparkSession, path: str, layout: Layout, values: Sequence[str]) -> None:
-    for value in values:
-        remove(spark, f"{path}/{layout.partition}={value}")
-
-
 def _sorted_for_write(df: DataFrame, layout: Layout) -> DataFrame:
     """Rows gathered by partition and sorted inside it.
 
@@ -123,41 +118,48 @@ def prune_table(
     days: int | None = None,
     months: int | None = None,
 ) -> int:
-    """Drop rows older than the limit and return how many partitions went or were rewritten.
+    """Drop rows older than the limit and return their number.
 
-    Partitions before the limit's own are dropped as directories without reading them; only
-    the one the limit falls in is rewritten.
+    Partitions before the limit's own are dropped as directories, their rows counted from
+    file footers; only the partition the limit falls in is rewritten.
     """
     limit = cutoff(as_of, days, months)
     edge = spark.range(1).select(layout.partition_literal(limit).cast("string")).first()[0]
     stored = partition_values(spark, path, layout)
     gone = [v for v in stored if v < edge]
-    _drop_partitions(spark, path, layout, gone)
-    if edge not in stored:
-        return len(gone)
-    old = F.col(layout.source) < limit
-    return len(gone) + _delete_in(spark, path, layout, [edge], old)
+    pruned = 0
+    if gone:
+        before = F.col(layout.partition) < F.lit(edge).cast(layout.partition_type)
+        pruned = read_table(spark, path, layout).filter(before).count()
+        for value in gone:
+            remove(spark, f"{path}/{layout.partition}={value}")
+    if edge in stored:
+        pruned += _delete_in(spark, path, layout, [edge], F.col(layout.source) < limit)
+    return pruned
 
 
 def delete_from_table(spark: SparkSession, path: str, layout: Layout, condition: Column) -> int:
-    """Delete rows by predicate, rewriting only the partitions that have such rows; returns their number."""
+    """Delete rows by predicate and return their number; only partitions that hold such rows are rewritten."""
     hit = read_table(spark, path, layout).filter(F.coalesce(condition, F.lit(False)))
     values = [r[0] for r in hit.select(F.col(layout.partition).cast("string")).distinct().collect()]
-    return _delete_in(spark, path, layout, values, condition)
+    return _delete_in(spark, path, layout, values, condition) if values else 0
 
 
 def _delete_in(spark: SparkSession, path: str, layout: Layout, values: list[str], condition: Column) -> int:
-    table = read_table(spark, path, layout)
-    inside = table.filter(F.col(layout.partition).isin([_typed(v, layout) for v in values]))
-    if inside.filter(F.coalesce(condition, F.lit(False))).isEmpty():
-        return 0
-    kept = delete_where(inside, condition)
-    # A dynamic overwrite leaves a partition alone when no rows remain for it.
-    left = {r[0] for r in kept.select(F.col(layout.partition).cast("string")).distinct().collect()}
-    write_partitions(kept, path, layout)
-    _drop_partitions(spark, path, layout, [v for v in values if v not in left])
-    return len(values)
-
-
-def _typed(value: str, layout: Layout):
-    return F.lit(value).cast(layout.partition_type)
+    chosen = F.col(layout.partition).isin([F.lit(v).cast(layout.partition_type) for v in values])
+    inside = read_table(spark, path, layout).filter(chosen)
+    deletes = F.coalesce(condition, F.lit(False))
+    counts = {
+        r["value"]: (r["deleted"], r["kept"])
+        for r in inside.groupBy(F.col(layout.partition).cast("string").alias("value"))
+        .agg(F.count_if(deletes).alias("deleted"), F.count_if(~deletes).alias("kept"))
+        .collect()
+    }
+    deleted = sum(d for d, _ in counts.values())
+    if deleted:
+        write_partitions(delete_where(inside, condition), path, layout)
+        # A dynamic overwrite leaves a partition alone when no rows remain for it.
+        for value, (_, kept) in counts.items():
+            if kept == 0:
+                remove(spark, f"{path}/{layout.partition}={value}")
+    return deleted

@@ -46,6 +46,11 @@ def broker_messages(records: DataFrame) -> DataFrame:
     )
 
 
+def broker_stream(spark: SparkSession, **options: str) -> DataFrame:
+    """Messages straight from Kafka; needs Spark's Kafka connector on the class path."""
+    return broker_messages(spark.readStream.format("kafka").options(**options).load())
+
+
 def _rfc3339(text: Column) -> Column:
     return F.when(text.rlike(_RFC3339), text.try_cast("timestamp"))
 
@@ -57,34 +62,39 @@ def parse_events(messages: DataFrame, subscription: str) -> DataFrame:
     alone; a payload field of that name is ignored like any other unknown field.
     """
     parsed = F.from_json("value", S.EVENT, {"columnNameOfCorruptRecord": "malformed"})
-    e = lambda name: F.col("e")[name]
-    # Exploding a one-element array parses each message once. As a plain column the parse
-    # would be copied into every check when a filter on ``reason`` is pushed below it.
-    return messages.select("*", F.explode(F.array(parsed)).alias("e")).select(
-        *[e(c).alias(c) for c in _TEXT_FIELDS],
-        *[_rfc3339(e(c)).alias(c) for c in _TIME_FIELDS],
-        *[money(e(c)).alias(c) for c in _AMOUNT_FIELDS],
-        *[e(c).alias(c) for c in _OTHER_FIELDS],
+    raw = lambda name: F.col("e")[name]
+    typed = F.struct(
+        *[_rfc3339(raw(c)).alias(c) for c in _TIME_FIELDS], *[money(raw(c)).alias(c) for c in _AMOUNT_FIELDS]
+    )
+    # Exploding one-element arrays parses each message and each field once. As plain columns
+    # they would be copied into every check when a filter on ``reason`` is pushed below them.
+    rows = messages.select("*", F.explode(F.array(parsed)).alias("e"))
+    rows = rows.select("*", F.explode(F.array(typed)).alias("x"))
+    return rows.select(
+        *[raw(c).alias(c) for c in _TEXT_FIELDS],
+        *[F.col("x")[c].alias(c) for c in (*_TIME_FIELDS, *_AMOUNT_FIELDS)],
+        *[raw(c).alias(c) for c in _OTHER_FIELDS],
         "publish_time",
         F.lit(subscription).alias("subscription_name"),
         "message_id",
         "attributes",
         "value",
-        _reason(e).alias("reason"),
+        _reason().alias("reason"),
     )
 
 
-def _reason(e: Callable[[str], Column]) -> Column:
+def _reason() -> Column:
     """Why a message cannot be stored: the first check it fails, or null."""
-    reason = F.when(F.col("e").isNull() | e("malformed").isNotNull(), F.lit("malformed JSON"))
+    raw, typed = (lambda c: F.col("e")[c]), (lambda c: F.col("x")[c])
+    reason = F.when(F.col("e").isNull() | raw("malformed").isNotNull(), F.lit("malformed JSON"))
     for name in _TEXT_FIELDS:
-        reason = reason.when(~present(e(name)), F.lit(f"missing required field: {name}"))
+        reason = reason.when(~present(raw(name)), F.lit(f"missing required field: {name}"))
     for name in (*_TIME_FIELDS, *_AMOUNT_FIELDS, *_OTHER_FIELDS):
-        reason = reason.when(e(name).isNull(), F.lit(f"missing required field: {name}"))
+        reason = reason.when(raw(name).isNull(), F.lit(f"missing required field: {name}"))
     for name in _TIME_FIELDS:
-        reason = reason.when(_rfc3339(e(name)).isNull(), F.lit(f"not an RFC 3339 time: {name}"))
+        reason = reason.when(typed(name).isNull(), F.lit(f"not an RFC 3339 time: {name}"))
     for name in _AMOUNT_FIELDS:
-        reason = reason.when(money(e(name)).isNull(), F.lit(f"not an amount: {name}"))
+        reason = reason.when(typed(name).isNull(), F.lit(f"not an amount: {name}"))
     return reason
 
 
