@@ -99,7 +99,7 @@ def silver(spark):
 @pytest.mark.parametrize("granularity", [None, "hour", "day"])
 def test_rollup_and_table_agree(spark, silver, granularity, tmp_path):
     write_rollup(silver, M.CANDLES, NAME, str(tmp_path / "r"), NOW)
-    stored = read_rollup(spark, str(tmp_path / "r"))
+    stored = read_rollup(silver, M.CANDLES, NAME, str(tmp_path / "r"))
     query = spec(
         ["count", "high", "low", "volume", "trade_count"],
         ["coin_id"],
@@ -110,7 +110,8 @@ def test_rollup_and_table_agree(spark, silver, granularity, tmp_path):
     assert M.choose_source(M.CANDLES, query, NOW) == NAME
     base = M.metric_query(silver, M.CANDLES, query, NOW)
     routed = M.metric_query(silver, M.CANDLES, query, NOW, {NAME: stored})
-    assert "part" in routed._jdf.queryExecution().optimizedPlan().toString() or routed.count() > 0
+    text = routed._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in text and "Scan ExistingRDD" not in text
     assert rows_of(base, *base.columns) == rows_of(routed, *base.columns)
 
 

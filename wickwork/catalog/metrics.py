@@ -37,7 +37,7 @@ def metric_query_rollup(spark, sf_dir):
     name, path = "candles_by_coin_and_hour", new_folder(spark, "rollup")
     silver = sane_silver(spark, sf_dir)
     write_rollup(silver, CANDLES, name, path, EVENTS_AS_OF)
-    return metric_query(silver, CANDLES, BY_COIN, EVENTS_AS_OF, {name: read_rollup(spark, path)})
+    return metric_query(silver, CANDLES, BY_COIN, EVENTS_AS_OF, {name: read_rollup(silver, CANDLES, name, path)})
 
 
 @query(
@@ -131,4 +131,4 @@ def rollup_refresh(spark, sf_dir):
     gold, early = hourly_gold(spark, sf_dir), datetime(2024, 1, 16)
     write_rollup(gold.filter("hour < timestamp'2024-01-16'"), HOURLY, name, path, early)
     write_rollup(gold, HOURLY, name, path, EVENTS_AS_OF, changed_since=early)
-    return read_rollup(spark, path)
+    return read_rollup(gold, HOURLY, name, path)

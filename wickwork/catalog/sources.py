@@ -75,14 +75,15 @@ def markets_parse(spark, sf_dir):
 
 
 def raw_tickers(spark, sf_dir):
-    """One response per line item; line 7 lacks its exchange and line 6 has an empty target."""
-    line = F.col("pos") % 10
+    """One response per line item; returned items lack their exchange, open accepted ones have an empty target."""
+    returned = F.col("base_symbol") == "R"
+    open_accepted = (F.col("base_symbol") == "A") & (F.col("target_symbol") == "O")
     ticker = F.struct(
         F.col("base_symbol").alias("base"),
-        F.when(line == 6, "").otherwise(F.col("target_symbol")).alias("target"),
+        F.when(open_accepted, "").otherwise(F.col("target_symbol")).alias("target"),
         F.lit("green").alias("trust_score"),
         F.date_format("last_traded_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_traded_at"),
-        F.when(line != 7, F.struct(F.col("exchange_id").alias("identifier"))).alias("market"),
+        F.when(~returned, F.struct(F.col("exchange_id").alias("identifier"))).alias("market"),
         F.struct(F.col("price_usd").alias("usd")).alias("converted_last"),
         F.struct(F.col("volume_usd_24h").alias("usd")).alias("converted_volume"),
     )
@@ -94,7 +95,8 @@ def raw_tickers(spark, sf_dir):
     "tickers_parse",
     ctes(LISTINGS)
     + """SELECT coin_id, exchange_id, base_symbol, target_symbol, price_usd, volume_usd_24h,
-      'green' AS trust_score, last_traded_at, 0 AS pos FROM listings WHERE pos % 10 NOT IN (6, 7)""",
+      'green' AS trust_score, last_traded_at, 0 AS pos FROM listings
+    WHERE base_symbol <> 'R' AND NOT (base_symbol = 'A' AND target_symbol = 'O')""",
 )
 def tickers_parse(spark, sf_dir):
     return landed.parse_tickers(raw_tickers(spark, sf_dir))

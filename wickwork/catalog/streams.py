@@ -13,32 +13,33 @@ from wickwork.layout import read_table
 from wickwork.session import new_folder
 from wickwork.streaming import events as stream
 
-# Which events are spoilt, and how.
-_KIND = "event_id % 10"
+# The number in an event's properties says whether its message is spoilt, and how.
+_NUMBER = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of candle messages.
 
-    Payloads carry two fields the schema does not name. Some are spoilt by their id's last
-    digit: 0 has no coin, 1 an epoch number for a time, 2 is cut short, 3 a price that is
-    no number.
+    Payloads carry two fields the schema does not name. The number ``k`` in an event's
+    properties spoils some: below 10 the coin is missing, below 20 a time is an epoch
+    number, below 30 the text is cut short, below 40 a price is no number.
     """
     schema = shapes.table(spark, sf_dir, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    kind = F.col("event_id") % 10
+    k = F.col("k")
     columns = shapes._candle_columns(F.date_trunc("hour", F.col("ts")))
-    b = source.select("event_id", *columns)
+    number = F.get_json_object("props", "$.k").cast("bigint")
+    b = source.select("event_id", number.alias("k"), *columns)
     text = lambda c: F.col(c).cast("decimal(38,2)").cast("string")
     payload = F.to_json(
         F.struct(
-            F.when(kind != 0, F.col("coin_id")).alias("coin_id"),
+            F.when(k >= 10, F.col("coin_id")).alias("coin_id"),
             F.col("interval"),
-            F.when(kind == 1, F.unix_millis("open_time").cast("string"))
+            F.when((k >= 10) & (k < 20), F.unix_millis("open_time").cast("string"))
             .otherwise(iso_instant(F.col("open_time")))
             .alias("open_time"),
             iso_instant(F.col("close_time")).alias("close_time"),
-            F.when(kind == 3, "n/a").otherwise(text("open")).alias("open"),
+            F.when((k >= 30) & (k < 40), "n/a").otherwise(text("open")).alias("open"),
             *[text(c).alias(c) for c in ("high", "low", "close", "volume", "quote_volume")],
             F.col("trade_count"),
             F.col("is_closed"),
@@ -47,7 +48,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return b.select(
-        F.when(kind == 2, F.substring(payload, 1, 20)).otherwise(payload).alias("value"),
+        F.when((k >= 20) & (k < 30), F.substring(payload, 1, 20)).otherwise(payload).alias("value"),
         "publish_time",
         F.col("event_id").cast("string").alias("message_id"),
         F.lit(None).cast("string").alias("attributes"),
@@ -62,12 +63,13 @@ def _finish(run) -> None:
     run.awaitTermination()
 
 
-_GOOD = f"{_KIND} > 3"
+_GOOD = "k >= 40"
+_BRONZE = BRONZE.replace("event_id\n", f"event_id, {_NUMBER} AS k\n")
 
 
 @query(
     "stream_bronze",
-    ctes(BRONZE)
+    ctes(_BRONZE)
     + f"""SELECT {SILVER_COLUMNS}, publish_time, 'bronze' AS subscription_name, CAST(event_id AS VARCHAR) AS message_id,
       CAST(NULL AS VARCHAR) AS attributes FROM bronze WHERE {_GOOD}""",
 )
@@ -81,9 +83,9 @@ def stream_bronze(spark, sf_dir):
 @query(
     "stream_dead_letter",
     f"""SELECT CAST(event_id AS VARCHAR) AS message_id, ts AS publish_time, 'bronze' AS subscription_name,
-      CASE {_KIND} WHEN 0 THEN 'missing required field: coin_id' WHEN 1 THEN 'not an RFC 3339 time: open_time'
-        WHEN 2 THEN 'malformed JSON' ELSE 'not an amount: open' END AS reason
-    FROM events WHERE NOT ({_GOOD})""",
+      CASE WHEN k < 10 THEN 'missing required field: coin_id' WHEN k < 20 THEN 'not an RFC 3339 time: open_time'
+        WHEN k < 30 THEN 'malformed JSON' ELSE 'not an amount: open' END AS reason
+    FROM (SELECT *, {_NUMBER} AS k FROM events) WHERE NOT ({_GOOD})""",
 )
 def stream_dead_letter(spark, sf_dir):
     path = new_folder(spark, "stream-dead")
@@ -101,7 +103,7 @@ silver AS (
   WHERE rn = 1)"""
 
 
-@query("stream_silver", ctes(BRONZE, _STREAM_SILVER) + "SELECT * FROM silver")
+@query("stream_silver", ctes(_BRONZE, _STREAM_SILVER) + "SELECT * FROM silver")
 def stream_silver(spark, sf_dir):
     path = new_folder(spark, "stream-silver")
     valid, _ = _split(spark, sf_dir)
@@ -109,7 +111,7 @@ def stream_silver(spark, sf_dir):
     return read_table(spark, path, layout.SILVER).drop("date")
 
 
-@query("stream_ohlcv", ctes(BRONZE, _STREAM_SILVER, gold_sql("gold", "silver", "hour")) + "SELECT * FROM gold")
+@query("stream_ohlcv", ctes(_BRONZE, _STREAM_SILVER, gold_sql("gold", "silver", "hour")) + "SELECT * FROM gold")
 def stream_ohlcv(spark, sf_dir):
     silver, gold = new_folder(spark, "stream-silver"), new_folder(spark, "stream-gold")
     valid, _ = _split(spark, sf_dir)
@@ -134,7 +136,7 @@ def stream_windows(spark, sf_dir):
 
 @query(
     "stream_fan_out",
-    ctes(BRONZE)
+    ctes(_BRONZE)
     + f"""SELECT 'bronze' AS sink, count(*) AS rows FROM bronze WHERE {_GOOD}
     UNION ALL SELECT 'dead letters', count(*) FROM bronze WHERE NOT ({_GOOD})
     UNION ALL SELECT 'silver', count(DISTINCT (coin_id, open_time)) FROM bronze WHERE {_GOOD}""",

@@ -25,6 +25,12 @@ def at(as_of: datetime, dtype: T.DataType | str = "timestamp") -> Column:
     return F.lit(text).cast(name) if name == "timestamp_ntz" else F.lit(text + "Z").cast("timestamp")
 
 
+def millis(as_of: datetime) -> datetime:
+    """``as_of`` cut to milliseconds, the precision candle times have."""
+    as_of = utc(as_of)
+    return as_of.replace(microsecond=as_of.microsecond // 1000 * 1000)
+
+
 def trunc(as_of: datetime, unit: str) -> datetime:
     as_of = utc(as_of)
     day = as_of.replace(hour=0, minute=0, second=0, microsecond=0)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wickwork import schemas as S
+from wickwork.functions.times import at, utc
 
 
 @dataclass(frozen=True)
@@ -60,6 +62,33 @@ def read_table(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
     return spark.read.schema(layout.stored_schema()).parquet(path)
 
 
+def time_range(
+    df: DataFrame, ts_col: str, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """Rows with ``start <= ts_col < end``, and the same bounds on the table's partition column.
+
+    Spark cannot tell that ``date`` or ``month`` follow from a timestamp; without their own
+    filter every partition would be listed and opened.
+    """
+    dtype = df.schema[ts_col].dataType
+    as_date = isinstance(df.schema["date"].dataType, T.DateType) if "date" in df.columns else False
+    if start is not None:
+        first = utc(start)
+        df = df.filter(F.col(ts_col) >= at(first, dtype))
+        if as_date:
+            df = df.filter(F.col("date") >= F.lit(first.date()))
+        if "month" in df.columns:
+            df = df.filter(F.col("month") >= first.strftime("%Y-%m"))
+    if end is not None:
+        last = utc(end) - timedelta(microseconds=1)
+        df = df.filter(F.col(ts_col) < at(end, dtype))
+        if as_date:
+            df = df.filter(F.col("date") <= F.lit(last.date()))
+        if "month" in df.columns:
+            df = df.filter(F.col("month") <= last.strftime("%Y-%m"))
+    return df
+
+
 BRONZE = Layout(S.BRONZE, (), "month", "open_time", sort=("coin_id", "interval", "open_time"))
 SILVER = Layout(S.SILVER, ("coin_id", "interval", "open_time"), "day", "open_time", sort=("coin_id", "interval"))
 GOLD_HOURLY = Layout(S.gold_schema("hour"), ("coin_id", "interval", "hour"), "day", "hour", sort=("coin_id", "interval"))

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from wickwork.functions.times import at, interval_length, utc
+from wickwork.functions.times import at, interval_length, millis, utc
 
 # Candles read again before the watermark, and hours read without one.
 OVERLAP_CANDLES = 2
@@ -51,7 +51,7 @@ def latest_closed(candles: DataFrame, as_of: datetime) -> DataFrame:
     ``candles`` holds one row per candle, as ``rollup.silver`` leaves them.
     """
     ts_type = candles.schema["close_time"].dataType
-    closed = candles.filter(F.col("close_time") < at(as_of, ts_type))
+    closed = candles.filter(F.col("close_time") < at(millis(as_of), ts_type))
     return closed.groupBy("coin_id").agg(
         F.max_by("close", "close_time").alias("price_usd"), F.max("close_time").alias("updated_at")
     )

@@ -13,6 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wickwork.functions.times import at, months_before, step, trunc, utc
+from wickwork.layout import time_range
 
 _ADDITIVE = {"count", "sum", "max", "min"}
 
@@ -264,14 +265,18 @@ def _filtered(df: DataFrame, request: _Request) -> DataFrame:
             values = [str(v).lower() == "true" for v in values]
         df = df.filter(F.col(name).isin(*values))
     if request.time_dimension:
-        dtype = df.schema[request.time_dimension].dataType
-        if request.start is not None:
-            df = df.filter(F.col(request.time_dimension) >= at(request.start, dtype))
-        if request.end is not None:
-            df = df.filter(F.col(request.time_dimension) < at(request.end, dtype))
+        df = time_range(df, request.time_dimension, request.start, request.end)
     return df
 
 
+def _parts(df: DataFrame, rollup: Rollup, request: _Request) -> DataFrame:
+    """The partitions of a stored rollup that the query's range reaches into."""
+    if request.start is None or "part" not in df.columns:
+        return df
+    first = request.start.replace(day=1) if rollup.partition_granularity == "month" else request.start.replace(month=1, day=1)
+    return df.filter((F.col("part") >= F.lit(first.date())) & (F.col("part") <= F.lit(request.end.date())))
+
+
 def _grouped(df: DataFrame, request: _Request, aggregates: list[Column]) -> DataFrame:
     groups = [F.col(d) for d in request.dimensions]
     if request.granularity:
@@ -302,7 +307,8 @@ def metric_query(
         for m in request.measures:
             kind = model.measures[m][0]
             aggregates.append(_aggregate("sum" if kind == "count" else kind, m).alias(m))
-        return _grouped(_filtered(rollups[chosen], request), request, aggregates)
+        stored = _parts(rollups[chosen], model.rollups[chosen], request)
+        return _grouped(_filtered(stored, request), request, aggregates)
     aggregates = []
     for m in request.measures:
         kind, column = model.measures[m]

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from wickwork.functions.times import at, bucket, step, trunc
+from wickwork.layout import time_range
 from wickwork.operators.rollup import LOOKBACK
 from wickwork.schemas import SERVING
 from wickwork.sources.tables import rollup_scan
@@ -50,17 +51,14 @@ def to_serving(
 
 def range_scan(rollups: DataFrame, coin_id: str, start: datetime, end: datetime | None = None) -> DataFrame:
     """One coin's buckets from ``start`` on, oldest first."""
-    ts_type = rollups.schema["bucket_start"].dataType
-    rows = rollups.filter((F.col("coin_id") == coin_id) & (F.col("bucket_start") >= at(start, ts_type)))
-    if end is not None:
-        rows = rows.filter(F.col("bucket_start") < at(end, ts_type))
+    rows = time_range(rollups.filter(F.col("coin_id") == coin_id), "bucket_start", start, end)
     return rows.orderBy("bucket_start")
 
 
 def today_bars(hourly: DataFrame, as_of: datetime) -> DataFrame:
     """Today's day bar of each coin, made from its hourly bars so far."""
     ts_type = hourly.schema["bucket_start"].dataType
-    today = hourly.filter(F.col("bucket_start") >= at(trunc(as_of, "day"), ts_type))
+    today = time_range(hourly, "bucket_start", trunc(as_of, "day"))
     bars = today.groupBy("coin_id", bucket(today, "bucket_start", "day").alias("day")).agg(
         F.min_by("open", "bucket_start").alias("open"),
         F.max("high").alias("high"),
@@ -71,7 +69,7 @@ def today_bars(hourly: DataFrame, as_of: datetime) -> DataFrame:
     )
     ends = F.col("day") + F.make_interval(days=F.lit(1))
     bars = bars.withColumn("is_closed", ends <= at(as_of, ts_type)).withColumnRenamed("day", "bucket_start")
-    return bars.select(*[F.col(f.name).cast(hourly.schema[f.name].dataType) for f in hourly.schema.fields])
+    return bars.select(*[F.col(f.name).cast(hourly.schema[f.name].dataType) for f in SERVING.fields])
 
 
 def with_today(daily: DataFrame, hourly: DataFrame, as_of: datetime) -> DataFrame:
@@ -80,10 +78,10 @@ def with_today(daily: DataFrame, hourly: DataFrame, as_of: datetime) -> DataFram
     Only rows of today take part in the join; history passes through with its filter pushed
     to the scan.
     """
-    today = at(trunc(as_of, "day"), daily.schema["bucket_start"].dataType)
-    bars = today_bars(hourly, as_of).select(*daily.columns)
-    history = daily.filter(F.col("bucket_start") < today)
-    stored_today = daily.filter(F.col("bucket_start") >= today)
+    today = trunc(as_of, "day")
+    bars = today_bars(hourly, as_of)
+    history = time_range(daily, "bucket_start", end=today).select(*bars.columns)
+    stored_today = time_range(daily, "bucket_start", start=today).select(*bars.columns)
     kept = stored_today.join(bars.select("coin_id", "bucket_start"), ["coin_id", "bucket_start"], "left_anti")
     return history.unionByName(kept).unionByName(bars)
 
@@ -91,7 +89,8 @@ def with_today(daily: DataFrame, hourly: DataFrame, as_of: datetime) -> DataFram
 def history(daily: DataFrame, hourly: DataFrame, coin_id: str, start: datetime, as_of: datetime) -> DataFrame:
     """One coin's daily bars from ``start`` on, today included, oldest first."""
     one = F.col("coin_id") == coin_id
-    return range_scan(with_today(daily.filter(one), hourly.filter(one), as_of), coin_id, start)
+    recent = time_range(daily.filter(one), "bucket_start", start)
+    return range_scan(with_today(recent, hourly.filter(one), as_of), coin_id, start)
 
 
 def latest_rows(df: DataFrame, n: int = 5, by: str = "updated_at", tie_break: tuple[str, ...] = ("coin_id",)) -> DataFrame:

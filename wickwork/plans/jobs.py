@@ -12,8 +12,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wickwork import layout, schemas as S
-from wickwork.functions.times import at, trunc, utc
-from wickwork.layout import Layout, read_table
+from wickwork.functions.times import at, trunc
+from wickwork.layout import Layout, read_table, time_range
 from wickwork.operators import incremental, registry, retention, rollup, serving
 from wickwork.operators.backfill import work_grid
 from wickwork.operators.quality import is_sane, job_counters
@@ -115,8 +115,7 @@ def refresh_silver(
     ``since`` bounds candles by open time, which bronze partitions prune by, and
     ``published_after`` versions by publish time. With nothing new in bronze nothing is written.
     """
-    bronze = tables.read(spark, "bronze_candles")
-    bronze = bronze.filter((F.col("month") >= utc(since).strftime("%Y-%m")) & (F.col("open_time") >= at(since)))
+    bronze = time_range(tables.read(spark, "bronze_candles"), "open_time", since)
     if published_after is not None:
         bronze = bronze.filter(F.col("publish_time") > at(published_after))
     return merge_into_silver(bronze.drop("month"), tables.path("silver_candles"))
@@ -136,7 +135,7 @@ def rebuild_gold(
     silver = tables.read(spark, "silver_candles")
     if as_of is not None:
         first = trunc(rollup.lookback_start(as_of, unit, lookback), "day")
-        silver = silver.filter((F.col("date") >= F.lit(first.date())) & (F.col("open_time") >= at(first)))
+        silver = time_range(silver, "open_time", first)
     write_partitions(rollup.ohlcv(silver, unit), tables.path(GOLD_NAME[unit]), layout.GOLD[unit])
 
 
@@ -149,9 +148,7 @@ def sync_serving(
     lookback: timedelta | None = None,
 ) -> int:
     """Recent gold buckets into the serving table, then the retention limit; returns the rows pruned."""
-    lookback = serving.SYNC_LOOKBACK[unit] if lookback is None else lookback
-    first = (utc(as_of) - lookback).date()
-    gold = tables.read(spark, GOLD_NAME[unit]).filter(F.col("date") >= F.lit(first))
+    gold = tables.read(spark, GOLD_NAME[unit])
     target = layout.ROLLUPS[unit]
     path = tables.path(ROLLUP_NAME[unit])
     upsert_table(path, serving.to_serving(gold, unit, as_of, interval, lookback), target)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wickwork.functions.times import at
+from wickwork.layout import time_range
 from wickwork.operators.metrics import Model, build_rollup
 
 
@@ -34,9 +35,8 @@ def write_rollup(
         changed = sorted(r[0] for r in newer.select(part.alias("part")).distinct().collect())
         if not changed:
             return changed
-        table = table.filter((ts >= F.lit(changed[0]).cast("timestamp")) & part.isin(changed))
-        if "date" in table.columns:
-            table = table.filter(F.col("date") >= F.lit(changed[0]))
+        first = datetime(changed[0].year, changed[0].month, 1)
+        table = time_range(table, rollup.time_dimension, first).filter(part.isin(changed))
     (
         build_rollup(table, model, name, as_of)
         .hint("rebalance", F.col("part"))
@@ -49,5 +49,7 @@ def write_rollup(
     return changed
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_rollup(table: DataFrame, model: Model, name: str, path: str) -> DataFrame:
+    """A stored rollup of ``table``, under the schema its model gives it."""
+    schema = build_rollup(table, model, name, datetime(2000, 1, 1)).schema
+    return table.sparkSession.read.schema(schema).parquet(path)

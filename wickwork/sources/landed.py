@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wickwork import schemas as S
-from wickwork.functions.times import at, epoch_to_timestamp, iso_instant
+from wickwork.functions.times import at, epoch_to_timestamp, iso_instant, millis
 from wickwork.functions.values import money, nine_places, present, whole
 
 
@@ -60,7 +60,7 @@ def parse_klines(raw: DataFrame, interval: str, as_of: datetime) -> DataFrame:
         money(cell(5)).alias("volume"),
         money(cell(7)).alias("quote_volume"),
         whole(cell(8)).alias("trade_count"),
-        (close_time < now).alias("is_closed"),
+        (close_time < at(millis(as_of))).alias("is_closed"),
         now.alias("publish_time"),
     )
 

@@ -7,31 +7,22 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wickwork import layout
-from wickwork.functions.times import at, utc
-from wickwork.layout import read_table
+from wickwork.functions.times import utc
+from wickwork.layout import read_table, time_range
 
 
 def read_bronze(
     spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None
 ) -> DataFrame:
-    """Bronze candles with ``start <= open_time < end``.
-
-    Bronze is partitioned by ``month``, which Spark cannot derive from a filter on
-    ``open_time``; the month filter is added here so that other months are not listed or read.
-    """
-    df = read_table(spark, path, layout.BRONZE)
-    if start is not None:
-        df = df.filter((F.col("month") >= utc(start).strftime("%Y-%m")) & (F.col("open_time") >= at(start)))
-    if end is not None:
-        df = df.filter((F.col("month") <= utc(end).strftime("%Y-%m")) & (F.col("open_time") < at(end)))
-    return df.drop("month")
+    """Bronze candles with ``start <= open_time < end``; months outside are not read."""
+    return time_range(read_table(spark, path, layout.BRONZE), "open_time", start, end).drop("month")
 
 
 def rollup_scan(gold: DataFrame, unit: str, interval: str, as_of: datetime, lookback: timedelta) -> DataFrame:
     """The seven serving columns of one interval's recent buckets, ordered by coin and bucket."""
-    since = at(utc(as_of) - lookback, gold.schema[unit].dataType)
+    recent = time_range(gold, unit, utc(as_of) - lookback)
     return (
-        gold.filter((F.col("interval") == interval) & (F.col(unit) >= since))
+        recent.filter(F.col("interval") == interval)
         .select("coin_id", unit, "open", "high", "low", "close", "volume")
         .orderBy("coin_id", unit)
     )
