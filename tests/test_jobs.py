@@ -79,7 +79,7 @@ def test_candles_from_response_to_chart(spark, tables):
     assert silver.filter("coin_id = 'bit' and hour(open_time) = 2").first()["close"] == 15
     for unit in ("hour", "day"):
         jobs.rebuild_gold(spark, tables, unit)
-        jobs.sync_serving(spark, tables, unit, later)
+        assert jobs.sync_serving(spark, tables, unit, later) == {"upserted": 5 if unit == "hour" else 2, "pruned": 0}
     day = tables.read(spark, "daily_candle_metrics").filter("coin_id = 'bit'").first()
     assert (int(day["open"]), int(day["close"]), int(day["volume"]), day["candle_count"]) == (10, 16, 23, 4)
     hourly, daily = (tables.read(spark, n) for n in ("candle_rollups_hourly", "candle_rollups_daily"))
@@ -124,7 +124,7 @@ def test_silver_refresh_without_news_writes_nothing(spark, tables):
 def test_coin_refresh_leaves_exchange_prices_alone(spark, tables):
     jobs.seed_coins(spark, tables, coin_list(spark, *COINS), symbols(spark, "BTC"))
     first, second = utc(2024, 1, 10, 1), utc(2024, 1, 10, 2)
-    assert jobs.refresh_coins(spark, tables, coin_list(spark, *COINS), first) is False
+    assert jobs.refresh_coins(spark, tables, coin_list(spark, *COINS), first) == {"coins": 3, "listings": 0, "failed": 0}
     jobs.ingest_candles(spark, tables, landed(spark, bit=[kline(0, "77", day=11)]), utc(2024, 1, 12))
     renamed = [("bit", "btc", 200, 41.0), ("eth", "ETH", 60, 21.0), ("dollar", "usdx", 25, 1.0)]
     jobs.refresh_coins(spark, tables, coin_list(spark, *renamed), second)
@@ -145,12 +145,12 @@ def test_first_price_of_an_unlisted_coin_is_zero(spark, tables):
 def test_listings_once_a_day(spark, tables):
     ticker = {"market": {"identifier": "x"}, "base": "A", "target": "B", "converted_last": {"usd": 1},
               "converted_volume": {"usd": 2}}
-    raw = landed(spark, bit={"tickers": [ticker, {**ticker, "target": ""}]})
+    raw = landed(spark, bit={"tickers": [ticker, {**ticker, "target": ""}]}, eth="<html>")
     listing = coin_list(spark, *COINS)
-    assert jobs.refresh_coins(spark, tables, listing, utc(2024, 1, 10, 1), raw_tickers=raw) is False
+    assert jobs.refresh_coins(spark, tables, listing, utc(2024, 1, 10, 1), raw_tickers=raw)["listings"] == 0
     assert tables.read(spark, "markets").count() == 0
-    assert jobs.refresh_coins(spark, tables, listing, utc(2024, 1, 11, 0), raw_tickers=raw) is True
-    assert jobs.refresh_coins(spark, tables, listing, utc(2024, 1, 12, 0), raw_tickers=raw) is True
+    assert jobs.refresh_coins(spark, tables, listing, utc(2024, 1, 11, 0), raw_tickers=raw) == {"coins": 3, "listings": 1, "failed": 1}
+    assert jobs.refresh_coins(spark, tables, listing, utc(2024, 1, 12, 0), raw_tickers=raw)["listings"] == 1
     assert rows_of(tables.read(spark, "markets"), "coin_id", "exchange_id", "target_symbol") == [("bit", "x", "B")]
 
 

@@ -133,18 +133,6 @@ def test_join_on_a_hot_symbol_is_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_no_query_uses_python_workers_or_cross_joins(spark):
-    slow = {}
-    for name, build in QUERIES.items():
-        if name.startswith("stream_"):
-            continue
-        text = plan(build(spark, FOLDER))
-        found = re.findall(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas", text)
-        if found:
-            slow[name] = found
-    assert not slow
-
-
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     from wickwork import layout
     from wickwork.sinks.tables import append, create_table

@@ -155,8 +155,11 @@ def test_is_closed_is_strict(spark):
 
 
 def test_bodies_that_are_not_json(spark):
-    raw = spark.createDataFrame([("a", "[["), ("b", "[]"), ("c", json.dumps([row()]))], "coin_id string, body string")
-    assert [r["coin_id"] for r in landed.unparsed(raw, S.KLINE_BATCH).collect()] == ["a"]
+    bodies = [("a", "[["), ("b", "[]"), ("c", json.dumps([row()])), ("d", '{"code": 1}'), ("e", ""), ("f", None)]
+    raw = spark.createDataFrame(bodies, "coin_id string, body string")
+    assert [r["coin_id"] for r in landed.unparsed(raw, S.KLINE_BATCH).collect()] == ["a", "d", "e", "f"]
+    lists = spark.createDataFrame([("a", "{}"), ("b", '{"tickers": []}'), ("c", "<html>")], "coin_id string, body string")
+    assert [r["coin_id"] for r in landed.unparsed(lists, S.TICKERS).collect()] == ["c"]
     assert landed.parse_klines(raw, "1h", utc(2024, 1, 2)).count() == 1
 
 

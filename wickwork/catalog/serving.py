@@ -148,3 +148,23 @@ def latest_rows(spark, sf_dir):
 @query("price_source_rows", ctes(SNAPSHOTS, TARGET) + _SNAPSHOT_COLUMNS + "WHERE price_source = 'binance_rest'")
 def price_source_rows(spark, sf_dir):
     return serving.from_source(target_snapshots(spark, sf_dir), "binance_rest")
+
+
+@query(
+    "latest_bronze",
+    ctes(BRONZE) + "SELECT coin_id, open_time, publish_time FROM bronze ORDER BY publish_time DESC LIMIT 5",
+)
+def latest_bronze(spark, sf_dir):
+    newest = serving.latest_rows(shapes.bronze(spark, sf_dir), by="publish_time")
+    return newest.select("coin_id", "open_time", "publish_time")
+
+
+@query(
+    "coin_versions",
+    ctes(BRONZE)
+    + "SELECT coin_id, open_time, open, close, publish_time FROM bronze WHERE coin_id = 'signup'",
+)
+def coin_versions(spark, sf_dir):
+    """All stored versions of one coin's candles, as the round-trip check of the stream reads them."""
+    rows = shapes.bronze(spark, sf_dir).filter(F.col("coin_id") == "signup")
+    return rows.select("coin_id", "open_time", "open", "close", "publish_time")

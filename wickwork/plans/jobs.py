@@ -146,14 +146,14 @@ def sync_serving(
     as_of: datetime,
     interval: str = "1h",
     lookback: timedelta | None = None,
-) -> int:
-    """Recent gold buckets into the serving table, then the retention limit; returns the rows pruned."""
+) -> dict[str, int]:
+    """Recent gold buckets into the serving table, then the retention limit; returns rows upserted and pruned."""
     gold = tables.read(spark, GOLD_NAME[unit])
     target = layout.ROLLUPS[unit]
     path = tables.path(ROLLUP_NAME[unit])
-    upsert_table(path, serving.to_serving(gold, unit, as_of, interval, lookback), target)
+    upserted = upsert_table(path, serving.to_serving(gold, unit, as_of, interval, lookback), target)
     limit = {"days": retention.HOURLY_DAYS} if unit == "hour" else {"months": retention.DAILY_MONTHS}
-    return prune_table(spark, path, target, as_of, **limit)
+    return {"upserted": upserted, "pruned": prune_table(spark, path, target, as_of, **limit)}
 
 
 def seed_coins(
@@ -215,13 +215,14 @@ def refresh_coins(
     n: int = registry.TOP_N,
     raw_tickers: DataFrame | None = None,
     listings_hour: int = 0,
-) -> bool:
+) -> dict[str, int]:
     """The coin list into ``coins`` and ``coin_snapshots``, and once a day the listings into ``markets``.
 
-    Exchange symbols already known are kept. Returns whether listings were refreshed.
+    Exchange symbols already known are kept. Returns how many coins and listings were
+    upserted, and how many listing responses were not JSON.
     """
     with staging(registry.top_coins(landed.parse_markets(raw_list), n), "coin-list") as markets:
-        upsert_table(
+        coins = upsert_table(
             tables.path("coins"),
             markets.select("coin_id", "symbol", "name", "market_cap_usd"),
             layout.COINS,
@@ -232,12 +233,13 @@ def refresh_coins(
         upsert_table(
             tables.path("coin_snapshots"), rows, layout.SNAPSHOTS, update=snapshot_changes(), order_by=_last_in_list()
         )
-    if raw_tickers is None or not incremental.due(as_of, listings_hour):
-        return False
-    listings = landed.parse_tickers(raw_tickers).withColumn("updated_at", at(as_of))
-    latest = registry.latest_listings(listings, list(layout.MARKETS.keys)).drop("pos")
-    upsert_table(tables.path("markets"), latest, layout.MARKETS)
-    return True
+    counts = {"coins": coins, "listings": 0, "failed": 0}
+    if raw_tickers is not None and incremental.due(as_of, listings_hour):
+        listings = landed.parse_tickers(raw_tickers).withColumn("updated_at", at(as_of))
+        latest = registry.latest_listings(listings, list(layout.MARKETS.keys)).drop("pos")
+        counts["listings"] = upsert_table(tables.path("markets"), latest, layout.MARKETS)
+        counts["failed"] = landed.unparsed(raw_tickers, S.TICKERS).count()
+    return counts
 
 
 def backfill_candles(

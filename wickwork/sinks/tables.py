@@ -4,6 +4,7 @@ Plain parquet has no MERGE or DELETE. Every change here recomputes the partition
 touches and replaces them with a dynamic partition overwrite, whose new files only take the
 place of the old ones when the whole job has succeeded; a lost executor re-runs its tasks
 from files that are still there. All changes are keyed, so a rerun ends in the same table.
+A table takes one writer at a time.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def create_table(spark: SparkSession, path: str, layout: Layout) -> None:
-    """An empty table, unless there is one already."""
-    if not table_exists(spark, path):
-        empty = spark.createDataFrame([], layout.stored_schema())
-        empty.write.partitionBy(layout.partition).parquet(path)
+    """An empty table, unless there is one already: a folder, as the schema is the layout's."""
+    fs, p = file_system(spark, path)
+    if not fs.mkdirs(p):
+        raise OSError(f"cannot create {path} for {layout.partition} partitions")
 
 
 def partition_values(spark: SparkSession, path: str, layout: Layout) -> list[str]:
@@ -84,11 +85,11 @@ def upsert_table(
     update: Sequence[str] | Mapping[str, Column] | None = None,
     when: Column | None = None,
     order_by: Sequence[Column] | None = None,
-) -> None:
+) -> int:
     """Merge ``source`` into the table by the layout's key, rewriting only the partitions it touches.
 
     Columns of the table that the source lacks are null in inserted rows and unchanged in
-    updated ones.
+    updated ones. Returns the number of source rows.
     """
     spark = source.sparkSession
     present = [c for c in layout.schema.names if c in source.columns]
@@ -97,7 +98,7 @@ def upsert_table(
     with staging(source.withColumn(layout.partition, layout.partition_value()), "upsert") as rows:
         values = touched_partitions(rows, layout)
         if not values:
-            return
+            return 0
         target = read_table(spark, path, layout).filter(F.col(layout.partition).isin(values))
         merged = upsert(
             target.drop(layout.partition),
@@ -108,6 +109,7 @@ def upsert_table(
             order_by=order_by,
         )
         write_partitions(layout.shaped(merged), path, layout)
+        return rows.count()
 
 
 def prune_table(

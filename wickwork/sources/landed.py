@@ -32,10 +32,11 @@ def read_bodies(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def unparsed(raw: DataFrame, wire: str) -> DataFrame:
-    """The rows whose body is not JSON of the wire format."""
-    parsed = F.from_json("body", wire, {"mode": "PERMISSIVE"})
-    empty = F.size(parsed) < 0 if wire.startswith("array") else F.to_json(parsed) == "{}"
-    return raw.filter(parsed.isNull() | empty)
+    """The rows whose body is not JSON, or not an array where the wire format is one."""
+    failed = F.get_json_object("body", "$").isNull()
+    if wire.startswith("array"):
+        failed = failed | F.from_json("body", wire).isNull()
+    return raw.filter(failed)
 
 
 def parse_klines(raw: DataFrame, interval: str, as_of: datetime) -> DataFrame:
