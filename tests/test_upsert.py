@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import frame, rows_of, utc
-from wickwork import layout, schemas as S
+from wickwork import layout, schemas as S, session
 from wickwork.functions.times import months_before
 from wickwork.operators.retention import prune
 from wickwork.operators.upsert import delete_where, upsert
@@ -22,22 +22,23 @@ def snaps(spark, *rows):
     return frame(spark, rows, S.SNAPSHOTS)
 
 
-def guarded(target, source):
-    return upsert(target, source, ["coin_id"], when=F.col("t.updated_at") < F.col("s.updated_at"))
+def guarded(target, source, **how):
+    return upsert(target, source, ["coin_id"], when=F.col("t.updated_at") < F.col("s.updated_at"), **how)
 
 
-def test_guard_refuses_equal_and_older(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_guard_refuses_equal_and_older(spark, small):
     target = snaps(spark, ("eq", 1, NOW, "coingecko", 1), ("old", 1, NOW, "coingecko", 1), ("new", 1, NOW, "coingecko", 1))
     source = snaps(
         spark, ("eq", 2, NOW, "binance_rest"), ("old", 2, OLD, "binance_rest"), ("new", 2, NEW, "binance_rest"),
         ("first", 2, OLD, "binance_rest"),
     )
     source = source.select("coin_id", "price_usd", "updated_at", "price_source")
-    got = guarded(target, source)
+    got = guarded(target, source, small_source=small)
     assert [(c, int(p), r) for c, p, r in rows_of(got.na.fill(0, ["rank"]), "coin_id", "price_usd", "rank")] == [
         ("eq", 1, 1), ("first", 2, 0), ("new", 2, 1), ("old", 1, 1),
     ]
-    again = guarded(got, source)
+    again = guarded(got, source, small_source=small)
     assert rows_of(again.na.fill(0), *again.columns[:2]) == rows_of(got.na.fill(0), *got.columns[:2])
 
 
@@ -50,10 +51,11 @@ def test_seeded_price_waits_for_a_later_close(spark):
     assert guarded(seeded, after).first()["price_usd"] == 7
 
 
-def test_repeated_source_keys_do_not_multiply_rows(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_repeated_source_keys_do_not_multiply_rows(spark, small):
     target = snaps(spark, ("a", 1, OLD, "coingecko", 1))
     source = snaps(spark, ("a", 2, OLD, "coingecko", 1), ("a", 3, NEW, "coingecko", 1), ("b", 4, NOW, "coingecko", 1), ("b", 5, OLD, "coingecko", 2))
-    got = upsert(target, source, ["coin_id"], order_by=[F.desc("updated_at")])
+    got = upsert(target, source, ["coin_id"], order_by=[F.desc("updated_at")], small_source=small)
     assert [(c, int(p)) for c, p in rows_of(got, "coin_id", "price_usd")] == [("a", 3), ("b", 4)]
 
 
@@ -91,7 +93,13 @@ def files_under(path):
     return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
 
 
-def test_table_upsert_touches_only_its_partitions(spark, tmp_path):
+@pytest.fixture(params=["small source", "large source"])
+def either_size(request, monkeypatch):
+    """Both ways an upsert can run, by moving the size limit."""
+    monkeypatch.setattr(session, "SMALL_BYTES", 8_000_000 if request.param == "small source" else 0)
+
+
+def test_table_upsert_touches_only_its_partitions(spark, tmp_path, either_size):
     path = str(tmp_path / "t")
     T.create_table(spark, path, layout.ROLLUPS_HOURLY)
     days = [utc(2024, 1, d, 5) for d in range(1, 6)]
@@ -161,3 +169,17 @@ def test_newest_bucket_first_in_files(spark, tmp_path):
 
     got = pq.ParquetFile(file).read(columns=["coin_id", "bucket_start"]).to_pylist()
     assert got == sorted(got, key=lambda r: (r["coin_id"], -r["bucket_start"].timestamp()))
+
+
+def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
+    target_path, source_path = str(tmp_path / "t"), str(tmp_path / "s")
+    snaps(spark, *[(f"c{i}", 1, OLD, "coingecko", 1) for i in range(50)]).write.parquet(target_path)
+    snaps(spark, ("c1", 2, NEW, "coingecko", 1), ("x", 2, NEW, "coingecko", 1)).write.parquet(source_path)
+    target, source = spark.read.parquet(target_path), spark.read.parquet(source_path)
+    merged = guarded(target, source, small_source=True)
+    rows_of(merged, "coin_id")
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    final = text.split("Initial Plan")[0]
+    lookup = final.split("Union")[1].split("LeftAnti")[0]
+    assert "BroadcastHashJoin" in lookup and "SortMergeJoin" not in lookup
+    assert merged.count() == 51

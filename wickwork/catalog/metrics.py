@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from wickwork.catalog import shapes
 from wickwork.catalog.base import ctes, query
 from wickwork.catalog.candles import sane_silver
 from wickwork.catalog.serving import daily_gold, hourly_gold

@@ -48,16 +48,25 @@ def silver(bronze: DataFrame) -> DataFrame:
     )
 
 
-def merge_silver(stored: DataFrame, fresh_bronze: DataFrame) -> DataFrame:
+def merge_silver(stored: DataFrame, fresh_bronze: DataFrame, small_batch: bool = False) -> DataFrame:
     """Stored silver rows and new bronze versions, reduced again by the same rule.
 
     Merging is associative and repeatable: any split of bronze into batches, in any order
-    and with repeats, ends in the same silver.
+    and with repeats, ends in the same silver. With ``small_batch`` (its size checked by the
+    caller) only candles the batch has versions of are reduced; a broadcast of the batch's
+    keys lets all other stored rows pass unshuffled.
     """
-    versions = stored.withColumnRenamed("latest_publish_time", "publish_time")
     columns = [*CANDLE_KEY, "close_time", "open", "high", "low", "close", "volume", "quote_volume"]
     columns += ["trade_count", "is_closed", "publish_time"]
-    return silver(versions.select(*columns).unionByName(fresh_bronze.select(*columns)))
+    changed = stored
+    if small_batch:
+        changed = stored.join(fresh_bronze.select(*CANDLE_KEY), CANDLE_KEY, "left_semi")
+    versions = changed.withColumnRenamed("latest_publish_time", "publish_time")
+    merged = silver(versions.select(*columns).unionByName(fresh_bronze.select(*columns)))
+    if small_batch:
+        others = stored.join(fresh_bronze.select(*CANDLE_KEY), CANDLE_KEY, "left_anti")
+        merged = others.select(*merged.columns).unionByName(merged)
+    return merged
 
 
 def _measures(order: str, candle_count: Column) -> list[Column]:

@@ -16,6 +16,7 @@ def upsert(
     update: Sequence[str] | Mapping[str, Column] | None = None,
     when: Column | None = None,
     order_by: Sequence[Column] | None = None,
+    small_source: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it by key.
 
@@ -28,6 +29,10 @@ def upsert(
     The source may repeat a key: ``order_by`` ranks its rows and the first one counts. Give
     it whenever keys can repeat, or the join would multiply rows. Both sides then hold a key
     at most once, so no key can be hot in the join.
+
+    With ``small_source`` (its size checked by the caller) target rows look their changes up
+    in the source and new keys are found on key columns alone: a broadcast source leaves the
+    target unshuffled. Otherwise one full outer join does both.
     """
     keys = list(keys)
     if order_by is not None:
@@ -36,33 +41,37 @@ def upsert(
         update = [c for c in target.columns if c in source.columns and c not in keys]
     changes = dict(update) if isinstance(update, Mapping) else {c: F.col(f"s.{c}") for c in update}
 
-    joined = (
-        target.withColumn("__in_target", F.lit(True))
-        .alias("t")
-        .join(
-            source.withColumn("__in_source", F.lit(True)).alias("s"),
-            [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys],
-            "full_outer",
-        )
-    )
+    same_key = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    t = target.withColumn("__in_target", F.lit(True)).alias("t")
+    s = source.withColumn("__in_source", F.lit(True)).alias("s")
+    joined = t.join(s, same_key, "left" if small_source else "full_outer")
     is_new = F.col("t.__in_target").isNull()
     applies = F.col("s.__in_source").isNotNull()
     if when is not None:
         applies = applies & F.coalesce(when, F.lit(False))
 
-    columns = []
+    def inserted(name: str) -> Column:
+        return F.col(f"s.{name}") if name in source.columns else F.lit(None)
+
+    columns, new_columns = [], []
     for field in target.schema.fields:
-        name = field.name
+        name, dtype = field.name, field.dataType
+        new_columns.append(inserted(name).cast(dtype).alias(name))
         if name in keys:
             value = F.coalesce(F.col(f"t.{name}"), F.col(f"s.{name}"))
         else:
-            inserted = F.col(f"s.{name}") if name in source.columns else F.lit(None)
-            value = F.when(is_new, inserted.cast(field.dataType))
+            value = F.when(is_new, inserted(name).cast(dtype))
             if name in changes:
-                value = value.when(applies, changes[name].cast(field.dataType))
+                value = value.when(applies, changes[name].cast(dtype))
             value = value.otherwise(F.col(f"t.{name}"))
-        columns.append(value.cast(field.dataType).alias(name))
-    return joined.select(*columns)
+        columns.append(value.cast(dtype).alias(name))
+    merged = joined.select(*columns)
+    if small_source:
+        known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+        new = source.join(known, keys, "left_anti").alias("s").select(*new_columns)
+        # A few rows from many tasks would become as many files.
+        merged = merged.unionByName(new.hint("rebalance"))
+    return merged
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:

@@ -9,6 +9,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Parquet bytes up to which a staged side is joined in a way that lets Spark broadcast it;
+# below Spark's own default limit of 10 MB, which still has the last word.
+SMALL_BYTES = 8 * 1024 * 1024
+
 _local_folder: str | None = None
 
 
@@ -69,11 +73,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 @contextmanager
 def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``staged`` for the length of a ``with`` block; the files are dropped at its end."""
+    with sized_staging(df, label) as (rows, _):
+        yield rows
+
+
+@contextmanager
+def sized_staging(df: DataFrame, label: str) -> Iterator[tuple[DataFrame, bool]]:
+    """``staging`` that also tells whether what was written is small enough to broadcast."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     try:
         df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
+        fs, p = file_system(spark, path)
+        small = fs.getContentSummary(p).getLength() <= SMALL_BYTES
+        yield spark.read.schema(df.schema).parquet(path), small
     finally:
         remove(spark, path)
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wickwork.layout import Layout, read_table
 from wickwork.operators.retention import cutoff
 from wickwork.operators.upsert import delete_where, upsert
-from wickwork.session import file_system, remove, staging
+from wickwork.session import file_system, remove, sized_staging
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -40,21 +40,26 @@ def partition_values(spark: SparkSession, path: str, layout: Layout) -> list[str
     return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
 
-def _sorted_for_write(df: DataFrame, layout: Layout) -> DataFrame:
+def _sorted_for_write(df: DataFrame, layout: Layout, gather: bool = True) -> DataFrame:
     """Rows gathered by partition and sorted inside it.
 
     REBALANCE sizes the write tasks at run time: small partitions share a task's output
     sensibly and one partition holding much of the data is split over many tasks.
     """
     order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in layout.sort]
-    return df.hint("rebalance", F.col(layout.partition)).sortWithinPartitions(layout.partition, *order)
+    gathered = df.hint("rebalance", F.col(layout.partition)) if gather else df
+    return gathered.sortWithinPartitions(layout.partition, *order)
 
 
-def write_partitions(df: DataFrame, path: str, layout: Layout) -> None:
-    """Replace exactly the partitions ``df`` has rows for."""
+def write_partitions(df: DataFrame, path: str, layout: Layout, gather: bool = True) -> None:
+    """Replace exactly the partitions ``df`` has rows for.
+
+    Rows that come straight from the table's own files are gathered already: without
+    ``gather`` they are written where they were read, unshuffled.
+    """
     shaped = df if layout.partition in df.columns else layout.shaped(df)
     (
-        _sorted_for_write(shaped, layout)
+        _sorted_for_write(shaped, layout, gather)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(layout.partition)
@@ -95,7 +100,7 @@ def upsert_table(
     present = [c for c in layout.schema.names if c in source.columns]
     if update is None:
         update = [c for c in present if c not in layout.keys]
-    with staging(source.withColumn(layout.partition, layout.partition_value()), "upsert") as rows:
+    with sized_staging(source.withColumn(layout.partition, layout.partition_value()), "upsert") as (rows, small):
         values = touched_partitions(rows, layout)
         if not values:
             return 0
@@ -107,8 +112,9 @@ def upsert_table(
             update=update,
             when=when,
             order_by=order_by,
+            small_source=small,
         )
-        write_partitions(layout.shaped(merged), path, layout)
+        write_partitions(layout.shaped(merged), path, layout, gather=not small)
         return rows.count()
 
 
@@ -159,7 +165,7 @@ def _delete_in(spark: SparkSession, path: str, layout: Layout, values: list[str]
     }
     deleted = sum(d for d, _ in counts.values())
     if deleted:
-        write_partitions(delete_where(inside, condition), path, layout)
+        write_partitions(delete_where(inside, condition), path, layout, gather=False)
         # A dynamic overwrite leaves a partition alone when no rows remain for it.
         for value, (_, kept) in counts.items():
             if kept == 0:

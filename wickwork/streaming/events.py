@@ -17,7 +17,7 @@ from wickwork import layout, schemas as S
 from wickwork.functions.values import money, present
 from wickwork.layout import Layout, read_table
 from wickwork.operators.rollup import LOOKBACK, merge_silver, ohlcv
-from wickwork.session import staging
+from wickwork.session import sized_staging
 from wickwork.sinks.tables import append, create_table, touched_partitions, upsert_table, write_partitions
 
 _TEXT_FIELDS = ("coin_id", "interval")
@@ -131,11 +131,11 @@ def start_dead_letters(dead: DataFrame, path: str, checkpoint: str, available_no
 def merge_into_silver(batch: DataFrame, path: str) -> list:
     """Merge new bronze versions into the silver table; returns the days that changed."""
     target = layout.SILVER
-    with staging(batch.withColumn(target.partition, target.partition_value()), "versions") as fresh:
+    with sized_staging(batch.withColumn(target.partition, target.partition_value()), "versions") as (fresh, small):
         days = touched_partitions(fresh, target)
         if days:
             stored = read_table(batch.sparkSession, path, target).filter(F.col(target.partition).isin(days))
-            write_partitions(merge_silver(stored, fresh), path, target)
+            write_partitions(merge_silver(stored, fresh, small), path, target, gather=not small)
     return days
 
 
