@@ -15,7 +15,7 @@ _LINES_PER_BATCH = 50_000
 _MAX_PATH_LIST = 100_000
 
 # Fixed value: <SYMBOL>-<interval>-<YYYY>-<MM>[-<DD>].zip
-_FILE_NAME = r"([^/]+?)-([^-/]+)-(\d{4}-\d{2})(-\d{2})?\.(zip|csv|csv\.gz)$"
+_FILE_NAME = r"^([^-]+)-([^-]+)-(\d{4}-\d{2})(-\d{2})?\.(zip|csv|csv\.gz)$"
 # The first nine fields of a row, in file order.
 _FIELDS = ["open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume", "trade_count"]
 _LONGS = {"open_time", "close_time", "trade_count"}
@@ -91,7 +91,8 @@ def archive_keys(spark: SparkSession, path: str) -> DataFrame:
 
 def key_parts(keys: DataFrame) -> DataFrame:
     """Adds what a key's file name says: symbol, interval, year-month, and whether it is a daily file."""
-    part = lambda i: F.regexp_extract("key", _FILE_NAME, i)
+    name = F.substring_index("key", "/", -1)
+    part = lambda i: F.regexp_extract(name, _FILE_NAME, i)
     return keys.withColumns(
         {
             "symbol": part(1),
