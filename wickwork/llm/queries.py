@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wickwork.llm import decontaminate, licenses, packing, secrets, token_counts
+from wickwork.llm import decontaminate, licenses, packing, quality, secrets, sharding, token_counts
 from wickwork.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,12 +24,117 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# CRC-32 by its byte table, which is made from the polynomial; shards by the exact order.
+_SHARD_SQL = """
+WITH tab AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(b))
+),
+d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (
+  SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS size,
+    xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i : i + 1] AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM d, tab
+),
+o AS (SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, CAST((2 * before + size) * 16 // (2 * total) AS INTEGER) AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+"""
+
+
+@query("op1_sharding", _SHARD_SQL)
+def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    return sharding.shard(docs, 16, key="doc_id", size="size").select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query("op2_token_counts")
 def token_count_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.encoded_lengths(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return token_counts.context_limits(token_counts.length_histogram(lengths))
 
 
+_QUALITY_SQL = """
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, lang, source, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls
+  FROM d
+),
+p AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS pos, ws FROM w WHERE len(ws) >= 3),
+g AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, ws[pos], ws[pos + 1], ws[pos + 2]) AS n FROM p),
+r AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(pos, pos + 3)) AS q FROM g WHERE n > 1) GROUP BY doc_id),
+c AS (
+  SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ls) AS BIGINT) AS n_lines,
+    CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS BIGINT) AS n_capitals,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN r USING (doc_id)
+),
+m AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    1000 * n_symbols // greatest(n_words, 1) AS symbol_rate, 1000 * n_capitals // greatest(word_chars, 1) AS capital_rate,
+    1000 * n_dup_lines // greatest(n_lines, 1) AS dup_line_rate, 1000 * n_repeat_words // greatest(n_words, 1) AS repeat_rate
+  FROM c
+),
+u AS (UNPIVOT (SELECT lang, source, symbol_rate, capital_rate, dup_line_rate, repeat_rate FROM m WHERE NOT base_failed)
+  ON symbol_rate, capital_rate, dup_line_rate, repeat_rate INTO NAME measure VALUE v),
+b AS (SELECT lang, source, measure, greatest(length(bin(v)) - 5, 0) AS s, v FROM u),
+f AS (SELECT lang, source, measure, (v >> s) << s AS low FROM b),
+lv AS (
+  SELECT 1 AS level, lang, source, measure, low FROM f
+  UNION ALL SELECT 2, lang, '', measure, low FROM f
+  UNION ALL SELECT 3, '', '', measure, low FROM f
+),
+k AS (
+  SELECT *, count(*) OVER (PARTITION BY level, lang, source, measure) AS docs,
+    count(*) OVER (PARTITION BY level, lang, source, measure ORDER BY low) AS up_to FROM lv
+),
+q AS (
+  SELECT level, lang, source, measure, any_value(docs) AS docs, min(low) FILTER (4 * up_to >= docs) AS q1,
+    min(low) FILTER (4 * up_to >= 3 * docs) AS q3 FROM k GROUP BY ALL
+),
+t AS (
+  SELECT level, lang, source, any_value(docs) AS docs,
+    max(4 * q3 - 3 * q1 + 100) FILTER (measure = 'symbol_rate') AS symbol_limit,
+    max(4 * q3 - 3 * q1 + 100) FILTER (measure = 'capital_rate') AS capital_limit,
+    max(4 * q3 - 3 * q1 + 500) FILTER (measure = 'dup_line_rate') AS dup_limit,
+    max(4 * q3 - 3 * q1 + 350) FILTER (measure = 'repeat_rate') AS repeat_limit
+  FROM q GROUP BY ALL
+),
+x AS (
+  SELECT m.*, coalesce(t1.docs, 0) >= 50 AS own, coalesce(t2.docs, 0) >= 50 AS broad,
+    CASE WHEN own THEN t1 WHEN broad THEN t2 ELSE t3 END AS l
+  FROM m LEFT JOIN t AS t1 ON t1.level = 1 AND t1.lang = m.lang AND t1.source = m.source
+  LEFT JOIN t AS t2 ON t2.level = 2 AND t2.lang = m.lang LEFT JOIN t AS t3 ON t3.level = 3
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND symbol_rate <= l.symbol_limit AND capital_rate <= l.capital_limit AND dup_line_rate <= l.dup_limit
+    AND repeat_rate <= l.repeat_limit AS kept
+FROM x
+"""
+
+
+@query("op4_quality_rules", _QUALITY_SQL)
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(quality.measure(read_table(spark, sf_dir, "documents")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query("op5_license_scans")
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_licenses(read_table(spark, sf_dir, "documents"))
