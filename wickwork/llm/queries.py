@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wickwork.llm import decontaminate, licenses, packing, quality, secrets, sharding, token_counts
+from wickwork.llm import decontaminate, html_extract, licenses, packing, quality, secrets, sharding, token_counts
 from wickwork.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,11 @@ def token_count_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_limits(token_counts.length_histogram(lengths))
 
 
+@query("op3_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"), "page_id", "url")
+
+
 _QUALITY_SQL = """
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (
