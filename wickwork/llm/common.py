@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import wickwork
 from wickwork.session import shared_folder
 
 _WHITE = b"\t\n\x0b\x0c\r "
@@ -38,17 +40,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """One batch out for each batch in, in the order of the input."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield make(batch)
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path where they see the driver's folders.
 
+    Elsewhere the package has to be installed or sent with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(wickwork.__file__)))
+    environment = df.sparkSession.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
     return df.mapInArrow(run, schema)
 
 
+def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
+    """One batch out for each batch in, in the order of the input."""
+    return map_in_arrow(df, lambda batches: (make(batch) for batch in batches if batch.num_rows), schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the folder in ``spark.checkpoint.dir``, which all executors reach."""
     context = df.sparkSession.sparkContext

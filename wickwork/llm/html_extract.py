@@ -26,6 +26,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from wickwork.llm.common import map_batches
+
 WINDOW = 3
 
 # Elements whose content is not text, elements that part blocks, and elements without an end.
@@ -230,4 +232,4 @@ def extract(pages: DataFrame, *carry: str, html: str = "html") -> DataFrame:
         return pa.RecordBatch.from_arrays(arrays, [*carry, "text", "n_chars"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.schema.fields[:keep])
-    return pages.mapInArrow(lambda batches: map(run, batches), schema + "text string, n_chars bigint")
+    return map_batches(pages, run, schema + "text string, n_chars bigint")

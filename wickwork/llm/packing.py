@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from wickwork.llm.common import map_in_arrow
 from wickwork.llm.tokens import word_encoder
 
 _ROWS = 2048  # pieces in a batch of the result
@@ -155,4 +156,4 @@ def pack(
             yield out()
 
     schema = f"doc_id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
-    return docs.mapInArrow(run, schema)
+    return map_in_arrow(docs, run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wickwork.llm import decontaminate, html_extract, licenses, packing, quality, secrets, sharding, token_counts
+from wickwork.llm import decontaminate, html_extract, licenses, near_dup, packing, quality, secrets, sharding, token_counts
 from wickwork.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,6 +208,12 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_minhash_near_dedup")
+def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query("op9_secret_scans")
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))

@@ -165,7 +165,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, *, text: str = "tex
         new = [mask(t, spans) if (spans := find(t)) else t for t in old]
         return batch.set_column(put, batch.schema.field(put), pa.array(new, batch.schema.field(put).type))
 
-    changed = docs.mapInArrow(lambda batches: map(change, batches), docs.schema)
+    changed = map_batches(docs, change, docs.schema)
     if n_chars and n_chars in docs.columns:
         changed = changed.withColumn(n_chars, F.char_length(text).cast(docs.schema[n_chars].dataType))
     return changed
