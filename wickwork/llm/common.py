@@ -6,12 +6,13 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import wickwork
 from wickwork.session import shared_folder
 
-_WHITE = b"\t\n\x0b\x0c\r "
+BROADCAST_BYTES = 8 * 1024 * 1024
+
 _LETTERS_AND_DIGITS = b"0123456789abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,3 +65,8 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def within_broadcast(keys: DataFrame, row_bytes: int = 32) -> DataFrame:
+    """``keys`` (a few numbers a row), to be broadcast only if they are counted to be few enough."""
+    return F.broadcast(keys) if keys.count() * row_bytes <= BROADCAST_BYTES else keys

@@ -160,3 +160,13 @@ def _one_pass(found: DataFrame, shared, window: int, id_type: str, last: bool, k
 
 def n_hit(hits: Column) -> Column:
     return F.aggregate(hits, F.lit(0).cast("long"), lambda n, h: n + h["last"] - h["first"])
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents without a hit, with all their columns in one pass.
+
+    The columns travel beside the text as one struct, so their names cannot clash.
+    """
+    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    found = find_items(packed, items, doc_id="row", text="text", **options)
+    return found.where(F.size("hits") == 0).select("doc_id.*")

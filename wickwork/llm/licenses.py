@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wickwork.llm.common import lower_words, map_batches
+from wickwork.llm.suffix import SuffixAutomaton
 
 
 @dataclass(frozen=True)
@@ -75,52 +76,20 @@ TEMPLATES = (
 )
 
 
-class Automaton:
-    """A suffix automaton of several word sequences, with the places where each state's runs end."""
+class Automaton(SuffixAutomaton):
+    """The automaton with the places where each state's runs end."""
 
     def __init__(self, sequences: list[list[bytes]]):
-        self.next: list[dict[bytes, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        self.places: list[list[tuple[int, int]]] = [[]]  # (sequence, words up to its end)
-        for k, sequence in enumerate(sequences):
-            last = 0
-            for i, word in enumerate(sequence):
-                last = self._extend(last, word)
-                self.places[last].append((k, i + 1))
+        super().__init__()
+        ends = [self.add(s) for s in sequences]
+        self.places: list[list[tuple[int, int]]] = [[] for _ in self.link]  # (sequence, words up to its end)
+        for k, states in enumerate(ends):
+            for i, v in enumerate(states):
+                self.places[v].append((k, i + 1))
         for v in sorted(range(1, len(self.link)), key=lambda v: -self.length[v]):
             if self.link[v] > 0:
                 self.places[self.link[v]] += self.places[v]
 
-    def _new(self, length: int, link: int, following: dict[bytes, int]) -> int:
-        self.next.append(following)
-        self.link.append(link)
-        self.length.append(length)
-        self.places.append([])
-        return len(self.next) - 1
-
-    def _split(self, p: int, word: bytes, q: int) -> int:
-        """The state of just the runs that p and the word make, taken out of q."""
-        if self.length[q] == self.length[p] + 1:
-            return q
-        copy = self._new(self.length[p] + 1, self.link[q], dict(self.next[q]))
-        while p >= 0 and self.next[p].get(word) == q:
-            self.next[p][word] = copy
-            p = self.link[p]
-        self.link[q] = copy
-        return copy
-
-    def _extend(self, last: int, word: bytes) -> int:
-        if word in self.next[last]:
-            return self._split(last, word, self.next[last][word])
-        new = self._new(self.length[last] + 1, 0, {})
-        p = last
-        while p >= 0 and word not in self.next[p]:
-            self.next[p][word] = new
-            p = self.link[p]
-        if p >= 0:
-            self.link[new] = self._split(p, word, self.next[p][word])
-        return new
-
 
 class Scanner:
     def __init__(self, phrases, templates, least: int, cover: float):

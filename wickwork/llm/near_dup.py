@@ -20,7 +20,7 @@ A pair at the threshold that does not meet in a tree does so in another: with te
 pair in 10 ** 6 is missed at the first level, one in 3000 at the second; pairs above it far less.
 
 Levels, links and components stay distributed. What is broadcast, the ids of classes whose
-texts are needed, is checked to be at most ``BROADCAST_BYTES``; beyond that the texts are joined
+texts are needed, is checked to be few megabytes; beyond that the texts are joined
 by a shuffle. After ``LEVELS`` levels the few nodes left are compared pair by pair, in a join.
 
 Defined cases: a null text, or one without words, has an empty set and links to nothing. A text
@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wickwork.llm.common import cut, map_batches
+from wickwork.llm.common import cut, map_batches, within_broadcast
 from wickwork.llm.graph import components
 
 TREES = 10
@@ -45,7 +45,6 @@ TOKEN = 3
 COORDINATES = 64
 SMALL = 16
 LEVELS = 10
-BROADCAST_BYTES = 8 * 1024 * 1024
 # Of 128 sketch bits, 64 * (1 - s) differ on average; five standard deviations more are let pass at s = 0.8.
 SKETCH_BITS = 34
 
@@ -288,8 +287,3 @@ def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80
     if found.groupBy("doc_id", "text_key").count().where("count > 1").take(1):
         left = left.dropDuplicates([doc_id, text])
     return left
-
-
-def within_broadcast(keys: DataFrame) -> DataFrame:
-    """``keys`` (a few numbers a row), to be broadcast if they are counted to be few enough."""
-    return F.broadcast(keys) if keys.count() * 32 <= BROADCAST_BYTES else keys

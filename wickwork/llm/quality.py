@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wickwork.llm.common import cut
+from wickwork.llm.common import cut, within_broadcast
 
 # White space that parts words, and characters that count as symbols.
 _WHITE = " \t\n\x0b\x0c\r"
@@ -180,10 +180,10 @@ def keep_good(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     """The documents that the rules keep, with all their columns.
 
     A row is found again by its id and a hash of its text, so rows with the same id, or none,
-    are told apart; rows equal in both are judged alike.
+    are told apart. What is joined to the documents are the rows that go.
     """
-    key = "__row_key"
-    keyed = docs.withColumn(key, F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h")))
-    measured = measure(keyed, doc_id=key, text=text)
-    kept = judge(measured).where("kept").select(F.col("doc_id").alias("__kept_key")).distinct()
-    return keyed.join(kept, F.col(key).eqNullSafe(F.col("__kept_key")), "left_semi").drop(key)
+    row = F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("hash"))
+    measured = measure(docs.select(row.alias("row"), "lang", "source", text), doc_id="row", text=text)
+    gone = judge(measured).where(~F.col("kept")).select(F.col("doc_id.id").alias("__id"), F.col("doc_id.hash").alias("__hash"))
+    gone = within_broadcast(cut(gone.distinct()))
+    return docs.join(gone, docs[doc_id].eqNullSafe(gone["__id"]) & (F.xxhash64(docs[text]) == gone["__hash"]), "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wickwork.llm import decontaminate, html_extract, licenses, near_dup, packing, quality, secrets, sharding, token_counts
+from wickwork.llm import decontaminate, html_extract, licenses, near_dup, packing, quality, secrets, sharding, substring_dedup, token_counts
 from wickwork.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,9 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("op10_substring_dedup")
+def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
