@@ -81,9 +81,9 @@ class Automaton(SuffixAutomaton):
 
     def __init__(self, sequences: list[list[bytes]]):
         super().__init__()
-        ends = [self.add(s) for s in sequences]
+        self.ends = [self.add(s) for s in sequences]
         self.places: list[list[tuple[int, int]]] = [[] for _ in self.link]  # (sequence, words up to its end)
-        for k, states in enumerate(ends):
+        for k, states in enumerate(self.ends):
             for i, v in enumerate(states):
                 self.places[v].append((k, i + 1))
         for v in sorted(range(1, len(self.link)), key=lambda v: -self.length[v]):
@@ -98,16 +98,13 @@ class Scanner:
         self.sizes = [len(s) for s in sequences]
         self.automaton = Automaton(sequences)
         # Of each state: the phrases that are a suffix of its runs, with their lengths.
-        first = len(templates)
-        self.ending = [
-            [(k - first, self.sizes[k]) for k in sorted({k for k, end in places if k >= first and end == self.sizes[k]})]
-            for places in self.automaton.places
-        ]
-        for v, link in enumerate(self.automaton.link):
-            above = link
-            while above > 0:
-                self.ending[v] += [x for x in self.ending[above] if x not in self.ending[v]]
-                above = self.automaton.link[above]
+        self.ending: list[list[tuple[int, int]]] = [[] for _ in self.automaton.link]
+        for k in range(len(phrases)):
+            states = self.automaton.ends[len(templates) + k]
+            if states:
+                self.ending[states[-1]].append((k, len(states)))
+        for v in sorted(range(1, len(self.ending)), key=lambda v: self.automaton.length[v]):
+            self.ending[v] += self.ending[self.automaton.link[v]]
 
     def scan(self, document: list[bytes]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
         """Phrases as (first, last, label), spans as (first, last, label, covered share); words, ends exclusive."""
