@@ -10,8 +10,8 @@ whole tokenizer.
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 _LETTERS = "a-zß-öø-ÿ"
@@ -30,24 +30,33 @@ def _byte_letters() -> dict[int, str]:
 _SHOWN = _byte_letters()
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Cache(dict):
-    """Values made on first use; emptied when ``most`` are held."""
+    """Values made on first use. When ``most`` are held they become the old generation; those still used come back from it."""
 
     def __init__(self, make, most: int):
         super().__init__()
         self.make, self.most = make, most
+        self.old: dict = {}
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
 class WordEncoder:
     """``encode(text)``: the ids of a text as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, cached: int = 150_000):
+    def __init__(self, path: str, cached: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -55,14 +64,16 @@ class WordEncoder:
         self.chunks = _Cache(self._chunk, cached)
 
     def _piece(self, piece: str) -> bytes:
-        shown = "".join(map(_SHOWN.__getitem__, piece.encode()))
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        shown = piece if piece.isascii() else "".join(map(_SHOWN.__getitem__, piece.encode()))
+        return _packed([t.id for t in self.model.tokenize(shown)])
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
+        if chunk.isalpha():
+            return self.pieces[text.lower()]
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.chunks.__getitem__, text.encode().split())) if text else b""
