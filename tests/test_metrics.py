@@ -76,8 +76,39 @@ def test_open_and_close_need_one_row_per_bucket(spark):
     for bad in (spec(["open"], ["coin_id"]), spec(["close"], ["coin_id"], granularity="day")):
         with pytest.raises(ValueError):
             M.metric_query(silver, M.CANDLES, bad, NOW)
-    fine = spec(["open", "close"], ["coin_id"], granularity="hour", dateRange=["2024-01-01", "2024-01-02"])
-    assert M.metric_query(silver, M.CANDLES, fine, NOW).count() == 1
+    hours = {"granularity": "hour", "dateRange": ["2024-01-01", "2024-01-02"]}
+    one = {"member": "interval", "operator": "equals", "values": ["1h"]}
+    two = {"member": "interval", "operator": "equals", "values": ["1h", "4h"]}
+    for bad in (spec(["open"], **hours), spec(["open"], ["coin_id"], **hours), spec(["open"], ["coin_id"], [two], **hours)):
+        with pytest.raises(ValueError):
+            M.metric_query(silver, M.CANDLES, bad, NOW)
+    for fine in (spec(["open", "close"], ["coin_id", "interval"], **hours), spec(["open", "close"], ["coin_id"], [one], **hours)):
+        assert M.metric_query(silver, M.CANDLES, fine, NOW).count() == 1
+
+
+def test_a_rollup_answers_only_for_what_it_was_built_over():
+    query = spec(["count"], dateRange=["2024-01-01", "2024-01-02"])
+    as_of = utc(2024, 1, 4)
+    built = lambda *t: {NAME: utc(*t)}
+    assert M.choose_source(M.CANDLES, query, as_of, [NAME], built(2024, 1, 3)) == NAME
+    assert M.choose_source(M.CANDLES, query, as_of, [NAME], built(2024, 1, 1, 12)) is None
+    assert M.choose_source(M.CANDLES, query, as_of, [], None) is None
+    old = spec(["count"], dateRange=["2022-12-01", "2022-12-02"])
+    assert M.choose_source(M.CANDLES, old, as_of, [NAME], built(2024, 1, 3)) is None
+    hourly = spec(["count"], time="hour", dateRange=["2024-01-01", "2024-01-02"])
+    name = "hourly_metrics_by_coin"
+    assert M.choose_source(M.HOURLY, hourly, as_of, [name], {name: utc(2024, 1, 2)}) is None
+    assert M.choose_source(M.HOURLY, hourly, as_of, [name], {name: utc(2024, 1, 3)}) == name
+
+
+def test_the_time_of_a_build_is_stored(spark, silver, tmp_path):
+    from wickwork.sinks.rollups import rollup_built_at
+
+    path = str(tmp_path / "r")
+    write_rollup(silver, M.CANDLES, NAME, path, utc(2024, 3, 2, 1))
+    assert rollup_built_at(spark, path) == datetime(2024, 3, 2, 1)
+    write_rollup(silver, M.CANDLES, NAME, path, utc(2024, 3, 3), changed_since=utc(2024, 3, 2))
+    assert rollup_built_at(spark, path) == datetime(2024, 3, 3)
 
 
 def test_thirteen_months_back_from_month_ends():

@@ -88,13 +88,18 @@ def test_listing_and_reading_selected_files_only(spark, tmp_path):
     assert archive.read_kline_archive(spark, str(tmp_path), keys).select("path").distinct().count() == 4
 
 
-def test_selected_files_beyond_the_list_limit(spark, tmp_path, monkeypatch):
+def test_wanted_files_are_found_however_their_keys_are_written(spark, tmp_path):
     for key in KEYS:
         if key.endswith(".zip"):
             make_zip(tmp_path / key, {"x.csv": LINE})
-    monkeypatch.setattr(archive, "_MAX_PATH_LIST", 1)
     keys = archive.select_archive_files(archive.archive_keys(spark, str(tmp_path)))
-    assert archive.read_kline_archive(spark, str(tmp_path), keys).select("path").distinct().count() == 4
+    names = [r["key"] for r in keys.collect()]
+    bare = [n.split(":", 1)[1] for n in names]
+    for written in (names, bare, ["file://" + n for n in bare], [names[0], *bare[1:]]):
+        wanted = spark.createDataFrame([(n,) for n in written], "key string")
+        assert archive.read_kline_archive(spark, str(tmp_path), wanted).select("path").distinct().count() == 4
+    none = spark.createDataFrame([], "key string")
+    assert archive.read_kline_archive(spark, str(tmp_path), none).count() == 0
 
 
 def test_epoch_threshold(spark):

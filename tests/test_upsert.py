@@ -183,3 +183,26 @@ def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     lookup = final.split("Union")[1].split("LeftAnti")[0]
     assert "BroadcastHashJoin" in lookup and "SortMergeJoin" not in lookup
     assert merged.count() == 51
+
+
+def test_rows_without_a_time_do_not_replace_each_other(spark, tmp_path):
+    """A table partitioned by time keeps its stored rows whatever the source lacks."""
+    path, table = str(tmp_path / "h"), layout.MARKET_CAP_HISTORY
+    T.create_table(spark, path, table)
+    stored = frame(spark, [{"coin_id": "a", "timestamp": None}, {"coin_id": "b", "timestamp": NOW}], S.MARKET_CAP_HISTORY)
+    T.append(stored, path, table)
+    source = frame(spark, [{"coin_id": "c", "timestamp": None}, {"coin_id": "c", "timestamp": NOW}], S.MARKET_CAP_HISTORY)
+    assert T.upsert_table(path, source, table) == 1
+    rows = layout.read_table(spark, path, table).select("coin_id", "timestamp").collect()
+    assert sorted((r["coin_id"], r["timestamp"] is None) for r in rows) == [("a", True), ("b", False), ("c", False)]
+
+
+def test_partitions_a_rebuild_no_longer_has_go(spark, tmp_path):
+    path, table = str(tmp_path / "h"), layout.MARKET_CAP_HISTORY
+    T.create_table(spark, path, table)
+    rows = [{"coin_id": "a", "timestamp": utc(2024, m, 1)} for m in (1, 2, 3)] + [{"coin_id": "n", "timestamp": None}]
+    T.append(frame(spark, rows, S.MARKET_CAP_HISTORY), path, table)
+    T.drop_partitions_except(spark, path, table, ["2024-03"], since="2024-02")
+    assert T.partition_values(spark, path, table) == ["2024-01", "2024-03", "__HIVE_DEFAULT_PARTITION__"]
+    T.drop_partitions_except(spark, path, table, ["2024-01", None])
+    assert T.partition_values(spark, path, table) == ["2024-01", "__HIVE_DEFAULT_PARTITION__"]

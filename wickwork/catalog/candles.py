@@ -15,7 +15,7 @@ from wickwork.operators import incremental, rollup
 from wickwork.operators.quality import reject_counts, sane
 from wickwork.plans import jobs
 from wickwork.session import new_folder
-from wickwork.sinks.tables import append, create_table
+from wickwork.sinks.tables import append, create_table, delete_from_table
 
 _DEDUPED = (BRONZE, SILVER)
 # The time bronze is split at where a query loads it in two parts.
@@ -213,3 +213,33 @@ def gold_incremental(spark, sf_dir):
     as_of = datetime(2024, 1, 31)
     jobs.rebuild_gold(spark, tables, "hour", as_of=as_of, lookback=as_of - since)
     return read_table(spark, tables.path("hourly_candle_metrics"), layout.GOLD_HOURLY).drop("date")
+
+
+@query(
+    "rebuild_after_delete",
+    ctes(BRONZE, SILVER, "short AS (SELECT * FROM silver WHERE open_time < TIMESTAMP '2024-01-20')", gold_sql("gold", "short", "day"))
+    + "SELECT * FROM gold",
+)
+def rebuild_after_delete(spark, sf_dir):
+    """Days deleted from bronze are gone from silver and gold after a full rebuild."""
+    tables, _ = _two_loads(spark, sf_dir)
+    delete_from_table(spark, tables.path("bronze_candles"), layout.BRONZE, F.col("open_time") >= F.lit("2024-01-20").cast("timestamp"))
+    jobs.rebuild_silver(spark, tables)
+    jobs.rebuild_gold(spark, tables, "day")
+    return read_table(spark, tables.path("daily_candle_metrics"), layout.GOLD_DAILY).drop("date")
+
+
+@query(
+    "silver_null_publish_time",
+    ctes(*_DEDUPED) + "SELECT * EXCLUDE (latest_publish_time), CAST(NULL AS TIMESTAMP) AS latest_publish_time FROM silver",
+)
+def silver_null_publish_time(spark, sf_dir):
+    """Versions without a publish time are merged by a refresh that is bounded by publish time."""
+    tables = jobs.Tables(new_folder(spark, "null-times"))
+    for name in ("bronze_candles", "silver_candles"):
+        create_table(spark, tables.path(name), tables.layouts[name])
+    silver = sane_silver(spark, sf_dir).withColumnRenamed("latest_publish_time", "publish_time")
+    silver = silver.withColumn("publish_time", F.lit(None).cast("timestamp"))
+    append(silver, tables.path("bronze_candles"), layout.BRONZE)
+    jobs.refresh_silver(spark, tables, since=datetime(2023, 12, 1), published_after=_MID)
+    return read_table(spark, tables.path("silver_candles"), layout.SILVER).drop("date")

@@ -10,7 +10,9 @@ from wickwork.catalog.serving import daily_gold, hourly_gold
 from wickwork.catalog.shapes import BRONZE, EVENTS_AS_OF, SILVER, gold_sql
 from wickwork.operators.metrics import CANDLES, DAILY, HOURLY, build_rollup, metric_query
 from wickwork.session import new_folder
-from wickwork.sinks.rollups import read_rollup, write_rollup
+from wickwork.layout import SILVER as SILVER_TABLE, read_table
+from wickwork.sinks.rollups import read_rollup, rollup_built_at, write_rollup
+from wickwork.sinks.tables import write_partitions
 
 _DEDUPED = (BRONZE, SILVER)
 _LAST_WEEK = "{t} >= TIMESTAMP '2024-01-23' AND {t} < TIMESTAMP '2024-01-30'"
@@ -39,17 +41,65 @@ def metric_query_rollup(spark, sf_dir):
     return metric_query(silver, CANDLES, BY_COIN, EVENTS_AS_OF, {name: read_rollup(silver, CANDLES, name, path)})
 
 
+@query("metric_query_stale_rollup", ctes(*_DEDUPED) + _BY_COIN_SQL)
+def metric_query_stale_rollup(spark, sf_dir):
+    """A rollup built before the range ends does not answer for it; the table does."""
+    name, path = "candles_by_coin_and_hour", new_folder(spark, "rollup")
+    silver, early = sane_silver(spark, sf_dir), datetime(2024, 1, 26)
+    write_rollup(silver.filter("open_time < timestamp'2024-01-26'"), CANDLES, name, path, early)
+    stored, built = read_rollup(silver, CANDLES, name, path), {name: rollup_built_at(spark, path)}
+    return metric_query(silver, CANDLES, BY_COIN, EVENTS_AS_OF, {name: stored}, built)
+
+
+@query(
+    "metric_query_empty_count",
+    ctes(*_DEDUPED)
+    + """SELECT count(*) AS count, max(high) AS high FROM silver
+    WHERE coin_id = 'nobody' AND open_time >= TIMESTAMP '2024-01-23' AND open_time < TIMESTAMP '2024-01-30'""",
+)
+def metric_query_empty_count(spark, sf_dir):
+    """A count over no rows is 0 from a rollup too."""
+    name = "candles_by_coin_and_hour"
+    spec = {
+        "measures": ["count", "high"],
+        "filters": [{"member": "coin_id", "operator": "equals", "values": ["nobody"]}],
+        "timeDimensions": [{"dimension": "open_time", "dateRange": "last 7 days"}],
+    }
+    silver = sane_silver(spark, sf_dir)
+    return metric_query(silver, CANDLES, spec, EVENTS_AS_OF, {name: build_rollup(silver, CANDLES, name, EVENTS_AS_OF)})
+
+
+@query(
+    "metric_query_close_time",
+    ctes(*_DEDUPED)
+    + """SELECT coin_id, count(*) AS count, max(high) AS high FROM silver
+    WHERE open_time + INTERVAL 7 DAY >= TIMESTAMP '2024-01-23' AND open_time + INTERVAL 7 DAY < TIMESTAMP '2024-01-30'
+    GROUP BY 1""",
+)
+def metric_query_close_time(spark, sf_dir):
+    """A range of close times over a stored table whose partitions follow from open times, with week-long candles."""
+    path = new_folder(spark, "silver")
+    weekly = sane_silver(spark, sf_dir).selectExpr("* EXCEPT (close_time)", "open_time + INTERVAL 7 DAY AS close_time")
+    write_partitions(weekly, path, SILVER_TABLE)
+    spec = {
+        "measures": ["count", "high"],
+        "dimensions": ["coin_id"],
+        "timeDimensions": [{"dimension": "close_time", "dateRange": "last 7 days"}],
+    }
+    return metric_query(read_table(spark, path, SILVER_TABLE), CANDLES, spec, EVENTS_AS_OF)
+
+
 @query(
     "metric_query_candles",
     ctes(*_DEDUPED)
-    + f"""SELECT coin_id, date_trunc('hour', open_time) AS open_time, max(open) AS open, max(high) AS high,
+    + f"""SELECT coin_id, "interval", date_trunc('hour', open_time) AS open_time, max(open) AS open, max(high) AS high,
       min(low) AS low, max(close) AS close FROM silver
-    WHERE {_LAST_WEEK.format(t='open_time')} GROUP BY 1, 2""",
+    WHERE {_LAST_WEEK.format(t='open_time')} GROUP BY 1, 2, 3""",
 )
 def metric_query_candles(spark, sf_dir):
     spec = {
         "measures": ["open", "high", "low", "close"],
-        "dimensions": ["coin_id"],
+        "dimensions": ["coin_id", "interval"],
         "timeDimensions": [{"dimension": "open_time", "granularity": "hour", "dateRange": "last 7 days"}],
     }
     return metric_query(sane_silver(spark, sf_dir), CANDLES, spec, EVENTS_AS_OF)

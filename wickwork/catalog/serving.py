@@ -125,6 +125,31 @@ def history(spark, sf_dir):
     return serving.history(daily, hourly, "click", datetime(2024, 1, 10), EVENTS_AS_OF)
 
 
+_REPLAY = """
+today AS (
+  SELECT coin_id, date_trunc('day', bucket_start) AS bucket_start, arg_min(open, bucket_start) AS open,
+    max(high) AS high, min(low) AS low, arg_max(close, bucket_start) AS close,
+    CAST(sum(volume) AS DECIMAL(28,10)) AS volume, FALSE AS is_closed, max(updated_at) AS updated_at
+  FROM hourly WHERE bucket_start >= TIMESTAMP '2024-01-16' AND bucket_start < TIMESTAMP '2024-01-17' GROUP BY 1, 2),
+merged AS (
+  SELECT * FROM daily WHERE bucket_start < TIMESTAMP '2024-01-16'
+  UNION ALL SELECT * FROM daily d WHERE bucket_start = TIMESTAMP '2024-01-16'
+    AND NOT EXISTS (SELECT 1 FROM today t WHERE t.coin_id = d.coin_id)
+  UNION ALL SELECT * FROM today)"""
+
+
+@query(
+    "history_replay",
+    ctes(*_BARS, _REPLAY)
+    + "SELECT * FROM merged WHERE coin_id = 'view' AND bucket_start >= TIMESTAMP '2024-01-10' ORDER BY bucket_start",
+)
+def history_replay(spark, sf_dir):
+    """The history as of a past day shows nothing of the days after it."""
+    daily = _bars(spark, sf_dir, daily_gold, "day")
+    hourly = _bars(spark, sf_dir, hourly_gold, "hour")
+    return serving.history(daily, hourly, "view", datetime(2024, 1, 10), datetime(2024, 1, 16, 5))
+
+
 @query(
     "range_scan",
     ctes(*_HOURLY, _serving_sql("serving", "hour", "HOUR"))

@@ -45,6 +45,12 @@ class Layout:
         """The partition a timestamp of the source column belongs to; not for hashed tables."""
         return F.date_format(value, "yyyy-MM") if self.kind == "month" else F.to_date(value)
 
+    def in_partitions(self, values: list) -> Column:
+        """Whether a row lies in one of the given partitions; None stands for rows without a partition value."""
+        known = [F.lit(v).cast(self.partition_type) for v in values if v is not None]
+        inside = F.col(self.partition).isin(known) if known else F.lit(False)
+        return inside | F.col(self.partition).isNull() if len(known) < len(values) else inside
+
     def stored_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(self.partition, self.partition_type)])
 
@@ -68,23 +74,25 @@ def time_range(
     """Rows with ``start <= ts_col < end``, and the same bounds on the table's partition column.
 
     Spark cannot tell that ``date`` or ``month`` follow from a timestamp; without their own
-    filter every partition would be listed and opened.
+    filter every partition would be listed and opened. They follow from the column the layouts
+    name as their source: of any other timestamp they say nothing.
     """
     dtype = df.schema[ts_col].dataType
-    as_date = isinstance(df.schema["date"].dataType, T.DateType) if "date" in df.columns else False
+    partitioned = set(df.columns) & {"date", "month"} if ts_col in _SOURCES else set()
+    as_date = "date" in partitioned and isinstance(df.schema["date"].dataType, T.DateType)
     if start is not None:
         first = utc(start)
         df = df.filter(F.col(ts_col) >= at(first, dtype))
         if as_date:
             df = df.filter(F.col("date") >= F.lit(first.date()))
-        if "month" in df.columns:
+        if "month" in partitioned:
             df = df.filter(F.col("month") >= first.strftime("%Y-%m"))
     if end is not None:
         last = utc(end) - timedelta(microseconds=1)
         df = df.filter(F.col(ts_col) < at(end, dtype))
         if as_date:
             df = df.filter(F.col("date") <= F.lit(last.date()))
-        if "month" in df.columns:
+        if "month" in partitioned:
             df = df.filter(F.col("month") <= last.strftime("%Y-%m"))
     return df
 
@@ -111,3 +119,5 @@ ROLLUPS_DAILY = Layout(
     S.SERVING, ("coin_id", "bucket_start"), "month", "bucket_start", sort=("coin_id", "-bucket_start")
 )
 ROLLUPS = {"hour": ROLLUPS_HOURLY, "day": ROLLUPS_DAILY}
+# The timestamps that partitions are made from.
+_SOURCES = {t.source for t in (BRONZE, SILVER, *GOLD.values(), MARKET_CAP_HISTORY, *ROLLUPS.values())}

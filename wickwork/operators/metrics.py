@@ -6,7 +6,7 @@ one ``groupBy().agg()`` on the table or, when that gives the same answer, on a r
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -204,17 +204,37 @@ def _check_single_row(model: Model, request: _Request) -> None:
         raise ValueError(
             f"{', '.join(wanted)}: only at {model.finest} granularity; use the rollup operators for coarser bars"
         )
+    # A candle is one coin's and one interval's: both have to be told apart, or be one value.
+    single = {m for m, values in request.filters if len(set(values)) == 1}
+    loose = [k for k in _SERIES_KEY if k in model.dimensions and k not in single and k not in request.dimensions]
+    if loose:
+        raise ValueError(f"{', '.join(wanted)}: needs {', '.join(loose)} as a dimension or with one value")
 
 
-def choose_source(model: Model, spec: Mapping, as_of: datetime) -> str | None:
+_SERIES_KEY = ("coin_id", "interval")
+
+
+def choose_source(
+    model: Model,
+    spec: Mapping,
+    as_of: datetime,
+    available: Collection[str] | None = None,
+    built_at: Mapping[str, datetime] | None = None,
+) -> str | None:
     """Name of the rollup that answers the query exactly, or None for the table itself.
 
-    The rollup has to hold every measure, all additive, every dimension and filter member,
-    buckets no coarser than asked for, a range that starts and ends on bucket edges, and
-    all of that range.
+    The rollup has to be ``available`` (None: all are) and to hold every measure, all additive,
+    every dimension and filter member, buckets no coarser than asked for, a range that starts
+    and ends on bucket edges, and all of that range. What it holds follows from the time it was
+    built: a stored rollup's is in ``built_at``; one that is not named there was built at ``as_of``.
     """
     request = _request(model, spec, as_of)
     for name, rollup in model.rollups.items():
+        if available is not None and name not in available:
+            continue
+        built = utc((built_at or {}).get(name, as_of))
+        if built < utc(as_of) and (request.end is None or request.end > built):
+            continue
         kinds = {model.measures[m][0] for m in request.measures}
         if not kinds <= _ADDITIVE or not set(request.measures) <= set(rollup.measures):
             continue
@@ -229,7 +249,7 @@ def choose_source(model: Model, spec: Mapping, as_of: datetime) -> str | None:
         if any(trunc(e, rollup.granularity) != e for e in edges):
             continue
         if rollup.build_months is not None:
-            covered_from, covered_to = build_range(rollup, as_of)
+            covered_from, covered_to = build_range(rollup, built)
             if request.start is None or request.start < covered_from or request.end > covered_to:
                 continue
         return name
@@ -293,20 +313,24 @@ def metric_query(
     spec: Mapping,
     as_of: datetime,
     rollups: Mapping[str, DataFrame] | None = None,
+    built_at: Mapping[str, datetime] | None = None,
 ) -> DataFrame:
     """Answer ``{measures, dimensions, filters, timeDimensions}`` from the table or a given rollup.
 
-    Column names are the member names without the model prefix.
+    ``built_at`` names the time each stored rollup was built; ``sinks.rollups.rollup_built_at``
+    reads it. Column names are the member names without the model prefix.
     """
     request = _request(model, spec, as_of)
     _check_single_row(model, request)
-    chosen = choose_source(model, spec, as_of) if rollups else None
-    if chosen is not None and chosen in rollups:
-        # Within a rollup a count is summed; every other additive measure combines as itself.
+    chosen = choose_source(model, spec, as_of, rollups, built_at) if rollups else None
+    if chosen is not None:
+        # Within a rollup a count is summed, and is 0 over no rows; every other additive measure combines as itself.
         aggregates = []
         for m in request.measures:
-            kind = model.measures[m][0]
-            aggregates.append(_aggregate("sum" if kind == "count" else kind, m).alias(m))
+            kind, column = model.measures[m]
+            combined = _aggregate("sum" if kind == "count" else kind, m)
+            counts_rows = kind == "count" and column is None
+            aggregates.append((F.coalesce(combined, F.lit(0)) if counts_rows else combined).alias(m))
         stored = _parts(rollups[chosen], model.rollups[chosen], request)
         return _grouped(_filtered(stored, request), request, aggregates)
     aggregates = []

@@ -58,7 +58,8 @@ def range_scan(rollups: DataFrame, coin_id: str, start: datetime, end: datetime
 def today_bars(hourly: DataFrame, as_of: datetime) -> DataFrame:
     """Today's day bar of each coin, made from its hourly bars so far."""
     ts_type = hourly.schema["bucket_start"].dataType
-    today = time_range(hourly, "bucket_start", trunc(as_of, "day"))
+    first = trunc(as_of, "day")
+    today = time_range(hourly, "bucket_start", first, first + timedelta(days=1))
     bars = today.groupBy("coin_id", bucket(today, "bucket_start", "day").alias("day")).agg(
         F.min_by("open", "bucket_start").alias("open"),
         F.max("high").alias("high"),
@@ -76,12 +77,12 @@ def with_today(daily: DataFrame, hourly: DataFrame, as_of: datetime) -> DataFram
     """Daily bars with today's bar taken from the hourly ones where a coin has any.
 
     Only rows of today take part in the join; history passes through with its filter pushed
-    to the scan.
+    to the scan. Rows of later days do not exist yet at ``as_of``.
     """
     today = trunc(as_of, "day")
     bars = today_bars(hourly, as_of)
     history = time_range(daily, "bucket_start", end=today).select(*bars.columns)
-    stored_today = time_range(daily, "bucket_start", start=today).select(*bars.columns)
+    stored_today = time_range(daily, "bucket_start", today, today + timedelta(days=1)).select(*bars.columns)
     kept = stored_today.join(bars.select("coin_id", "bucket_start"), ["coin_id", "bucket_start"], "left_anti")
     return history.unionByName(kept).unionByName(bars)
 

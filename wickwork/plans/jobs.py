@@ -20,7 +20,15 @@ from wickwork.operators.quality import is_sane, job_counters
 from wickwork.operators.series import align_series
 from wickwork.session import staged, staging
 from wickwork.sinks.files import load_ndjson, stage_ndjson
-from wickwork.sinks.tables import append, create_table, prune_table, upsert_table, write_partitions
+from wickwork.sinks.tables import (
+    append,
+    create_table,
+    drop_partitions_except,
+    prune_table,
+    touched_partitions,
+    upsert_table,
+    write_partitions,
+)
 from wickwork.sources import archive, landed
 from wickwork.sources.tables import first_coins
 from wickwork.streaming.events import merge_into_silver
@@ -102,9 +110,12 @@ def ingest_candles(
 
 
 def rebuild_silver(spark: SparkSession, tables: Tables) -> None:
-    """Silver from all of bronze, in one pass."""
+    """Silver from all of bronze, in one pass. Days that bronze no longer has go."""
     bronze = tables.read(spark, "bronze_candles").drop("month")
-    write_partitions(rollup.silver(bronze), tables.path("silver_candles"), layout.SILVER)
+    path = tables.path("silver_candles")
+    write_partitions(rollup.silver(bronze), path, layout.SILVER)
+    days = touched_partitions(bronze.select(layout.SILVER.partition_value().alias("date")), layout.SILVER)
+    drop_partitions_except(spark, path, layout.SILVER, days)
 
 
 def refresh_silver(
@@ -113,11 +124,12 @@ def refresh_silver(
     """Merge bronze versions of candles from ``since`` on into silver; returns the days that changed.
 
     ``since`` bounds candles by open time, which bronze partitions prune by, and
-    ``published_after`` versions by publish time. With nothing new in bronze nothing is written.
+    ``published_after`` versions by publish time; versions without one are always merged, as
+    merging again changes nothing. With nothing new in bronze nothing is written.
     """
     bronze = time_range(tables.read(spark, "bronze_candles"), "open_time", since)
     if published_after is not None:
-        bronze = bronze.filter(F.col("publish_time") > at(published_after))
+        bronze = bronze.filter(F.col("publish_time").isNull() | (F.col("publish_time") > at(published_after)))
     return merge_into_silver(bronze.drop("month"), tables.path("silver_candles"))
 
 
@@ -130,13 +142,18 @@ def rebuild_gold(
 ) -> None:
     """Rebuild a gold table: all of it, or the days the lookback reaches into when ``as_of`` is given.
 
-    Whole days are rebuilt because a day is the unit that is replaced.
+    Whole days are rebuilt because a day is the unit that is replaced; rebuilt days that silver
+    no longer has go.
     """
     silver = tables.read(spark, "silver_candles")
+    since = ""
     if as_of is not None:
         first = trunc(rollup.lookback_start(as_of, unit, lookback), "day")
         silver = time_range(silver, "open_time", first)
-    write_partitions(rollup.ohlcv(silver, unit), tables.path(GOLD_NAME[unit]), layout.GOLD[unit])
+        since = first.strftime("%Y-%m-%d")
+    path, gold = tables.path(GOLD_NAME[unit]), layout.GOLD[unit]
+    write_partitions(rollup.ohlcv(silver, unit), path, gold)
+    drop_partitions_except(spark, path, gold, touched_partitions(silver, layout.SILVER), since)
 
 
 def sync_serving(

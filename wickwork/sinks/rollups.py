@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wickwork.functions.times import at
 from wickwork.layout import time_range
@@ -22,8 +22,9 @@ def write_rollup(
     """Build a rollup into ``path``, partitioned by time and sorted by coin inside each file.
 
     With ``changed_since`` only the partitions that hold a row published after it are
-    rebuilt; with no such row nothing is written. Returns the rebuilt partitions, or None
-    for a full build.
+    rebuilt; with no such row no rows are written. Returns the rebuilt partitions, or None
+    for a full build. The time of the build is stored beside the rollup, after its rows: what
+    lies after it the rollup does not hold.
     """
     rollup = model.rollups[name]
     ts = F.col(rollup.time_dimension)
@@ -34,6 +35,7 @@ def write_rollup(
         # One value per month or year of the table.
         changed = sorted(r[0] for r in newer.select(part.alias("part")).distinct().collect())
         if not changed:
+            _note_built(table, path, as_of)
             return changed
         first = datetime(changed[0].year, changed[0].month, 1)
         table = time_range(table, rollup.time_dimension, first).filter(part.isin(changed))
@@ -46,9 +48,21 @@ def write_rollup(
         .partitionBy("part")
         .parquet(path)
     )
+    _note_built(table, path, as_of)
     return changed
 
 
+def _note_built(table: DataFrame, path: str, as_of: datetime) -> None:
+    built = table.sparkSession.range(1).select(at(as_of).alias("built_at"))
+    built.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}-built")
+
+
+def rollup_built_at(spark: SparkSession, path: str) -> datetime:
+    """When a stored rollup was last built or refreshed, in UTC."""
+    built = spark.read.parquet(f"{path.rstrip('/')}-built").select(F.unix_micros("built_at"))
+    return datetime(1970, 1, 1) + timedelta(microseconds=built.first()[0])
+
+
 def read_rollup(table: DataFrame, model: Model, name: str, path: str) -> DataFrame:
     """A stored rollup of ``table``, under the schema its model gives it."""
     schema = build_rollup(table, model, name, datetime(2000, 1, 1)).schema

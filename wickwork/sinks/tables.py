@@ -20,6 +20,10 @@ from wickwork.operators.upsert import delete_where, upsert
 from wickwork.session import file_system, remove, sized_staging
 
 
+# Fixed value: the directory of rows whose partition value is null.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
     return fs.exists(p)
@@ -78,6 +82,15 @@ def append(df: DataFrame, path: str, layout: Layout) -> None:
     _sorted_for_write(shaped, layout).write.mode("append").partitionBy(layout.partition).parquet(path)
 
 
+def drop_partitions_except(spark: SparkSession, path: str, layout: Layout, kept: list, since: str = "") -> None:
+    """Remove the partitions from ``since`` on (a directory value) that ``kept`` does not name."""
+    names = {_NO_VALUE if v is None else str(v) for v in kept}
+    for value in partition_values(spark, path, layout):
+        reached = not since if value == _NO_VALUE else value >= since
+        if reached and value not in names:
+            remove(spark, f"{path}/{layout.partition}={value}")
+
+
 def touched_partitions(df: DataFrame, layout: Layout) -> list:
     """Distinct partition values of ``df``: one per directory of the table, never one per row."""
     return [r[0] for r in df.select(layout.partition).distinct().collect()]
@@ -94,17 +107,19 @@ def upsert_table(
     """Merge ``source`` into the table by the layout's key, rewriting only the partitions it touches.
 
     Columns of the table that the source lacks are null in inserted rows and unchanged in
-    updated ones. Returns the number of source rows.
+    updated ones. Source rows without a whole key have no place in the table and are left out.
+    Returns the number of source rows merged.
     """
     spark = source.sparkSession
     present = [c for c in layout.schema.names if c in source.columns]
     if update is None:
         update = [c for c in present if c not in layout.keys]
-    with sized_staging(source.withColumn(layout.partition, layout.partition_value()), "upsert") as (rows, small):
+    keyed = source.dropna(subset=list(layout.keys)).withColumn(layout.partition, layout.partition_value())
+    with sized_staging(keyed, "upsert") as (rows, small):
         values = touched_partitions(rows, layout)
         if not values:
             return 0
-        target = read_table(spark, path, layout).filter(F.col(layout.partition).isin(values))
+        target = read_table(spark, path, layout).filter(layout.in_partitions(values))
         merged = upsert(
             target.drop(layout.partition),
             rows.drop(layout.partition),
@@ -154,8 +169,7 @@ def delete_from_table(spark: SparkSession, path: str, layout: Layout, condition:
 
 
 def _delete_in(spark: SparkSession, path: str, layout: Layout, values: list[str], condition: Column) -> int:
-    chosen = F.col(layout.partition).isin([F.lit(v).cast(layout.partition_type) for v in values])
-    inside = read_table(spark, path, layout).filter(chosen)
+    inside = read_table(spark, path, layout).filter(layout.in_partitions(values))
     deletes = F.coalesce(condition, F.lit(False))
     counts = {
         r["value"]: (r["deleted"], r["kept"])
@@ -169,5 +183,5 @@ def _delete_in(spark: SparkSession, path: str, layout: Layout, values: list[str]
         # A dynamic overwrite leaves a partition alone when no rows remain for it.
         for value, (_, kept) in counts.items():
             if kept == 0:
-                remove(spark, f"{path}/{layout.partition}={value}")
+                remove(spark, f"{path}/{layout.partition}={_NO_VALUE if value is None else value}")
     return deleted

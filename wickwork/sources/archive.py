@@ -7,12 +7,11 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wickwork.functions.values import whole
 
 _LINES_PER_BATCH = 50_000
-_MAX_PATH_LIST = 100_000
 
 # Fixed value: <SYMBOL>-<interval>-<YYYY>-<MM>[-<DD>].zip
 _FILE_NAME = r"^([^-]+)-([^-]+)-(\d{4}-\d{2})(-\d{2})?\.(zip|csv|csv\.gz)$"
@@ -68,19 +67,27 @@ def read_kline_archive(spark: SparkSession, path: str | list[str], keys: DataFra
 
 
 def _zip_contents(spark: SparkSession, paths: list[str], keys: DataFrame | None) -> DataFrame:
-    """Zip files as (path, content). A wanted-file list of checked size becomes the read's
-    path list, so other files are not opened; a longer one joins by path."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    reader = reader.option("pathGlobFilter", "*.zip")
+    """Zip files as (path, content): all under ``paths``, or those that ``keys`` names.
+
+    With keys only the folders they lie in are read, and files are matched by path with any
+    scheme and host taken off, so it does not matter how a key is written. What reaches the
+    driver is one name a folder, as for a partitioned table.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
     if keys is None:
-        return reader.load(paths).select("path", "content")
-    wanted = [r["key"] for r in keys.select("key").limit(_MAX_PATH_LIST + 1).collect()]
-    if not wanted:
-        return reader.load(paths).select("path", "content").limit(0)
-    if len(wanted) <= _MAX_PATH_LIST:
-        return reader.load(wanted).select("path", "content")
-    every = reader.load(paths).select("path", "content")
-    return every.join(keys.select(F.col("key").alias("path")).distinct(), "path", "left_semi")
+        return reader.option("recursiveFileLookup", "true").load(paths).select("path", "content")
+    folders = keys.select(F.expr("substring(key, 1, length(key) - length(substring_index(key, '/', -1)))").alias("f")).distinct()
+    folders = [r["f"] for r in folders.where("f <> ''").collect()]
+    if not folders:
+        return reader.option("recursiveFileLookup", "true").load(paths).select("path", "content").limit(0)
+    wanted = keys.select(_bare_path("key").alias("__bare")).distinct()
+    files = reader.load(folders).select("path", "content").withColumn("__bare", _bare_path("path"))
+    return files.join(wanted, "__bare", "left_semi").select("path", "content")
+
+
+def _bare_path(column: str) -> Column:
+    """A file's path without scheme and host."""
+    return F.regexp_replace(F.col(column), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
 
 
 def archive_keys(spark: SparkSession, path: str) -> DataFrame:

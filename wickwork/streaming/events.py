@@ -134,7 +134,7 @@ def merge_into_silver(batch: DataFrame, path: str) -> list:
     with sized_staging(batch.withColumn(target.partition, target.partition_value()), "versions") as (fresh, small):
         days = touched_partitions(fresh, target)
         if days:
-            stored = read_table(batch.sparkSession, path, target).filter(F.col(target.partition).isin(days))
+            stored = read_table(batch.sparkSession, path, target).filter(target.in_partitions(days))
             write_partitions(merge_silver(stored, fresh, small), path, target, gather=not small)
     return days
 
@@ -166,7 +166,7 @@ def start_ohlcv(
     def handle(batch: DataFrame, _: int) -> None:
         days = merge_into_silver(batch, silver_path)
         if days:
-            changed = read_table(spark, silver_path, layout.SILVER).filter(F.col("date").isin(days))
+            changed = read_table(spark, silver_path, layout.SILVER).filter(layout.SILVER.in_partitions(days))
             write_partitions(ohlcv(changed, unit), gold_path, gold)
 
     return _start(valid, checkpoint, handle, available_now)
