@@ -260,3 +260,10 @@ def test_backfill_windows(spark):
     grid = work_grid(spark.createDataFrame([("a",), ("b",)], "coin_id string"), date(2024, 12, 31), 200)
     assert grid.count() == 6
     assert grid.filter("window_no = 0").first()["to_epoch"] == 1735603200
+
+
+def test_series_bodies_are_parsed_once(spark):
+    raw = spark.createDataFrame([("a", '{"prices": [[1, 2.0]], "market_caps": [], "total_volumes": [[1, 3.0]]}')], "coin_id string, body string")
+    series = landed.parse_series(raw)
+    assert series._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    assert rows_of(series, "kind", "ts_ms", "value") == [("prices", 1, 2.0), ("total_volumes", 1, 3.0)]

@@ -198,7 +198,8 @@ def epoch_units(spark, sf_dir):
 
 @query(
     "time_texts",
-    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS instant,
+    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN ''
+        WHEN epoch_us(ts) % 1000 = 0 THEN strftime(ts, '.%g') ELSE strftime(ts, '.%f') END || 'Z' AS instant,
       CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS day_epoch, CAST(ts AS DATE) AS day,
       CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(38,9)) AS amount FROM events""",
 )
@@ -207,8 +208,7 @@ def time_texts(spark, sf_dir):
     ts = F.col("ts").cast("timestamp")
     return e.select(
         "event_id",
-        # Whole milliseconds and seconds are written shorter; pad them for the comparison.
-        F.date_format(F.to_timestamp(times.iso_instant(ts)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("instant"),
+        times.iso_instant(ts).alias("instant"),
         times.day_start_epoch(ts).alias("day_epoch"),
         F.to_date("ts").alias("day"),
         nine_places(F.col("value")).alias("amount"),

@@ -10,7 +10,7 @@ from wickwork.functions.times import at, bucket, step, trunc
 from wickwork.layout import time_range
 from wickwork.operators.rollup import LOOKBACK
 from wickwork.schemas import SERVING
-from wickwork.sources.tables import rollup_scan
+from wickwork.sources.tables import recent_buckets
 
 # How far back a sync reads. Wider than the rebuild's own lookback, so a
 # bucket the rebuild revised is always picked up.
@@ -38,7 +38,7 @@ def to_serving(
     check_margin(unit, lookback, LOOKBACK[unit])
     ts_type = gold.schema[unit].dataType
     ends = F.col("bucket_start") + F.make_interval(secs=F.lit(int(step(unit).total_seconds())))
-    rows = rollup_scan(gold, unit, interval, as_of, lookback).withColumnRenamed(unit, "bucket_start")
+    rows = recent_buckets(gold, unit, interval, as_of, lookback).withColumnRenamed(unit, "bucket_start")
     amounts = {f.name: f.dataType for f in SERVING.fields if f.name in ("open", "high", "low", "close", "volume")}
     return rows.select(
         "coin_id",

@@ -151,7 +151,7 @@ def parse_series(raw: DataFrame) -> DataFrame:
     ``request`` orders the responses of one coin (0 where the input has no such column);
     ``operators.series.align_series`` puts the three kinds side by side again.
     """
-    series = F.from_json("body", S.SERIES)
+    series = F.col("series")
     request = F.col("request").cast("bigint") if "request" in raw.columns else F.lit(0).cast("bigint")
 
     def points(kind: str) -> Column:
@@ -166,10 +166,9 @@ def parse_series(raw: DataFrame) -> DataFrame:
         )
 
     every = F.concat(*[points(kind) for kind in ("prices", "market_caps", "total_volumes")])
-    return (
-        raw.select("coin_id", request.alias("request"), F.explode(every).alias("e"))
-        .select("coin_id", "request", "e.*")
-    )
+    # Exploding a one-element array parses each body once; as a plain column it would be copied into every use.
+    parsed = raw.select("coin_id", request.alias("request"), F.explode(F.array(F.from_json("body", S.SERIES))).alias("series"))
+    return parsed.select("coin_id", "request", F.explode(every).alias("e")).select("coin_id", "request", "e.*")
 
 
 def series_to_history(aligned: DataFrame) -> DataFrame:

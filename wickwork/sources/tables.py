@@ -20,12 +20,13 @@ def read_bronze(
 
 def rollup_scan(gold: DataFrame, unit: str, interval: str, as_of: datetime, lookback: timedelta) -> DataFrame:
     """The seven serving columns of one interval's recent buckets, ordered by coin and bucket."""
+    return recent_buckets(gold, unit, interval, as_of, lookback).orderBy("coin_id", unit)
+
+
+def recent_buckets(gold: DataFrame, unit: str, interval: str, as_of: datetime, lookback: timedelta) -> DataFrame:
+    """``rollup_scan`` without the order, for what is written to a table that sorts its files itself."""
     recent = time_range(gold, unit, utc(as_of) - lookback)
-    return (
-        recent.filter(F.col("interval") == interval)
-        .select("coin_id", unit, "open", "high", "low", "close", "volume")
-        .orderBy("coin_id", unit)
-    )
+    return recent.filter(F.col("interval") == interval).select("coin_id", unit, "open", "high", "low", "close", "volume")
 
 
 def registry_scan(coins: DataFrame, limit: int | None = None) -> DataFrame:
