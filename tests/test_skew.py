@@ -1,13 +1,13 @@
 """One key with a third and more of all rows, and the plans that have to bear it."""
 
 import re
+from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from wickwork.catalog import QUERIES
 from wickwork.operators import quality, registry, rollup
-from wickwork.session import staged
 from wickwork import schemas as S
 
 FOLDER = "/root/testdata/sf0.001"
@@ -27,24 +27,35 @@ def hot_listings(spark, n=9000):
     )
 
 
-@pytest.mark.parametrize("hot", [0, 1000])
-def test_ranks_by_ranges_equal_the_window(spark, hot):
+def test_ranks_equal_the_window(spark):
     df = hot_listings(spark)
-    plain = registry.rank_listings(df, ["exchange_id"])
-    ranged = registry.rank_listings(df, ["exchange_id"], hot=hot)
+    order = registry._listing_order(["exchange_id"])
+    plain = df.withColumn("rank", F.row_number().over(Window.partitionBy("coin_id").orderBy(*order)))
     columns = ["coin_id", "exchange_id", "rank"]
-    assert sorted(map(tuple, plain.select(*columns).collect())) == sorted(map(tuple, ranged.select(*columns).collect()))
-
-
-def test_hot_ranks_are_spread_over_tasks(spark):
-    df = hot_listings(spark).filter("coin_id = 'hot'")
-    ranged = registry._rank_by_ranges(df, registry._listing_order(["exchange_id"]))
-    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan(ranged))
-    assert any("__range" in k for k in keys)
-    sizes = [r["count"] for r in staged(
-        df.repartitionByRange(8, F.col("coin_id"), *registry._listing_order(["exchange_id"])), "t"
-    ).groupBy(F.input_file_name()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < sum(sizes) / 3
+    ranked = registry.rank_listings(df, ["exchange_id"])
+    assert ranked.columns == [*df.columns, "rank"]
+    assert sorted(map(tuple, plain.select(*columns).collect())) == sorted(map(tuple, ranked.select(*columns).collect()))
+
+
+def test_ranks_of_odd_volumes_and_other_tie_breaks(spark):
+    volumes = [None, "0", "-3.50", "0.40", "0.99", "1", "9.99", "10", "99999999999999999999.25", "100", "19", "2", "-7", None]
+    rows = [("a", f"e{k % 3}", Decimal(v) if v else None, k) for k, v in enumerate(volumes)] + [(None, None, None, 1), (None, None, None, 2)]
+    df = spark.createDataFrame(rows, "coin_id string, exchange_id string, volume_usd_24h decimal(28,2), pos int")
+    for tie_break in (["exchange_id", "pos"], ["pos"]):
+        order = registry._listing_order(tie_break)
+        plain = df.withColumn("rank", F.row_number().over(Window.partitionBy("coin_id").orderBy(*order)))
+        ranked = registry.rank_listings(df, tie_break)
+        assert {(r["coin_id"], r["pos"], r["rank"]) for r in plain.collect()} == {(r["coin_id"], r["pos"], r["rank"]) for r in ranked.collect()}
+
+
+def test_no_task_sorts_a_whole_coin(spark):
+    """Building the ranks runs nothing, and the rows of a coin are dealt out by volume and tie-break too."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "building only")
+    ranked = registry.rank_listings(hot_listings(spark).filter("coin_id = 'hot'"), ["exchange_id"])
+    assert not tracker.getJobIdsForGroup("ranks")
+    windows = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)", ranked._jdf.queryExecution().optimizedPlan().toString())
+    assert windows and all("__start" in w and "__volume" in w for w in windows)
 
 
 def test_versions_of_one_candle_shrink_before_the_shuffle(spark):

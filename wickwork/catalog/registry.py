@@ -80,10 +80,15 @@ def listing_rank(spark, sf_dir):
     return registry.rank_listings(shapes.listings(spark, sf_dir), ["exchange_id", "pos"])
 
 
-@query("listing_rank_by_ranges", ctes(LISTINGS) + _RANK)
+_NO_VOLUME = """SELECT * REPLACE (CASE WHEN pos % 3 = 0 THEN NULL ELSE volume_usd_24h END AS volume_usd_24h) FROM listings"""
+
+
+@query("listing_rank_by_ranges", ctes(LISTINGS, f"thinned AS ({_NO_VOLUME})") + _RANK.replace("FROM listings", "FROM thinned"))
 def listing_rank_by_ranges(spark, sf_dir):
-    """The same ranks by the way that hot coins take."""
-    return registry.rank_listings(shapes.listings(spark, sf_dir), ["exchange_id", "pos"], hot=0)
+    """Ranks where a third of the listings has no volume, so that the tie-break orders them."""
+    listings = shapes.listings(spark, sf_dir)
+    thinned = listings.withColumn("volume_usd_24h", F.when(F.col("pos") % 3 != 0, F.col("volume_usd_24h")))
+    return registry.rank_listings(thinned, ["exchange_id", "pos"])
 
 
 @query("listings_sorted", ctes(LISTINGS) + "SELECT * FROM listings ORDER BY coin_id, volume_usd_24h DESC, pos")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from wickwork.operators.rollup import latest_per_key
 from wickwork.schemas import PAIR_QUOTE, PAIR_STATUS
-from wickwork.session import staged
 
 TOP_N = 150
-# Listings of one coin that a single sort task is trusted with.
-HOT_LISTINGS = 5_000_000
 
 
 def top_coins(coins: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -74,42 +74,37 @@ def latest_listings(listings: DataFrame, keys: list[str]) -> DataFrame:
     return latest_per_key(listings, keys, [F.coalesce("volume_usd_24h", F.lit(0)).asc(), F.desc("pos")])
 
 
-def rank_listings(listings: DataFrame, tie_break: list[str], hot: int = HOT_LISTINGS) -> DataFrame:
+def rank_listings(listings: DataFrame, tie_break: list[str]) -> DataFrame:
     """Rank of each listing within its coin by USD volume, as a ``rank`` column.
 
-    A window sorts each coin in one task. Coins with more than ``hot`` listings do not go
-    that way: their rows are range-partitioned over the whole order, numbered inside each
-    range, and shifted by the row counts of the ranges before. ``tie_break`` has to make
-    the order of a coin's listings unique.
+    A rank is the number of listings in the groups before, plus the place in the listing's own
+    group. Groups get finer in three steps, each in the order of the listings: volumes with the
+    same number of digits and the same first two, equal volumes, and equal beginnings of the
+    first tie-break. Counts are partial aggregates, so however many listings a coin has, one task
+    sorts those of one volume and beginning only. ``tie_break`` has to make the order unique.
     """
-    order = _listing_order(tie_break)
-    plain = F.row_number().over(Window.partitionBy("coin_id").orderBy(*order)).alias("rank")
-    # At most rows / hot coins come back from this one-column aggregate.
-    counts = listings.groupBy("coin_id").agg(F.count("*").alias("__n")).filter(F.col("__n") > hot)
-    if counts.isEmpty():
-        return listings.select("*", plain)
-    counts = staged(counts.select("coin_id"), "hot-coins")
-    cold = listings.join(counts, "coin_id", "left_anti").select("*", plain)
-    return cold.unionByName(_rank_by_ranges(listings.join(counts, "coin_id", "left_semi"), order))
-
-
-def _rank_by_ranges(listings: DataFrame, order: list) -> DataFrame:
-    spark = listings.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    # Written out so that a row's range stays what it was if a task runs again.
-    ranged = staged(
-        listings.repartitionByRange(parts, F.col("coin_id"), *order).withColumn("__range", F.spark_partition_id()),
-        "ranged-listings",
-    )
-    sizes = ranged.groupBy("coin_id", "__range").agg(F.count("*").alias("__size"))
-    before = Window.partitionBy("coin_id").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "coin_id", "__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
-    )
-    inside = F.row_number().over(Window.partitionBy("coin_id", "__range").orderBy(*order))
-    return (
-        ranged.withColumn("__inside", inside)
-        .join(offsets, ["coin_id", "__range"])
-        .withColumn("rank", (F.col("__inside") + F.col("__offset")).cast("int"))
-        .drop("__range", "__inside", "__offset")
+    volume = F.coalesce("volume_usd_24h", F.lit(0))
+    whole = F.floor(volume).cast("string")
+    digits = F.when(volume < 0, F.lit(-1)).otherwise(100 * F.length(whole) + F.substring(whole, 1, 2).cast("int"))
+    text = isinstance(listings.schema[tie_break[0]].dataType, T.StringType)
+    rows = listings.select(
+        "*",
+        digits.alias("__digits"),
+        volume.alias("__volume"),
+        (F.substring(tie_break[0], 1, 4) if text else F.lit("")).alias("__start"),
     )
+    names = ["coin_id", "__digits", "__volume", "__start"]
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    # Listings of larger volume with the same digits, then those of the same volume that begin earlier.
+    alike, equal = Window.partitionBy(*names[:2]), Window.partitionBy(*names[:3])
+    larger = F.sum("__n").over(alike.orderBy(F.desc("__volume"))) - F.sum("__n").over(equal)
+    earlier = F.sum("__n").over(equal.orderBy("__start")) - F.col("__n")
+    counts = counts.select(*names, "__n", (larger + earlier).alias("__offset"))
+    sizes = counts.groupBy(*names[:2]).agg(F.sum("__n").alias("__n"))
+    more = F.sum("__n").over(Window.partitionBy("coin_id").orderBy(F.desc("__digits"))) - F.col("__n")
+    sizes = sizes.select(F.col("coin_id").alias("__c"), F.col("__digits").alias("__d"), more.alias("__more"))
+    offsets = counts.join(sizes, F.col("coin_id").eqNullSafe(F.col("__c")) & (F.col("__digits") == F.col("__d")))
+    offsets = offsets.select(*[F.col(c).alias(f"__o{c}") for c in names], (F.col("__offset") + F.col("__more")).alias("__offset"))
+    inside = F.row_number().over(Window.partitionBy(*names).orderBy(*[F.col(c).asc() for c in tie_break]))
+    joined = rows.join(offsets, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__o{c}")) for c in names]))
+    return joined.select(*listings.columns, (inside + F.col("__offset")).cast("int").alias("rank"))
