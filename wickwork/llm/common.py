@@ -12,6 +12,7 @@ import wickwork
 from wickwork.session import shared_folder
 
 BROADCAST_BYTES = 8 * 1024 * 1024
+_SLICE = 512  # rows held as Python objects at a time
 
 _LETTERS_AND_DIGITS = b"0123456789abcdefghijklmnopqrstuvwxyz"
 
@@ -55,8 +56,14 @@ def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
 
 
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
-    """One batch out for each batch in, in the order of the input."""
-    return map_in_arrow(df, lambda batches: (make(batch) for batch in batches if batch.num_rows), schema)
+    """One batch out for each slice of at most ``_SLICE`` rows, in the order of the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, _SLICE):
+                yield make(batch.slice(start, _SLICE))
+
+    return map_in_arrow(df, run, schema)
 
 
 def cut(df: DataFrame) -> DataFrame:
