@@ -8,10 +8,11 @@ sets of similarity s share one with probability s ** TOKEN.
 the node, and a class goes to one child for each of them, named by its values. Two selected
 tokens are about 1 / 0.8 ** TOKEN, so in expectation a pair at the threshold keeps meeting
 however deep the tree grows. A node with at most ``SMALL`` classes is compared exhaustively.
-In a larger node every class is compared with the node's first class, and those of it that are
-not yet connected branch on. Nodes whose classes are all connected already, through any node of
-any tree, have nothing to add and end there: so a group of thousands of near copies costs as
-much as its links to a few first classes, not all of its pairs.
+In a larger node every class is compared with the node's first class; then nodes whose classes
+are all connected, through any node of any tree, have nothing to add and end there. So a group
+of thousands of near copies costs as much as its links to a few first classes, not all of its
+pairs. Of the nodes that are left, those with at most ``MIDDLE`` classes are compared
+exhaustively between components, and larger ones branch on.
 
 Pairs are sifted by a 128-bit sketch (two bits of each minwise hash; a pair at the threshold is
 lost with a chance under one in a million) and by size; the rest is confirmed on the full sets,
@@ -21,7 +22,7 @@ pair in 10 ** 6 is missed at the first level, one in 3000 at the second; pairs a
 
 Levels, links and components stay distributed. What is broadcast, the ids of classes whose
 texts are needed, is checked to be few megabytes; beyond that the texts are joined
-by a shuffle. After ``LEVELS`` levels the few nodes left are compared pair by pair, in a join.
+by a shuffle. After ``LEVELS`` levels the few nodes left are compared by a join on the node.
 
 Defined cases: a null text, or one without words, has an empty set and links to nothing. A text
 of fewer words than a shingle is one shingle. Documents without an id take part; a component
@@ -44,7 +45,9 @@ TREES = 10
 TOKEN = 3
 COORDINATES = 64
 SMALL = 16
-LEVELS = 10
+MIDDLE = 2048
+LEVELS = 4
+_BLOCK = 128
 # Of 128 sketch bits, 64 * (1 - s) differ on average; five standard deviations more are let pass at s = 0.8.
 SKETCH_BITS = 34
 
@@ -158,20 +161,38 @@ def _level(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.where("lo <> hi").drop("lo", "hi"), "node")
 
 
-def _candidates(level: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a`` < ``b`` of classes to confirm: all in small nodes, those with the first in others."""
-    small = level.where(F.col("size") <= SMALL).groupBy("node").agg(F.collect_list(_member()).alias("members"))
-    small = small.select("members", F.explode("members").alias("x"))
-    near = F.filter(
-        "members",
-        lambda y: (y["id"] > F.col("x.id"))
-        & (y["comp"] != F.col("x.comp"))
-        & _alike(lambda c: F.col(f"x.{c}"), lambda c: y[c], percent),
-    )
-    pairs = small.select(F.col("x.id").alias("a"), F.explode(near["id"]).alias("b"))
-    first = level.where(F.col("size") > SMALL).where(F.col("comp") != F.col("first.comp"))
-    first = first.where(_alike(lambda c: F.col(c), lambda c: F.col(f"first.{c}"), percent))
-    return pairs.union(first.select(F.col("first.id").alias("a"), F.col("id").alias("b"))).distinct()
+def _within(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a`` < ``b`` of different components in a node that may be similar. For nodes of bounded size.
+
+    A node's members are compared as arrays, a block of members with all at a time; a pair found
+    in several nodes of a batch is given once.
+    """
+    members = nodes.groupBy("node").agg(F.collect_list(_member()).alias("members")).select("members")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column("members")
+        ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
+        fields = dict(zip(_MEMBER, (c.to_numpy() for c in lists.flatten().flatten())))
+        found = [np.empty((0, 2), np.int64)]
+        for first, last in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            ids, n, s1, s2, comp = (fields[c][first:last] for c in _MEMBER)
+            for k in range(0, last - first, _BLOCK):
+                part = slice(k, k + _BLOCK)
+                differ = np.bitwise_count((s1[part, None] ^ s1).view(np.uint64)).astype(np.int16)
+                differ += np.bitwise_count((s2[part, None] ^ s2).view(np.uint64))
+                sizes = 100 * np.minimum(n[part, None], n) >= percent * np.maximum(n[part, None], n)
+                x, y = np.nonzero((differ <= SKETCH_BITS) & sizes & (comp[part, None] != comp) & (ids[part, None] < ids))
+                found.append(np.stack([ids[k + x], ids[y]], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, k].copy()) for k in range(2)], ["a", "b"])
+
+    return map_batches(members, run, "a bigint, b bigint")
+
+
+def _to_first(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a node's first member and others of different components that may be similar."""
+    pairs = nodes.where(F.col("comp") != F.col("first.comp")).where(_alike(lambda c: F.col(c), lambda c: F.col(f"first.{c}"), percent))
+    return pairs.select(F.col("first.id").alias("a"), F.col("id").alias("b"))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -219,48 +240,66 @@ def near_duplicates(
             *[F.first(c).alias(c) for c in ("n", "s1", "s2", "mins")],
         )
     )
-    labels = None  # class -> least class of its component, for classes that are not the least
-    tested = None
+    links = _Links(classes, docs, shingle, percent)
     rows = classes.select(F.explode(_roots()).alias("node"), "id", "n", "s1", "s2", F.col("id").alias("comp"))
     for level in range(LEVELS + 1):
-        here = cut(_level(rows))
-        if not here.take(1):
+        nodes = cut(_level(rows))
+        if not nodes.take(1):
             break
-        pairs = _candidates(here, percent) if level < LEVELS else _all_pairs(here, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        if pairs.take(1):
-            tested = pairs if tested is None else tested.union(pairs)
-            links = _confirmed(pairs, classes, docs, shingle, percent)
-            labels = components(links if labels is None else links.union(labels))
-        larger = here.where(F.col("size") > SMALL).select("node", *_MEMBER)
-        if level == LEVELS or not larger.take(1):
+        small, larger = nodes.where(F.col("size") <= SMALL), nodes.where(F.col("size") > SMALL)
+        links.confirm(_within(small, percent).union(_to_first(larger, percent)))
+        mixed = cut(_level(links.relabel(larger.select("node", *_MEMBER))))
+        if not mixed.take(1):
             break
-        larger = _relabelled(larger, labels)
-        mixed = larger.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("node")
-        larger = larger.join(mixed, "node", "left_semi").join(classes.select("id", "mins"), "id")
-        rows = larger.select(F.explode(_children()).alias("node"), *_MEMBER)
-    return _results(described, classes, labels)
+        large = mixed.where(F.col("size") > MIDDLE)
+        links.confirm(_within(mixed.where(F.col("size") <= MIDDLE), percent))
+        if not large.take(1):
+            break
+        if level == LEVELS:
+            links.confirm(_across(large, percent))
+        large = large.select("node", "id").join(classes.select("id", "n", "s1", "s2", "mins"), "id")
+        rows = links.relabel(large.select(F.explode(_children()).alias("node"), "id", "n", "s1", "s2"))
+    return _results(described, links.relabel(classes.select("id", "least")))
 
 
-def _all_pairs(level: DataFrame, percent: int) -> DataFrame:
-    """Every pair of classes of a node that may be similar: for the nodes that branching has not parted."""
-    x, y = level.select("node", *_MEMBER).alias("x"), level.select("node", *_MEMBER).alias("y")
-    pair = (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))
-    near = _alike(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent)
-    return x.join(y, pair & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+class _Links:
+    """Pairs tested so far, and the components of those that were confirmed."""
 
+    def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
+        self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
+        self.tested: DataFrame | None = None
+        self.labels: DataFrame | None = None  # class -> least class of its component, for classes that are not the least
 
-def _relabelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return rows
-    found = labels.select(F.col("a").alias("id"), F.col("b").alias("found"))
-    return rows.join(found, "id", "left").withColumn("comp", F.coalesce("found", "id")).drop("found")
+    def confirm(self, pairs: DataFrame) -> None:
+        pairs = pairs.distinct()
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        if not pairs.take(1):
+            return
+        self.tested = pairs if self.tested is None else self.tested.union(pairs)
+        links = cut(_confirmed(pairs, self.classes, self.docs, self.size, self.percent))
+        if links.take(1):
+            self.labels = components(links if self.labels is None else links.union(self.labels))
+
+    def relabel(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the component of their class as ``comp``."""
+        rows = rows.drop("comp")
+        if self.labels is None:
+            return rows.withColumn("comp", F.col("id"))
+        found = self.labels.select(F.col("a").alias("id"), F.col("b").alias("found"))
+        return rows.join(found, "id", "left").withColumn("comp", F.coalesce("found", "id")).drop("found")
+
+
+def _across(nodes: DataFrame, percent: int) -> DataFrame:
+    """As ``_within``, by a join: for the nodes that branching has not parted."""
+    x, y = nodes.select("node", *_MEMBER).alias("x"), nodes.select("node", *_MEMBER).alias("y")
+    pair = (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))
+    near = _alike(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent)
+    return x.join(y, pair & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
-def _results(described: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    named = _relabelled(classes.select("id", "least", F.col("id").alias("comp")), labels)
+def _results(described: DataFrame, named: DataFrame) -> DataFrame:
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = named.join(least, "comp").select("id", "comp", "component_id")
     return described.join(named, "id", "left").select(
