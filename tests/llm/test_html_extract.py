@@ -62,6 +62,34 @@ def test_whole_text_of_a_very_long_page():
     assert main_text("<article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article>") == "\n".join(paragraphs)
 
 
+MARKED = {
+    "siblings": (f"<article><p>{LONG} one</p></article><div class='ad'>Buy</div><article><p>{LONG}</p></article>", f"{LONG} one\n{LONG}"),
+    "body beside cards": (
+        f"<div>Home</div><article><h3>Card</h3></article><div><h1>T</h1><p>{LONG}</p><p>Hm.</p></div><div>c 2024</div>",
+        f"Card\nT\n{LONG}\nHm.\nc 2024",
+    ),
+    "short lines outside": (f"<div>Home</div><article><p>{LONG}</p></article><div>c 2024</div>", LONG),
+    "related cards": (f"<main><p>{LONG}</p></main><div class='related'><article><p>card</p></article></div>", LONG),
+    "related cards inside": (f"<main><p>{LONG}</p><div class='related'><article><p>card</p></article></div></main>", LONG),
+    "class of a wrapper": (f"<main><h1>T</h1><div class='widget'><article><p>{LONG}</p></article></div></main>", f"T\n{LONG}"),
+    "links": (f"<article><p>{LONG}</p>" + "<p><a href='/x'>Source</a></p>" * 4 + "</article>", LONG + "\nSource" * 4),
+}
+
+
+@pytest.mark.parametrize("name", MARKED)
+def test_marked_articles_are_evidence(name):
+    html, text = MARKED[name]
+    assert main_text(html) == text
+
+
+def test_marked_pages_take_the_surge_and_dive_search(monkeypatch):
+    searched = []
+    search = html_extract.surges
+    monkeypatch.setattr(html_extract, "surges", lambda lengths, window: searched.append(lengths) or search(lengths, window))
+    assert main_text(f"<article><p>{LONG}</p></article>") == LONG
+    assert [n for lengths in searched for n in lengths if n] == [html_extract.LONG + len(LONG)]
+
+
 def test_query_columns(spark, clashing):
     pages = clashing(spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, None), (2, None, None)], "page_id bigint, url string, html string"), "text", "n_chars")
     out = html_extract.extract(pages, "page_id", "url")

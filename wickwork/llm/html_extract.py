@@ -3,17 +3,21 @@
 Markup is stripped into lines, one for each block (paragraph, heading, item, cell, ``<br>``).
 A line counts with its number of characters; lines of menus, page headers, footers, sidebars,
 notices, adverts, forms and reader comments count as empty, known by tag, role, or the words
-of class and id, and so do lines that are mostly links. If the page marks an article, lines
-outside of the longest one count as empty too. Summed over a sliding window of lines, the
-lengths surge where the text begins and dive to nothing where it ends; the lines between the
-surge and the dive around the highest window are the text, short ones included. In a marked
-article, the surge is its first line and the dive its last.
+of class and id, and so do lines that are mostly links. Summed over a sliding window of lines, the
+lengths surge where a text begins and dive to nothing where it ends; the lines between the surge
+and the dive around the highest window are the text, short ones included.
+
+Articles that the page marks are evidence: each of their lines counts ``LONG`` more, links too, and
+no window reaches over an article's edge. On such a page every text whose highest window is ``LONG``
+is kept, so sibling articles and long text outside of them stay, and short lines outside go. An
+article in an element that a class or id names as around it counts as empty if an article
+that stands in none is longer.
 
 Each page is worked on by itself: nothing is shuffled, and a lost task is simply run again.
 
 Defined cases: null or empty HTML, and a page without text, give an empty text. Markup that is
 cut off or not closed ends with the page. Unknown references stay as they are. Ties between
-windows or articles go to the first. Repeated pages give the same rows each. Only the columns
+windows go to the first. Repeated pages give the same rows each. Only the columns
 named are read, so other columns cannot clash.
 """
 
@@ -22,6 +26,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -29,6 +34,8 @@ from pyspark.sql import DataFrame, functions as F
 from wickwork.llm.common import map_batches
 
 WINDOW = 3
+# Characters of a window that is text although another window is higher: a short sentence.
+LONG = 60
 
 # Elements whose content is not text, elements that part blocks, and elements without an end.
 _RAW = "script|style|title|noscript|template|textarea|svg|math|iframe|object|canvas|audio|video|select|button"
@@ -75,6 +82,7 @@ class Element:
     tag: str
     around: str = ""  # why its lines are not text: "", "tag", "class" or "comment"
     article: int = 0  # its number if it is an article
+    cleared: bool = False  # whether an article in it has shown its class to be no reason
 
 
 @dataclass
@@ -83,6 +91,7 @@ class Line:
     link: int = 0
     around: bool = False
     article: int = 0
+    doubtful: bool = False  # its article is in an element whose class named it as around
 
 
 def _attributes(more: str) -> dict[str, str]:
@@ -119,9 +128,13 @@ def lines_of(html: str) -> list[Line]:
     links = 0
     at = 0
 
-    def state() -> tuple[bool, int]:
-        inside = [e.article for e in open_elements if e.article]
-        return any(e.around for e in open_elements), inside[0] if inside else 0
+    def state() -> tuple[bool, int, bool]:
+        article, cleared, doubtful = 0, False, False
+        for e in open_elements:
+            cleared = cleared or e.cleared
+            if e.article and (cleared > doubtful or not article):
+                article, doubtful = e.article, cleared
+        return any(e.around for e in open_elements), article, doubtful
 
     def put(text: str) -> None:
         line = lines[-1]
@@ -132,7 +145,7 @@ def lines_of(html: str) -> list[Line]:
     def new_line() -> None:
         if lines[-1].parts:
             lines.append(Line())
-        lines[-1].around, lines[-1].article = state()
+        lines[-1].around, lines[-1].article, lines[-1].doubtful = state()
 
     for m in _TOKEN.finditer(html):
         if m.start() > at:
@@ -165,7 +178,7 @@ def lines_of(html: str) -> list[Line]:
             if is_article:
                 for e in open_elements:
                     if e.around == "class":
-                        e.around = ""
+                        e.around, e.cleared = "", True
                 if not any(e.around for e in open_elements):
                     articles += 1
                 changed = True
@@ -182,42 +195,52 @@ def lines_of(html: str) -> list[Line]:
 
 
 def main_text(html: str | None, window: int = WINDOW) -> str:
-    """The text of a page's article, its blocks joined by line ends."""
+    """The text of a page, its blocks joined by line ends."""
     if not html:
         return ""
     lines = lines_of(html)
     texts = [" ".join(unescape("".join(line.parts)).split()) for line in lines]
-    marked: dict[int, int] = {}
+    sizes: dict[tuple[bool, int], int] = {}
     for line, text in zip(lines, texts):
         if line.article and not line.around:
-            marked[line.article] = marked.get(line.article, 0) + len(text)
-    chosen = max(marked, key=marked.get) if any(marked.values()) else 0
-    usable = [bool(t) and not x.around and (not chosen or x.article == chosen) for t, x in zip(texts, lines)]
-    if chosen:
-        return "\n".join(t for t, u in zip(texts, usable) if u)
-    lengths = [len(t) if u and 2 * x.link <= len(t) else 0 for t, u, x in zip(texts, usable, lines)]
-    first, last = between_surge_and_dive(lengths, window)
-    return "\n".join(texts[k] for k in range(first, last) if usable[k])
+            sizes[line.doubtful, line.article] = sizes.get((line.doubtful, line.article), 0) + len(text)
+    marked = any(sizes.values())
+    longest = max((n for (doubtful, _), n in sizes.items() if not doubtful), default=0)
+    usable, lengths = [], []
+    for line, text in zip(lines, texts):
+        outdone = line.doubtful and sizes.get((True, line.article), 0) < longest
+        usable.append(bool(text) and not line.around and not outdone)
+        if usable[-1] and line.article:
+            lengths.append(LONG + len(text))
+        else:
+            lengths.append(len(text) if usable[-1] and 2 * line.link <= len(text) else 0)
+    found = []
+    for _, part in groupby(range(len(lines)), key=lambda k: lines[k].article > 0):
+        part = list(part)
+        found += [(part[0] + first, part[0] + last, highest) for first, last, highest in surges(lengths[part[0] : part[-1] + 1], window)]
+    highest = max((f[2] for f in found), default=0)
+    if marked:
+        found = [f for f in found if f[2] >= min(LONG, highest)]
+    else:
+        found = [f for f in found if f[2] == highest][:1]
+    return "\n".join(texts[k] for first, last, _ in found for k in range(first, last) if usable[k])
+
+
+def surges(lengths: list[int], window: int) -> list[tuple[int, int, int]]:
+    """The lines from each surge to its dive, where a whole window is empty: first, end exclusive, highest window."""
+    found: list[tuple[int, int, int]] = []
+    for k, length in enumerate(lengths):
+        if not length:
+            continue
+        first, last, highest = found.pop() if found and k - found[-1][1] < window else (k, k, 0)
+        found.append((first, k + 1, max(highest, sum(lengths[max(first, k + 1 - window) : k + 1]))))
+    return found
 
 
 def between_surge_and_dive(lengths: list[int], window: int) -> tuple[int, int]:
     """The lines around the highest window up to where a whole window is empty; end exclusive."""
-    n = len(lengths)
-    if not any(lengths):
-        return 0, 0
-    sums = [sum(lengths[k : k + window]) for k in range(n)]
-    peak = sums.index(max(sums))
-    surge = peak
-    while surge > 0 and sums[surge - 1] > 0 and any(lengths[max(0, surge - window) : surge]):
-        surge -= 1
-    dive = peak
-    while dive < n and sums[dive]:
-        dive += 1
-    while not lengths[surge]:
-        surge += 1
-    while not lengths[dive - 1]:
-        dive -= 1
-    return surge, dive
+    first, last, _ = max(surges(lengths, window), key=lambda f: f[2], default=(0, 0, 0))
+    return first, last
 
 
 def extract(pages: DataFrame, *carry: str, html: str = "html") -> DataFrame:
