@@ -90,6 +90,22 @@ def test_marked_pages_take_the_surge_and_dive_search(monkeypatch):
     assert [n for lengths in searched for n in lengths if n] == [html_extract.LONG + len(LONG)]
 
 
+UNMARKED = {
+    "line ends between blocks": (f"<div>\n<div class=section>\n<p>{LONG} one</p>\n</div>\n\n<div class=section>\n<p>{LONG}</p>\n</div>\n</div>", f"{LONG} one\n{LONG}"),
+    "line ends and a short line": (f"<div>\n<p>{LONG}</p>\n</div>\n<div>\n<p>&nbsp;</p>\n</div>\n<div>\n<p>Hm.</p>\n</div>", f"{LONG}\nHm."),
+    "advert": (f"<div><p>{LONG} one</p><div class='ad'><p>Buy</p><p>now</p><p>here</p></div><p>{LONG}</p></div>", f"{LONG} one\n{LONG}"),
+    "links": (f"<div><p>{LONG} one</p>" + "<p><a href='/x'>More</a></p>" * 4 + f"<p>{LONG}</p></div>", f"{LONG} one\n{LONG}"),
+    "short after links": (f"<div><p>{LONG}</p>" + "<p><a href='/x'>More</a></p>" * 4 + "<p>c 2024</p></div>", LONG),
+    "white space around a body": (f"<article>\n<h3>Card</h3>\n</article>\n<div>\n<div>\n<p>{LONG}</p>\n</div>\n<div>\n<p>Hm.</p>\n</div>\n</div>", f"Card\n{LONG}\nHm."),
+}
+
+
+@pytest.mark.parametrize("name", UNMARKED)
+def test_gaps_do_not_end_the_text(name):
+    html, text = UNMARKED[name]
+    assert main_text(html) == text
+
+
 def test_query_columns(spark, clashing):
     pages = clashing(spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, None), (2, None, None)], "page_id bigint, url string, html string"), "text", "n_chars")
     out = html_extract.extract(pages, "page_id", "url")

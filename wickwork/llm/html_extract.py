@@ -4,13 +4,14 @@ Markup is stripped into lines, one for each block (paragraph, heading, item, cel
 A line counts with its number of characters; lines of menus, page headers, footers, sidebars,
 notices, adverts, forms and reader comments count as empty, known by tag, role, or the words
 of class and id, and so do lines that are mostly links. Summed over a sliding window of lines, the
-lengths surge where a text begins and dive to nothing where it ends; the lines between the surge
-and the dive around the highest window are the text, short ones included.
+lengths surge where a text begins and dive to nothing where it ends; the lines between a surge
+and its dive are text, short ones included, around the highest window and around every other whose
+highest window is ``LONG``, so an advert in mid-text does not end it. Lines without visible text are
+left out before the lengths are taken.
 
 Articles that the page marks are evidence: each of their lines counts ``LONG`` more, links too, and
-no window reaches over an article's edge. On such a page every text whose highest window is ``LONG``
-is kept, so sibling articles and long text outside of them stay, and short lines outside go. An
-article in an element that a class or id names as around it counts as empty if an article
+no window reaches over an article's edge. So sibling articles and long text outside of them stay,
+and short lines outside go. An article in an element that a class or id names as around it counts as empty if an article
 that stands in none is longer.
 
 Each page is worked on by itself: nothing is shuffled, and a lost task is simply run again.
@@ -198,18 +199,21 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
     """The text of a page, its blocks joined by line ends."""
     if not html:
         return ""
-    lines = lines_of(html)
-    texts = [" ".join(unescape("".join(line.parts)).split()) for line in lines]
+    lines, texts = [], []
+    for line in lines_of(html):
+        text = " ".join(unescape("".join(line.parts)).split())
+        if text:
+            lines.append(line)
+            texts.append(text)
     sizes: dict[tuple[bool, int], int] = {}
     for line, text in zip(lines, texts):
         if line.article and not line.around:
             sizes[line.doubtful, line.article] = sizes.get((line.doubtful, line.article), 0) + len(text)
-    marked = any(sizes.values())
     longest = max((n for (doubtful, _), n in sizes.items() if not doubtful), default=0)
     usable, lengths = [], []
     for line, text in zip(lines, texts):
         outdone = line.doubtful and sizes.get((True, line.article), 0) < longest
-        usable.append(bool(text) and not line.around and not outdone)
+        usable.append(not line.around and not outdone)
         if usable[-1] and line.article:
             lengths.append(LONG + len(text))
         else:
@@ -219,11 +223,9 @@ def main_text(html: str | None, window: int = WINDOW) -> str:
         part = list(part)
         found += [(part[0] + first, part[0] + last, highest) for first, last, highest in surges(lengths[part[0] : part[-1] + 1], window)]
     highest = max((f[2] for f in found), default=0)
-    if marked:
-        found = [f for f in found if f[2] >= min(LONG, highest)]
-    else:
-        found = [f for f in found if f[2] == highest][:1]
-    return "\n".join(texts[k] for first, last, _ in found for k in range(first, last) if usable[k])
+    first_highest = next((f for f in found if f[2] == highest), None)
+    kept = [f for f in found if f[2] >= LONG or f is first_highest]
+    return "\n".join(texts[k] for first, last, _ in kept for k in range(first, last) if usable[k])
 
 
 def surges(lengths: list[int], window: int) -> list[tuple[int, int, int]]:
