@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wickwork.llm import near_dup
 from wickwork.llm.graph import components
@@ -71,6 +72,21 @@ def test_nodes_branch_and_what_does_not_part_is_joined(docs, corpus, monkeypatch
     assert [out[k] for k in range(len(corpus))] == groups(word_sets(corpus, 2), range(len(corpus)), 80)
 
 
+def test_pairs_at_the_threshold_keep_meeting_in_deep_levels(spark):
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 1 << 30, (2000, near_dup.COORDINATES))
+    b = np.where(rng.random(a.shape) < 0.8, a, a + 1)
+    rows = spark.createDataFrame([(k, a[k].tolist(), b[k].tolist()) for k in range(len(a))], "pair int, a array<int>, b array<int>")
+    nodes, left = near_dup._roots, []
+    for level in range(5):
+        both = rows.withColumn("mins", F.col("a")).withColumn("x", nodes()).withColumn("mins", F.col("b")).withColumn("y", nodes())
+        met = both.select("pair", "a", "b", F.explode(F.arrays_zip("x", "y")).alias("n")).where("n.x = n.y")
+        rows = met.select("pair", "a", "b", F.col("n.x").alias("node")).localCheckpoint()
+        left.append(rows.select("pair").distinct().count())
+        nodes = near_dup._children
+    assert min(left) >= 1997
+
+
 def test_texts_joined_by_a_shuffle(docs, corpus, monkeypatch):
     monkeypatch.setattr("wickwork.llm.common.BROADCAST_BYTES", 0)
     out = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(corpus[:80]), shingle=2).collect()}

@@ -5,20 +5,21 @@ Each class has ``COORDINATES`` minwise hashes. A path token is ``TOKEN`` of them
 sets of similarity s share one with probability s ** TOKEN.
 
 ``TREES`` independent trees branch all classes: at a node, two tokens are selected by a hash of
-the node, and a class goes to one child for each of them, named by its values. Two selected
-tokens are about 1 / 0.8 ** TOKEN, so in expectation a pair at the threshold keeps meeting
-however deep the tree grows. A node with at most ``SMALL`` classes is compared exhaustively.
+the node, and a class goes to one child for each of them, named by its values. Below the first
+level ``CHILDREN`` tokens are selected, twice as many as the about 1 / 0.8 ** TOKEN that would keep a pair at
+the threshold meeting in expectation, so that its chance hardly falls however deep the tree grows. A node with at most ``SMALL`` classes is compared exhaustively.
 In a larger node every class is compared with the node's first class; then nodes whose classes
 are all connected, through any node of any tree, have nothing to add and end there. So a group
 of thousands of near copies costs as much as its links to a few first classes, not all of its
 pairs. Of the nodes that are left, those with at most ``MIDDLE`` classes are compared
 exhaustively between components, and larger ones branch on.
 
-Pairs are sifted by a 128-bit sketch (two bits of each minwise hash; a pair at the threshold is
+Pairs are sifted by a 128-bit sketch (two bits of each of 64 minwise hashes; a pair at the threshold is
 lost with a chance under one in a million) and by size; the rest is confirmed on the full sets,
 computed anew from the texts. Similarity is exact: ``100 * intersection >= percent * union``.
 A pair at the threshold that does not meet in a tree does so in another: with ten trees one
-pair in 10 ** 6 is missed at the first level, one in 3000 at the second; pairs above it far less.
+pair in 10 ** 6 is missed at the first level, one in 80,000 at the second and one in 8,000 at the
+ninth; pairs above it far less.
 
 Levels, links and components stay distributed. What is broadcast, the ids of classes whose
 texts are needed, is checked to be few megabytes; beyond that the texts are joined
@@ -43,7 +44,8 @@ from wickwork.llm.graph import components
 
 TREES = 10
 TOKEN = 3
-COORDINATES = 64
+CHILDREN = 4
+COORDINATES = 128
 SMALL = 16
 MIDDLE = 2048
 LEVELS = 4
@@ -95,7 +97,7 @@ def minwise(x: np.ndarray) -> np.ndarray:
 
 
 def _bits(values: np.ndarray, bit: int) -> int:
-    ones = (values >> np.uint32(bit)) & np.uint32(1)
+    ones = (values[:64] >> np.uint32(bit)) & np.uint32(1)
     return int(np.packbits(ones.astype(np.uint8)).view(">i8")[0])
 
 
@@ -135,9 +137,9 @@ def _roots() -> Column:
 
 
 def _children() -> Column:
-    """The two children of ``node`` to which a class goes: coordinates selected by a hash of the node."""
-    picked = [[F.pmod(F.xxhash64("node", F.lit(b), F.lit(k)), F.lit(COORDINATES)).cast("int") for k in range(TOKEN)] for b in range(2)]
-    return F.array(*[F.xxhash64("node", F.lit(b), *[F.get("mins", c) for c in picked[b]]) for b in range(2)])
+    """The children of ``node`` to which a class goes: coordinates selected by a hash of the node."""
+    picked = [[F.pmod(F.xxhash64("node", F.lit(b), F.lit(k)), F.lit(COORDINATES)).cast("int") for k in range(TOKEN)] for b in range(CHILDREN)]
+    return F.array(*[F.xxhash64("node", F.lit(b), *[F.get("mins", c) for c in picked[b]]) for b in range(CHILDREN)])
 
 
 def _alike(a, b, percent: int) -> Column:
