@@ -87,6 +87,16 @@ def test_pairs_at_the_threshold_keep_meeting_in_deep_levels(spark):
     assert min(left) >= 1997
 
 
+def test_blocks_are_bounded_and_bring_all_pairs_together(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "MIDDLE", 40)
+    rows = [(node, k, 9, k, k, k, size) for node, size in ((1, 300), (2, 50)) for k in range(size)]
+    nodes = spark.createDataFrame(rows, "node bigint, id bigint, n bigint, s1 bigint, s2 bigint, comp bigint, size bigint")
+    members = [set(r["m"]) for r in near_dup._blocks(nodes).groupBy("node").agg(F.collect_list("id").alias("m")).collect()]
+    assert max(map(len, members)) <= 80
+    together = {(a, b) for m in members for a in m for b in m if a < b}
+    assert together == {(a, b) for b in range(300) for a in range(b)}
+
+
 def test_texts_joined_by_a_shuffle(docs, corpus, monkeypatch):
     monkeypatch.setattr("wickwork.llm.common.BROADCAST_BYTES", 0)
     out = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(corpus[:80]), shingle=2).collect()}

@@ -23,7 +23,10 @@ ninth; pairs above it far less.
 
 Levels, links and components stay distributed. What is broadcast, the ids of classes whose
 texts are needed, is checked to be few megabytes; beyond that the texts are joined
-by a shuffle. After ``LEVELS`` levels the few nodes left are compared by a join on the node.
+by a shuffle. Nodes still above ``MIDDLE`` after ``LEVELS`` levels are groups of copies just under the
+threshold, whose pairs further branching hardly lessens (four children of a group of similarity s have
+4 * s ** 6 of them). They are compared in blocks of about half of ``MIDDLE``, each two blocks for
+themselves, so no task holds a whole node; the pairs compared still grow with the square of its size.
 
 Defined cases: a null text, or one without words, has an empty set and links to nothing. A text
 of fewer words than a shingle is one shingle. Documents without an id take part; a component
@@ -258,7 +261,8 @@ def near_duplicates(
         if not large.take(1):
             break
         if level == LEVELS:
-            links.confirm(_across(large, percent))
+            links.confirm(_within(_blocks(large), percent))
+            break
         large = large.select("node", "id").join(classes.select("id", "n", "s1", "s2", "mins"), "id")
         rows = links.relabel(large.select(F.explode(_children()).alias("node"), "id", "n", "s1", "s2"))
     return _results(described, links.relabel(classes.select("id", "least")))
@@ -293,12 +297,13 @@ class _Links:
         return rows.join(found, "id", "left").withColumn("comp", F.coalesce("found", "id")).drop("found")
 
 
-def _across(nodes: DataFrame, percent: int) -> DataFrame:
-    """As ``_within``, by a join: for the nodes that branching has not parted."""
-    x, y = nodes.select("node", *_MEMBER).alias("x"), nodes.select("node", *_MEMBER).alias("y")
-    pair = (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))
-    near = _alike(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent)
-    return x.join(y, pair & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+def _blocks(nodes: DataFrame) -> DataFrame:
+    """Nodes above ``MIDDLE`` as nodes of two blocks of members each, so that every two members meet in one."""
+    blocks = F.ceil(F.col("size") / max(1, MIDDLE // 2))
+    nodes = nodes.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", "id"), "blocks"))
+    nodes = nodes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    pair = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
+    return nodes.withColumn("node", pair).select("node", *_MEMBER)
 
 
 def _results(described: DataFrame, named: DataFrame) -> DataFrame:
