@@ -116,6 +116,17 @@ def test_ids_missing_repeated_and_clashing_names(docs, prose, clashing):
     assert near_duplicates(docs([])).count() == 0 and drop_near_duplicates(docs([])).count() == 0
 
 
+def test_repeated_rows_without_words_stay(docs, prose):
+    empty = [(1, "", "en", "s", 1)] * 3 + [(2, None, "en", "s", 1)] * 2 + [(None, " ", "en", "s", 1)] * 2
+    repeated = [(5, prose(1, 50), "en", "s", 1)] * 2
+
+    def ids(rows):
+        return sorted(r["doc_id"] or 0 for r in drop_near_duplicates(docs(rows)).collect())
+
+    assert ids(empty) == [0, 0, 1, 1, 1, 2, 2]
+    assert ids(empty + repeated) == [0, 0, 1, 1, 1, 2, 2, 5]
+
+
 def test_one_of_each_group_stays(docs, corpus):
     corpus = corpus[:90]
     left = drop_near_duplicates(docs(corpus), shingle=2)

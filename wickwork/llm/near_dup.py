@@ -322,14 +322,22 @@ def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80
     """The documents with all their columns, one of each component: that with the least id.
 
     Among rows without an id, or with the same one, the least hash of the text decides, and of
-    rows equal in both any one stays. What is joined to the documents are the ids that go.
+    rows equal in both any one stays. Texts with an empty set all stay. What is joined to the
+    documents are the ids that go, and those of repeated rows.
     """
     found = cut(near_duplicates(docs, shingle=shingle, percent=percent, doc_id=doc_id, text=text).where("component is not null"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("text_key").alias("text_key"))
     kept = found.groupBy("component").agg(F.min(order).alias("kept"))
     gone = found.join(kept, "component").where(order != F.col("kept")).select("doc_id", "text_key").distinct()
-    gone = within_broadcast(cut(gone))
-    left = docs.join(gone, docs[doc_id].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs[text]) == gone["text_key"]), "left_anti")
-    if found.groupBy("doc_id", "text_key").count().where("count > 1").take(1):
-        left = left.dropDuplicates([doc_id, text])
+    left = _matched(docs, gone, doc_id, text, "left_anti")
+    repeated = found.groupBy("doc_id", "text_key").count().where("count > 1")
+    if repeated.take(1):
+        once = _matched(left, repeated, doc_id, text, "left_semi").dropDuplicates([doc_id, text])
+        left = _matched(left, repeated, doc_id, text, "left_anti").union(once)
     return left
+
+
+def _matched(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, how: str) -> DataFrame:
+    """The documents whose id and text are among ``rows`` (``doc_id``, ``text_key``), or are not."""
+    rows = within_broadcast(cut(rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))))
+    return docs.join(rows, docs[doc_id].eqNullSafe(rows["__id"]) & (F.xxhash64(docs[text]) == rows["__key"]), how)
