@@ -1,4 +1,5 @@
 import json
+import os
 import zipfile
 from datetime import date
 from decimal import Decimal
@@ -102,6 +103,25 @@ def test_wanted_files_are_found_however_their_keys_are_written(spark, tmp_path):
     assert archive.read_kline_archive(spark, str(tmp_path), none).count() == 0
 
 
+def test_relative_keys_and_keys_without_a_file(spark, tmp_path):
+    make_zip(tmp_path / "d/A-1h-2024-01.zip", {"x.csv": LINE})
+    folder = os.path.relpath(tmp_path)
+    for key in (f"{folder}/d/A-1h-2024-01.zip", f"./{folder}/d//A-1h-2024-01.zip"):
+        wanted = spark.createDataFrame([(key,)], "key string")
+        assert archive.read_kline_archive(spark, str(tmp_path), wanted).count() == 1
+    working = spark._jvm.org.apache.hadoop.fs.Path(".").getFileSystem(spark._jsc.hadoopConfiguration())
+    before = working.getWorkingDirectory()
+    working.setWorkingDirectory(spark._jvm.org.apache.hadoop.fs.Path(str(tmp_path / "d")))
+    try:
+        bare = spark.createDataFrame([("A-1h-2024-01.zip",)], "key string")
+        assert archive.read_kline_archive(spark, str(tmp_path), bare).count() == 1
+    finally:
+        working.setWorkingDirectory(before)
+    missing = spark.createDataFrame([(str(tmp_path / "d/A-1h-2024-01.zip"),), (str(tmp_path / "d/A-1h-2024-02.zip"),)], "key string")
+    with pytest.raises(FileNotFoundError, match="A-1h-2024-02.zip"):
+        archive.read_kline_archive(spark, str(tmp_path), missing)
+
+
 def test_epoch_threshold(spark):
     df = spark.createDataFrame([(100_000_000_000_000,), (100_000_000_000_001,), (1735689600123456,)], "v bigint")
     got = [r[0] for r in df.select(F.unix_micros(epoch_to_timestamp(F.col("v"))).alias("m")).collect()]

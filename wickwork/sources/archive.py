@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wickwork.functions.values import whole
+from wickwork.session import file_system
 
 _LINES_PER_BATCH = 50_000
 
@@ -69,20 +70,33 @@ def read_kline_archive(spark: SparkSession, path: str | list[str], keys: DataFra
 def _zip_contents(spark: SparkSession, paths: list[str], keys: DataFrame | None) -> DataFrame:
     """Zip files as (path, content): all under ``paths``, or those that ``keys`` names.
 
-    With keys only the folders they lie in are read, and files are matched by path with any
-    scheme and host taken off, so it does not matter how a key is written. What reaches the
-    driver is one name a folder, as for a partitioned table.
+    With keys only the folders they lie in are read, each resolved by its file system, and files
+    are matched by path with any scheme and host taken off, so it does not matter how a key is
+    written. A key of a zip that is not there is an error. What reaches the driver is one name a
+    folder, as for a partitioned table.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
     if keys is None:
         return reader.option("recursiveFileLookup", "true").load(paths).select("path", "content")
-    folders = keys.select(F.expr("substring(key, 1, length(key) - length(substring_index(key, '/', -1)))").alias("f")).distinct()
-    folders = [r["f"] for r in folders.where("f <> ''").collect()]
+    name = F.substring_index("key", "/", -1)
+    folder = F.expr("left(key, length(key) - length(substring_index(key, '/', -1)))")
+    keys = keys.where("key is not null").select("key", name.alias("__name"), folder.alias("__folder"))
+    folders = {r[0]: _qualified(spark, r[0]) for r in keys.select("__folder").distinct().collect()}
     if not folders:
         return reader.option("recursiveFileLookup", "true").load(paths).select("path", "content").limit(0)
-    wanted = keys.select(_bare_path("key").alias("__bare")).distinct()
-    files = reader.load(folders).select("path", "content").withColumn("__bare", _bare_path("path"))
-    return files.join(wanted, "__bare", "left_semi").select("path", "content")
+    resolved = spark.createDataFrame(list(folders.items()), "__folder string, __in string").withColumn("__in", _bare_path("__in"))
+    wanted = keys.join(resolved, "__folder").select("key", F.concat(F.rtrim("__in", F.lit("/")), F.lit("/"), "__name").alias("__bare"))
+    files = reader.load(sorted(set(folders.values()))).withColumn("__bare", _bare_path("path"))
+    missing = wanted.where(F.col("key").endswith(".zip")).join(files.select("__bare"), "__bare", "left_anti").select("key").first()
+    if missing:
+        raise FileNotFoundError(f"no file for the wanted key {missing['key']}")
+    return files.select("path", "content", "__bare").join(wanted, "__bare", "left_semi").select("path", "content")
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as its file system names it; one that is not named is the working folder."""
+    fs, p = file_system(spark, folder or ".")
+    return fs.makeQualified(p).toString()
 
 
 def _bare_path(column: str) -> Column:
