@@ -197,6 +197,18 @@ def test_rows_without_a_time_do_not_replace_each_other(spark, tmp_path):
     assert sorted((r["coin_id"], r["timestamp"] is None) for r in rows) == [("a", True), ("b", False), ("c", False)]
 
 
+def test_rows_without_a_whole_key_are_counted(spark, tmp_path, caplog):
+    path = str(tmp_path / "h")
+    T.create_table(spark, path, layout.MARKET_CAP_HISTORY)
+    rows = [{"coin_id": "a", "timestamp": NOW}, {"coin_id": None, "timestamp": NOW}, {"coin_id": "c", "timestamp": None}]
+    assert T.upsert_table(path, frame(spark, rows, S.MARKET_CAP_HISTORY), layout.MARKET_CAP_HISTORY) == 1
+    assert [r.getMessage() for r in caplog.records if r.name == T.__name__] == [f"{path}: 2 rows without a whole key rejected"]
+    caplog.clear()
+    assert T.upsert_table(path, frame(spark, rows[1:], S.MARKET_CAP_HISTORY), layout.MARKET_CAP_HISTORY) == 0
+    assert T.upsert_table(path, frame(spark, rows[:1], S.MARKET_CAP_HISTORY), layout.MARKET_CAP_HISTORY) == 1
+    assert len([r for r in caplog.records if r.name == T.__name__]) == 1
+
+
 def test_partitions_a_rebuild_no_longer_has_go(spark, tmp_path):
     path, table = str(tmp_path / "h"), layout.MARKET_CAP_HISTORY
     T.create_table(spark, path, table)

@@ -9,6 +9,7 @@ A table takes one writer at a time.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -20,6 +21,8 @@ from wickwork.operators.upsert import delete_where, upsert
 from wickwork.session import file_system, remove, sized_staging
 
 
+_log = logging.getLogger(__name__)
+
 # Fixed value: the directory of rows whose partition value is null.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -107,15 +110,20 @@ def upsert_table(
     """Merge ``source`` into the table by the layout's key, rewriting only the partitions it touches.
 
     Columns of the table that the source lacks are null in inserted rows and unchanged in
-    updated ones. Source rows without a whole key have no place in the table and are left out.
-    Returns the number of source rows merged.
+    updated ones. Source rows without a whole key have no place in the table: they are rejected
+    before the write and their number is logged. Returns the number of source rows merged.
     """
     spark = source.sparkSession
     present = [c for c in layout.schema.names if c in source.columns]
     if update is None:
         update = [c for c in present if c not in layout.keys]
-    keyed = source.dropna(subset=list(layout.keys)).withColumn(layout.partition, layout.partition_value())
-    with sized_staging(keyed, "upsert") as (rows, small):
+    keyed = source.withColumn(layout.partition, layout.partition_value())
+    with sized_staging(keyed, "upsert") as (staged, small):
+        rows = staged.dropna(subset=list(layout.keys))
+        merged_rows = rows.count()
+        rejected = staged.count() - merged_rows
+        if rejected:
+            _log.warning("%s: %d rows without a whole key rejected", path, rejected)
         values = touched_partitions(rows, layout)
         if not values:
             return 0
@@ -130,7 +138,7 @@ def upsert_table(
             small_source=small,
         )
         write_partitions(layout.shaped(merged), path, layout, gather=not small)
-        return rows.count()
+        return merged_rows
 
 
 def prune_table(
