@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wickwork.llm import decontaminate, html_extract, licenses, near_dup, packing, quality, secrets, sharding, substring_dedup, token_counts
+from wickwork.llm import (
+    decontaminate,
+    hard_negatives,
+    html_extract,
+    licenses,
+    near_dup,
+    packing,
+    periodic_runs,
+    quality,
+    secrets,
+    sharding,
+    substring_dedup,
+    token_counts,
+    url_rules,
+)
 from wickwork.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -236,3 +250,92 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+# Scores of all anchors with all rows; windows by the positives' scores.
+_NEGATIVE_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda v: floor(256 * CAST(v AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, CAST(list_inner_product(a.x, o.x) AS BIGINT) AS score
+  FROM r AS a JOIN r AS o ON a.vec_id % 100 = 0 AND o.vec_id <> a.vec_id
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 80 * positive_score AND 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query("op11_hard_negatives", _NEGATIVE_SQL)
+def hard_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    # A null or non-finite component stays one, so that the operator leaves its row out.
+    endless = lambda v: F.isnan(v) | (F.abs(v) == float("inf"))
+    whole = F.transform("embedding", lambda v: F.when(endless(v), v.cast("double")).otherwise(F.floor(256 * v.cast("double")).cast("double")))
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), whole.alias("embedding"))
+    found = hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+    scores = [F.col(c).cast("long").alias(c) for c in ("positive_score", "negative_score")]
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", *scores)
+
+
+# The rules of the contract, as verdict, host and path.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+_RULE_ROWS = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in URL_RULES)
+
+_URL_SQL = f"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+),
+r(v, h, p) AS (VALUES {_RULE_ROWS}),
+k AS (SELECT DISTINCT host, path FROM u),
+b AS (
+  SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+  FROM k JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN b USING (host, path)
+"""
+
+
+@query("op12_url_filters", _URL_SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULE_ROWS} AS r(verdict, host, path)")
+    judged = url_rules.judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op13_periodic_runs")
+def periodic_run_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    seed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic_runs.find_runs(periodic_runs.repeat_tail(docs, seed))
+    start, length, period = (F.col("greatest")[c] for c in ("start", "length", "period"))
+    line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * greatest.length div greatest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
