@@ -49,8 +49,13 @@ def test_merging_batches_equals_one_dedupe(spark, versions, cut):
     whole = rows_of(rollup.silver(bronze(spark, rows)), *columns)
     first, second = rows[:cut], rows[cut:]
     stored = rollup.silver(bronze(spark, first))
-    for small in (False, True):
-        assert rows_of(rollup.merge_silver(stored, bronze(spark, second + first), small), *columns) == whole
+    assert rows_of(rollup.merge_silver(stored, bronze(spark, second + first)), *columns) == whole
+
+
+def test_a_candle_without_a_time_is_one_row_when_sent_again(spark):
+    rows = [candle(open_time=None, published=V1), candle(interval=None, published=V1)]
+    stored = rollup.silver(bronze(spark, rows))
+    assert rollup.merge_silver(stored, bronze(spark, rows)).count() == 2
 
 
 def silver_of(spark, rows):

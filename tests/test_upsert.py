@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import frame, rows_of, utc
-from wickwork import layout, schemas as S, session
+from wickwork import layout, schemas as S
 from wickwork.functions.times import months_before
 from wickwork.operators.retention import prune
 from wickwork.operators.upsert import delete_where, upsert
@@ -26,19 +26,18 @@ def guarded(target, source, **how):
     return upsert(target, source, ["coin_id"], when=F.col("t.updated_at") < F.col("s.updated_at"), **how)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_guard_refuses_equal_and_older(spark, small):
+def test_guard_refuses_equal_and_older(spark):
     target = snaps(spark, ("eq", 1, NOW, "coingecko", 1), ("old", 1, NOW, "coingecko", 1), ("new", 1, NOW, "coingecko", 1))
     source = snaps(
         spark, ("eq", 2, NOW, "binance_rest"), ("old", 2, OLD, "binance_rest"), ("new", 2, NEW, "binance_rest"),
         ("first", 2, OLD, "binance_rest"),
     )
     source = source.select("coin_id", "price_usd", "updated_at", "price_source")
-    got = guarded(target, source, small_source=small)
+    got = guarded(target, source)
     assert [(c, int(p), r) for c, p, r in rows_of(got.na.fill(0, ["rank"]), "coin_id", "price_usd", "rank")] == [
         ("eq", 1, 1), ("first", 2, 0), ("new", 2, 1), ("old", 1, 1),
     ]
-    again = guarded(got, source, small_source=small)
+    again = guarded(got, source)
     assert rows_of(again.na.fill(0), *again.columns[:2]) == rows_of(got.na.fill(0), *got.columns[:2])
 
 
@@ -51,11 +50,10 @@ def test_seeded_price_waits_for_a_later_close(spark):
     assert guarded(seeded, after).first()["price_usd"] == 7
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_repeated_source_keys_do_not_multiply_rows(spark, small):
+def test_repeated_source_keys_do_not_multiply_rows(spark):
     target = snaps(spark, ("a", 1, OLD, "coingecko", 1))
     source = snaps(spark, ("a", 2, OLD, "coingecko", 1), ("a", 3, NEW, "coingecko", 1), ("b", 4, NOW, "coingecko", 1), ("b", 5, OLD, "coingecko", 2))
-    got = upsert(target, source, ["coin_id"], order_by=[F.desc("updated_at")], small_source=small)
+    got = upsert(target, source, ["coin_id"], order_by=[F.desc("updated_at")])
     assert [(c, int(p)) for c, p in rows_of(got, "coin_id", "price_usd")] == [("a", 3), ("b", 4)]
 
 
@@ -93,10 +91,13 @@ def files_under(path):
     return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
 
 
-@pytest.fixture(params=["small source", "large source"])
-def either_size(request, monkeypatch):
-    """Both ways an upsert can run, by moving the size limit."""
-    monkeypatch.setattr(session, "SMALL_BYTES", 8_000_000 if request.param == "small source" else 0)
+@pytest.fixture(params=["broadcast", "shuffle"])
+def either_size(request, spark):
+    """Both ways in which Spark can run an upsert's plan."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before if request.param == "broadcast" else "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_table_upsert_touches_only_its_partitions(spark, tmp_path, either_size):
@@ -176,7 +177,7 @@ def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     snaps(spark, *[(f"c{i}", 1, OLD, "coingecko", 1) for i in range(50)]).write.parquet(target_path)
     snaps(spark, ("c1", 2, NEW, "coingecko", 1), ("x", 2, NEW, "coingecko", 1)).write.parquet(source_path)
     target, source = spark.read.parquet(target_path), spark.read.parquet(source_path)
-    merged = guarded(target, source, small_source=True)
+    merged = guarded(target, source)
     rows_of(merged, "coin_id")
     text = merged._jdf.queryExecution().executedPlan().toString()
     final = text.split("Initial Plan")[0]

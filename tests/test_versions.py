@@ -1,0 +1,234 @@
+"""Appended versions, compaction, the change feed, and deletions that travel."""
+
+import json
+import os
+import re
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import bronze, candle, rows_of, utc
+from wickwork import layout, versions as V
+from wickwork.layout import read_table
+from wickwork.operators import rollup
+from wickwork.plans import jobs
+from wickwork.plans.follow import follow_gold, follow_silver
+from wickwork.sinks.tables import create_table, prune_table, write_partitions
+from wickwork.streaming import events as E
+
+KEY = ["coin_id", "interval", "open_time"]
+COLUMNS = [*KEY, "close", "latest_publish_time"]
+T0 = utc(2024, 1, 5)
+
+
+def published(minute):
+    return T0 + timedelta(minutes=minute)
+
+
+def silver(spark, *rows):
+    return rollup.silver(bronze(spark, list(rows)))
+
+
+def tombstones(spark, condition, path, at):
+    rows = read_table(spark, path, layout.SILVER).where(condition).select(*KEY)
+    return rows.withColumn("latest_publish_time", F.lit(at).cast("timestamp")).withColumn("deleted", F.lit(True))
+
+
+@pytest.fixture
+def path(spark, tmp_path):
+    create_table(spark, str(tmp_path / "silver"), layout.SILVER)
+    return str(tmp_path / "silver")
+
+
+def data_files(folder):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")}
+
+
+def rows_written(folder, before):
+    import pyarrow.parquet as pq
+
+    return sum(pq.ParquetFile(f).metadata.num_rows for f in data_files(folder) if f not in before)
+
+
+def test_a_batch_writes_its_own_rows_only(spark, path):
+    whole = [candle(f"c{k}", hour=h, published=published(0)) for k in range(50) for h in range(24)]
+    write_partitions(silver(spark, *whole), path, layout.SILVER)
+    base = data_files(path)
+    for n in range(3):
+        before = data_files(path + "-deltas")
+        V.append_versions(silver(spark, candle("c1", hour=n, close=11, published=published(n + 1)), candle("c2", hour=n, published=published(n + 1))), path, layout.SILVER)
+        assert rows_written(path + "-deltas", before) == 2
+    assert data_files(path) == base
+    got = read_table(spark, path, layout.SILVER)
+    assert got.count() == 1200 and got.where(F.col("latest_publish_time") > T0).count() == 6
+
+
+def test_streamed_batches_do_not_grow_with_the_day(spark, path, tmp_path):
+    folder, gold = tmp_path / "in", str(tmp_path / "gold")
+    folder.mkdir()
+    for n in range(4):
+        rows = []
+        for k in range(5):
+            opened = utc(2024, 1, 1, n)
+            body = {
+                "coin_id": f"c{k}", "interval": "1h", "open_time": opened.strftime("%Y-%m-%dT%H:%M:%SZ"),
+                "close_time": (opened + timedelta(minutes=59)).strftime("%Y-%m-%dT%H:%M:%SZ"), "open": "2", "high": "9", "low": "1",
+                "close": "3", "volume": "1", "quote_volume": "1", "trade_count": 1, "is_closed": True,
+            }
+            rows.append({"value": json.dumps(body), "publish_time": f"2024-01-03T00:0{n}:00.000Z", "message_id": f"{n}-{k}"})
+        (folder / f"{n}.json").write_text("\n".join(map(json.dumps, rows)))
+    valid, _ = E.split_invalid(E.parse_events(E.candle_stream(spark, str(folder), max_files=1), "bronze"))
+    E.start_ohlcv(valid, path, gold, "day", str(tmp_path / "c")).awaitTermination()
+    for table in (path, gold):
+        deltas = V.feed(spark, table)
+        assert [d.number for d in deltas] == [1, 2, 3, 4] and {d.partitions for d in deltas} == {("2024-01-01",)}
+        for n in range(1, 5):
+            assert rows_written(f"{table}-deltas/seq={n}", {}) == 5
+    assert rows_of(read_table(spark, gold, layout.GOLD_DAILY), "coin_id", "candle_count") == [(f"c{k}", 4) for k in range(5)]
+    assert V.position(spark, gold, path) == 4
+
+
+def test_any_order_of_batches_and_compactions_ends_in_the_same_rows(spark, path):
+    batches = [
+        [candle("a", close=12, published=published(3)), candle("b", hour=23, published=published(1))],
+        [candle("a", close=11, published=published(2)), candle("b", day=2, published=published(1))],
+        [candle("a", close=10, published=None), candle("c", open_time=None, published=published(1))],
+        [candle("c", open_time=None, published=published(1))],
+    ]
+    expected = silver(spark, *[r for b in batches for r in b])
+    for n, batch in enumerate([*batches[::-1], batches[1]]):
+        V.append_versions(silver(spark, *batch), path, layout.SILVER)
+        if n == 2:
+            assert V.compact(spark, path, layout.SILVER) and V.stored_numbers(spark, path) == [0]
+    shown = lambda df: sorted(map(str, df.select(*COLUMNS).collect()))
+    assert shown(read_table(spark, path, layout.SILVER)) == shown(expected)
+    V.compact(spark, path, layout.SILVER)
+    assert shown(read_table(spark, path, layout.SILVER)) == shown(V.read_base(spark, path, layout.SILVER)) == shown(expected)
+    assert V.compact(spark, path, layout.SILVER) == []
+
+
+def test_only_changed_days_are_reduced(spark, path):
+    write_partitions(silver(spark, *[candle("a", day=d, published=T0) for d in range(1, 9)]), path, layout.SILVER)
+    V.append_versions(silver(spark, candle("a", day=3, published=published(1))), path, layout.SILVER)
+    current = read_table(spark, path, layout.SILVER)
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PartitionFilters: \[isnotnull\(date#\d+\), \(date#\d+ = 2024-01-03\)\]", plan)) == 2
+    assert plan.count("Exchange") == 1 and current.count() == 8
+    other = current.where("date = '2024-01-05'")
+    assert other._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0 and other.count() == 1
+
+
+def test_tombstones_outrank_older_versions_even_after_compaction(spark, path):
+    write_partitions(silver(spark, candle("a", published=published(1)), candle("b", published=published(1))), path, layout.SILVER)
+    V.append_versions(tombstones(spark, F.col("coin_id") == "a", path, published(5)), path, layout.SILVER)
+    ids = lambda: [r[0] for r in rows_of(read_table(spark, path, layout.SILVER), "coin_id")]
+    assert ids() == ["b"]
+    V.compact(spark, path, layout.SILVER)
+    assert ids() == ["b"]
+    V.append_versions(silver(spark, candle("a", published=published(4))), path, layout.SILVER)
+    assert ids() == ["b"]  # published before the deletion, came after it
+    V.compact(spark, path, layout.SILVER)
+    V.append_versions(silver(spark, candle("a", published=published(6))), path, layout.SILVER)
+    assert ids() == ["a", "b"]
+    V.append_versions(tombstones(spark, F.lit(True), path, published(9)), path, layout.SILVER)
+    V.compact(spark, path, layout.SILVER)
+    assert ids() == [] and V.read_base(spark, path, layout.SILVER).count() == 0
+
+
+def test_an_unfinished_batch_is_not_read(spark, path, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(V, "write_lines", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            V.append_versions(silver(spark, candle("x", published=T0)), path, layout.SILVER)
+    assert read_table(spark, path, layout.SILVER).count() == 0 and V.feed(spark, path) == []
+    written = V.append_versions(silver(spark, candle("a", published=T0)), path, layout.SILVER)
+    assert written.number == 2 and read_table(spark, path, layout.SILVER).count() == 1
+    assert V.append_versions(silver(spark), path, layout.SILVER) is None
+
+
+def test_a_lost_compaction_is_repeated(spark, path, monkeypatch):
+    V.append_versions(silver(spark, candle("a", published=T0), candle("b", published=T0)), path, layout.SILVER)
+    with monkeypatch.context() as patch:
+        patch.setattr(V, "drop_deltas", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            V.compact(spark, path, layout.SILVER)
+    assert read_table(spark, path, layout.SILVER).count() == 2
+    V.compact(spark, path, layout.SILVER)
+    assert read_table(spark, path, layout.SILVER).count() == 2
+
+
+def test_followers_read_the_feed_from_their_own_position(spark, path, tmp_path):
+    gold = str(tmp_path / "gold")
+    create_table(spark, gold, layout.GOLD_HOURLY)
+    V.append_versions(silver(spark, candle("a", published=T0), candle("a", hour=1, published=T0)), path, layout.SILVER)
+    assert follow_silver(spark, path, gold, "hour").number == 1
+    assert follow_silver(spark, path, gold, "hour") is None
+    V.append_versions(silver(spark, candle("a", hour=1, close=11, high=99, published=published(1))), path, layout.SILVER)
+    follow_silver(spark, path, gold, "hour")
+    assert rows_written(gold + "-deltas/seq=2", {}) == 1  # one bucket changed
+    V.append_versions(silver(spark, candle("a", hour=2, published=published(2))), path, layout.SILVER)
+    V.append_versions(tombstones(spark, F.hour("open_time") == 0, path, published(3)), path, layout.SILVER)
+    V.compact(spark, path, layout.SILVER)  # the versions are folded in before gold has seen them
+    follow_silver(spark, path, gold, "hour")
+    bars = read_table(spark, gold, layout.GOLD_HOURLY)
+    expected = rollup.ohlcv(read_table(spark, path, layout.SILVER), "hour")
+    columns = ["coin_id", "hour", "high", "candle_count"]
+    assert rows_of(bars, *columns) == rows_of(expected, *columns) and bars.count() == 2
+
+
+def test_delete_reaches_gold_and_serving(spark, tmp_path):
+    tables = jobs.Tables(str(tmp_path / "t"))
+    tables.create(spark)
+    from wickwork.sinks.tables import append
+
+    rows = [candle(c, hour=h, day=d, published=T0) for c in ("a", "b", "test") for d in (1, 2) for h in range(24)]
+    append(bronze(spark, rows), tables.path("bronze_candles"), layout.BRONZE)
+    jobs.refresh_silver(spark, tables, utc(2024, 1, 1))
+    as_of = utc(2024, 1, 6)
+    for unit in ("hour", "day"):
+        assert jobs.propagate(spark, tables, unit, as_of)["upserted"] == {"hour": 144, "day": 6}[unit]
+    before = V.stored_numbers(spark, tables.path("daily_candle_metrics"))
+    gone = (F.col("coin_id") == "test") | ((F.col("coin_id") == "b") & (F.col("open_time") < F.lit("2024-01-01 12:00:00").cast("timestamp")))
+    assert jobs.delete_candles(spark, tables, gone, as_of) == {"bronze": 60, "silver": 60}
+    assert jobs.propagate(spark, tables, "day", as_of) == {"upserted": 1, "deleted": 2}
+    assert jobs.propagate(spark, tables, "hour", as_of) == {"upserted": 0, "deleted": 60}
+    assert jobs.propagate(spark, tables, "hour", as_of) == {"upserted": 0, "deleted": 0}
+    assert len(V.stored_numbers(spark, tables.path("daily_candle_metrics"))) == len(before) + 1  # no rebuild
+    kept = rollup.silver(tables.read(spark, "bronze_candles").drop("month"))
+    for unit, name in (("hour", "hourly"), ("day", "daily")):
+        bars = rollup.ohlcv(kept, unit)
+        expected = rows_of(bars.withColumnRenamed(unit, "at"), "coin_id", "at", "volume", "candle_count")
+        gold = tables.read(spark, f"{name}_candle_metrics").withColumnRenamed(unit, "at")
+        assert rows_of(gold, "coin_id", "at", "volume", "candle_count") == expected
+        serving = tables.read(spark, f"candle_rollups_{name}")
+        assert [r[:2] for r in rows_of(serving, "coin_id", "bucket_start")] == [r[:2] for r in expected]
+    assert jobs.compact_tables(spark, tables)["silver_candles"] == 2
+    jobs.rebuild_silver(spark, tables)
+    jobs.rebuild_gold(spark, tables, "day")
+    assert rows_of(tables.read(spark, "daily_candle_metrics"), "coin_id", "candle_count") == [("a", 24), ("a", 24), ("b", 12), ("b", 24)]
+    assert jobs.propagate(spark, tables, "day", as_of)["deleted"] == 0
+
+
+def test_changes_in_place_fold_versions_in_first(spark, tmp_path):
+    gold = str(tmp_path / "gold")
+    create_table(spark, gold, layout.GOLD_DAILY)
+    for day in (1, 20):
+        V.append_versions(rollup.ohlcv(silver(spark, candle("a", day=day, published=T0)), "day"), gold, layout.GOLD_DAILY)
+    assert prune_table(spark, gold, layout.GOLD_DAILY, utc(2024, 1, 21), days=5) == 1
+    assert read_table(spark, gold, layout.GOLD_DAILY).count() == 1 and V.stored_numbers(spark, gold) == []
+    V.append_versions(rollup.ohlcv(silver(spark, candle("a", day=1, published=T0)), "day"), gold, layout.GOLD_DAILY)
+    assert read_table(spark, gold, layout.GOLD_DAILY).count() == 2  # a deleted bar may come back
+
+
+def test_follow_gold_after_folding(spark, tmp_path):
+    gold, serving = str(tmp_path / "gold"), str(tmp_path / "serving")
+    create_table(spark, gold, layout.GOLD_DAILY)
+    create_table(spark, serving, layout.ROLLUPS_DAILY)
+    bars = rollup.ohlcv(silver(spark, candle("a", published=T0), candle("b", published=T0)), "day")
+    V.append_versions(bars, gold, layout.GOLD_DAILY)
+    assert follow_gold(spark, gold, serving, "day", T0) == {"upserted": 2, "deleted": 0}
+    V.append_versions(bars.where("coin_id = 'a'").withColumn("deleted", F.lit(True)), gold, layout.GOLD_DAILY)
+    V.compact(spark, gold, layout.GOLD_DAILY)
+    assert follow_gold(spark, gold, serving, "day", T0) == {"upserted": 1, "deleted": 1}
+    assert rows_of(read_table(spark, serving, layout.ROLLUPS_DAILY), "coin_id") == [("b",)]

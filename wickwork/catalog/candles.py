@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wickwork import layout
+from wickwork import layout, versions
 from wickwork.catalog import shapes
 from wickwork.catalog.base import ctes, query
 from wickwork.catalog.shapes import BRONZE, EVENTS_AS_OF, FINE, SANE, SILVER, gold_sql
@@ -229,6 +229,53 @@ def rebuild_after_delete(spark, sf_dir):
     return read_table(spark, tables.path("daily_candle_metrics"), layout.GOLD_DAILY).drop("date")
 
 
+_DELETED = "coin_id = 'click' AND open_time >= TIMESTAMP '2024-01-10' OR open_time >= TIMESTAMP '2024-01-20'"
+_LEFT = f"kept AS (SELECT * FROM silver WHERE NOT ({_DELETED}))"
+
+
+def _deleted(spark: SparkSession, sf_dir: str) -> jobs.Tables:
+    """Tables after a load, a deletion in bronze and silver, and what follows from them in gold and serving."""
+    tables = jobs.Tables(new_folder(spark, "deleted"))
+    tables.create(spark)
+    append(sane(shapes.bronze(spark, sf_dir))[0], tables.path("bronze_candles"), layout.BRONZE)
+    jobs.refresh_silver(spark, tables, since=datetime(2023, 12, 1))
+    jobs.propagate(spark, tables, "hour", EVENTS_AS_OF)
+    jobs.delete_candles(spark, tables, F.expr(_DELETED), EVENTS_AS_OF)
+    jobs.propagate(spark, tables, "hour", EVENTS_AS_OF)
+    return tables
+
+
+@query("delete_propagates", ctes(*_DEDUPED, _LEFT, gold_sql("gold", "kept", "hour")) + "SELECT * FROM gold")
+def delete_propagates(spark, sf_dir):
+    """Candles deleted once are gone from gold without a rebuild."""
+    return _deleted(spark, sf_dir).read(spark, "hourly_candle_metrics").drop("date")
+
+
+@query(
+    "delete_reaches_serving",
+    ctes(*_DEDUPED, _LEFT, gold_sql("gold", "kept", "hour"))
+    + """SELECT coin_id, "hour" AS bucket_start, CAST(open AS DECIMAL(24,10)) AS open, CAST(high AS DECIMAL(24,10)) AS high,
+      CAST(low AS DECIMAL(24,10)) AS low, CAST(close AS DECIMAL(24,10)) AS close, CAST(volume AS DECIMAL(28,10)) AS volume,
+      "hour" + INTERVAL 1 HOUR <= TIMESTAMP '2024-01-30 20:30:00' AS is_closed, TIMESTAMP '2024-01-30 20:30:00' AS updated_at
+    FROM gold""",
+)
+def delete_reaches_serving(spark, sf_dir):
+    return _deleted(spark, sf_dir).read(spark, "candle_rollups_hourly").drop("date")
+
+
+@query("silver_compacted", ctes(*_DEDUPED) + "SELECT * FROM silver")
+def silver_compacted(spark, sf_dir):
+    """Three appended batches with repeats, folded into the table's own files."""
+    path = new_folder(spark, "appended")
+    create_table(spark, path, layout.SILVER)
+    kept = sane(shapes.bronze(spark, sf_dir))[0]
+    for part in (1, 2, 0, 2):
+        batch = kept.where(F.pmod("trade_count", F.lit(3)) == part)
+        versions.append_versions(rollup.silver(batch), path, layout.SILVER)
+    versions.compact(spark, path, layout.SILVER)
+    return versions.read_base(spark, path, layout.SILVER).drop("date")
+
+
 @query(
     "silver_null_publish_time",
     ctes(*_DEDUPED) + "SELECT * EXCLUDE (latest_publish_time), CAST(NULL AS TIMESTAMP) AS latest_publish_time FROM silver",

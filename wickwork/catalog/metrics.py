@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from wickwork.catalog.base import ctes, query
 from wickwork.catalog.candles import sane_silver
 from wickwork.catalog.serving import daily_gold, hourly_gold
 from wickwork.catalog.shapes import BRONZE, EVENTS_AS_OF, SILVER, gold_sql
-from wickwork.operators.metrics import CANDLES, DAILY, HOURLY, build_rollup, metric_query
+from wickwork.operators.metrics import CANDLES, DAILY, HOURLY, build_rollup, covered_now, metric_query
 from wickwork.session import new_folder
 from wickwork.layout import SILVER as SILVER_TABLE, read_table
-from wickwork.sinks.rollups import read_rollup, rollup_built_at, write_rollup
-from wickwork.sinks.tables import write_partitions
+from wickwork.sinks.rollups import read_rollup, refresh_rollup, write_rollup
+from wickwork.sinks.tables import create_table, write_partitions
+from wickwork.versions import append_versions
 
 _DEDUPED = (BRONZE, SILVER)
 _LAST_WEEK = "{t} >= TIMESTAMP '2024-01-23' AND {t} < TIMESTAMP '2024-01-30'"
@@ -43,12 +46,69 @@ def metric_query_rollup(spark, sf_dir):
 
 @query("metric_query_stale_rollup", ctes(*_DEDUPED) + _BY_COIN_SQL)
 def metric_query_stale_rollup(spark, sf_dir):
-    """A rollup built before the range ends does not answer for it; the table does."""
+    """A rollup built before the range ends answers for what it holds, the table for the rest."""
     name, path = "candles_by_coin_and_hour", new_folder(spark, "rollup")
     silver, early = sane_silver(spark, sf_dir), datetime(2024, 1, 26)
     write_rollup(silver.filter("open_time < timestamp'2024-01-26'"), CANDLES, name, path, early)
-    stored, built = read_rollup(silver, CANDLES, name, path), {name: rollup_built_at(spark, path)}
-    return metric_query(silver, CANDLES, BY_COIN, EVENTS_AS_OF, {name: stored}, built)
+    return metric_query(silver, CANDLES, BY_COIN, EVENTS_AS_OF, {name: read_rollup(silver, CANDLES, name, path)})
+
+
+_SINCE = {
+    "measures": ["count", "high", "low", "volume", "trade_count"],
+    "dimensions": ["coin_id"],
+    "timeDimensions": [{"dimension": "open_time", "granularity": "day", "dateRange": ["2024-01-03T05:30:00", "2024-01-29T12:15:00"]}],
+}
+_SINCE_SQL = """SELECT coin_id, date_trunc('day', open_time) AS open_time, count(*) AS count, max(high) AS high, min(low) AS low,
+  CAST(sum(volume) AS DECIMAL(38,9)) AS volume, CAST(sum(trade_count) AS BIGINT) AS trade_count FROM silver
+  WHERE open_time >= TIMESTAMP '2024-01-03 05:30:00' AND open_time < TIMESTAMP '2024-01-29 12:15:00' GROUP BY 1, 2"""
+
+
+@query("metric_query_split", ctes(*_DEDUPED) + _SINCE_SQL)
+def metric_query_split(spark, sf_dir):
+    """A stored table with a rollup of its first part, and versions appended since into days that the rollup covers.
+
+    Covered whole hours come from the rollup; changed days, the time after the build and the range's broken ends from the table.
+    """
+    name, source, path = "candles_by_coin_and_hour", new_folder(spark, "silver"), new_folder(spark, "rollup")
+    create_table(spark, source, SILVER_TABLE)
+    silver = sane_silver(spark, sf_dir)
+    late = "day(open_time) IN (5, 6, 20) AND trade_count % 2 = 0"
+    append_versions(silver.where(f"open_time < timestamp'2024-01-21' AND NOT ({late})"), source, SILVER_TABLE)
+    refresh_rollup(spark, source, SILVER_TABLE, CANDLES, name, path, datetime(2024, 1, 21))
+    append_versions(silver.where(f"open_time >= timestamp'2024-01-21' OR ({late})"), source, SILVER_TABLE)
+    table = read_table(spark, source, SILVER_TABLE)
+    stored = read_rollup(table, CANDLES, name, path, source)
+    return metric_query(table, CANDLES, _SINCE, EVENTS_AS_OF, {name: stored})
+
+
+@query("metric_query_refreshed", ctes(*_DEDUPED) + _SINCE_SQL)
+def metric_query_refreshed(spark, sf_dir):
+    """The same, after the rollup has followed the table's feed."""
+    name, source, path = "candles_by_coin_and_hour", new_folder(spark, "silver"), new_folder(spark, "rollup")
+    create_table(spark, source, SILVER_TABLE)
+    silver = sane_silver(spark, sf_dir)
+    for n, build in enumerate((datetime(2024, 1, 20), EVENTS_AS_OF)):
+        append_versions(silver.where(F.pmod("trade_count", F.lit(2)) == n), source, SILVER_TABLE)
+        refresh_rollup(spark, source, SILVER_TABLE, CANDLES, name, path, build)
+    table = read_table(spark, source, SILVER_TABLE)
+    return metric_query(table, CANDLES, _SINCE, EVENTS_AS_OF, {name: read_rollup(table, CANDLES, name, path, source)})
+
+
+@query(
+    "metric_query_outside_range",
+    ctes(*_DEDUPED) + "SELECT coin_id, count(*) AS count, max(high) AS high FROM silver WHERE open_time < TIMESTAMP '2024-01-21' GROUP BY 1",
+)
+def metric_query_outside_range(spark, sf_dir):
+    """Two years after the candles: their months lie before the rollup's thirteen, and the table answers for all that are asked for."""
+    name, path, late = "candles_by_coin_and_hour", new_folder(spark, "rollup"), datetime(2026, 1, 21)
+    silver = sane_silver(spark, sf_dir)
+    write_rollup(silver, CANDLES, name, path, late)
+    spec = {
+        "measures": ["count", "high"],
+        "dimensions": ["coin_id"],
+        "timeDimensions": [{"dimension": "open_time", "dateRange": ["2023-01-01", "2024-01-20"]}],
+    }
+    return metric_query(silver, CANDLES, spec, late, {name: read_rollup(silver, CANDLES, name, path)})
 
 
 @query(
@@ -66,7 +126,7 @@ def metric_query_empty_count(spark, sf_dir):
         "timeDimensions": [{"dimension": "open_time", "dateRange": "last 7 days"}],
     }
     silver = sane_silver(spark, sf_dir)
-    return metric_query(silver, CANDLES, spec, EVENTS_AS_OF, {name: build_rollup(silver, CANDLES, name, EVENTS_AS_OF)})
+    return metric_query(silver, CANDLES, spec, EVENTS_AS_OF, {name: covered_now(silver, CANDLES, name, EVENTS_AS_OF)})
 
 
 @query(
@@ -151,8 +211,7 @@ def metric_query_daily(spark, sf_dir):
         "timeDimensions": [{"dimension": "day", "dateRange": ["2024-01-05", "2024-01-20"]}],
     }
     gold = daily_gold(spark, sf_dir)
-    rollup = build_rollup(gold, DAILY, name, EVENTS_AS_OF)
-    return metric_query(gold, DAILY, spec, EVENTS_AS_OF, {name: rollup})
+    return metric_query(gold, DAILY, spec, EVENTS_AS_OF, {name: covered_now(gold, DAILY, name, EVENTS_AS_OF)})
 
 
 _ROLLUP = """SELECT coin_id, "interval", is_closed, date_trunc('hour', open_time) AS open_time, count(*) AS count,
@@ -180,4 +239,4 @@ def rollup_refresh(spark, sf_dir):
     gold, early = hourly_gold(spark, sf_dir), datetime(2024, 1, 16)
     write_rollup(gold.filter("hour < timestamp'2024-01-16'"), HOURLY, name, path, early)
     write_rollup(gold, HOURLY, name, path, EVENTS_AS_OF, changed_since=early)
-    return read_rollup(gold, HOURLY, name, path)
+    return read_rollup(gold, HOURLY, name, path).rows

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from wickwork import layout
@@ -13,10 +16,11 @@ from wickwork.functions.values import nine_places
 from wickwork.layout import read_table
 from wickwork.operators import series as series_ops
 from wickwork.operators.quality import sane
+from wickwork.plans import jobs
 from wickwork.schemas import CANDLE
-from wickwork.session import new_folder
+from wickwork.session import new_folder, share_package
 from wickwork.sinks.files import load_ndjson, stage_ndjson
-from wickwork.sinks.tables import create_table
+from wickwork.sinks.tables import append, create_table
 from wickwork.sources import archive, landed
 
 
@@ -181,6 +185,44 @@ def archive_select(spark, sf_dir):
     return archive.select_archive_files(_keys(spark, sf_dir))
 
 
+def _write_zip(name: tuple, lines):
+    """One group's CSV lines as a zip; the folder is part of the group's name."""
+    folder, stem = name
+    fs, inside = archive.open_uri(folder)
+    fs.create_dir(inside, recursive=True)
+    with fs.open_output_stream(f"{inside}/{stem}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as packed:
+        packed.writestr(f"{stem}.csv", "\n".join(lines["line"]))
+    return pd.DataFrame({"key": [f"{folder}/{stem}.zip"]})
+
+
+def _write_archive(candles, folder: str) -> int:
+    """Candles as monthly zips of headerless CSV, one a coin and month, epochs in both units; returns the number of files."""
+    unit = lambda c: F.when(F.col("trade_count") % 2 == 0, F.unix_millis(c)).otherwise(F.unix_micros(c))
+    names = ["open", "high", "low", "close", "volume"]
+    cells = [unit("open_time"), *[F.col(c) for c in names], unit("close_time"), F.col("quote_volume"), F.col("trade_count"), F.lit("0")]
+    stem = F.concat(F.upper("coin_id"), F.lit("USDT-1h-"), F.date_format("open_time", "yyyy-MM"))
+    lines = candles.select(F.lit(folder).alias("folder"), stem.alias("stem"), F.concat_ws(",", *[c.cast("string") for c in cells]).alias("line"))
+    return lines.groupBy("folder", "stem").applyInPandas(_write_zip, "key string").count()
+
+
+@query(
+    "archive_backfill",
+    ctes(BRONZE)
+    + "SELECT * EXCLUDE (event_id) REPLACE (TIMESTAMP '2024-01-30 20:30:00' AS publish_time) FROM bronze",
+)
+def archive_backfill(spark, sf_dir):
+    """Candles written as zips, found by listing, and loaded into bronze by the backfill job."""
+    tables = jobs.Tables(new_folder(spark, "backfill"))
+    tables.create(spark)
+    candles, folder = shapes.bronze(spark, sf_dir), new_folder(spark, "klines")
+    coins = candles.select("coin_id", F.concat(F.upper("coin_id"), F.lit("USDT")).alias("binance_symbol")).distinct()
+    append(coins, tables.path("coins"), layout.COINS)
+    share_package(spark)
+    _write_archive(candles, folder)
+    jobs.backfill_candles(spark, tables, folder, new_folder(spark, "ndjson"), shapes.EVENTS_AS_OF)
+    return tables.read(spark, "bronze_candles").select(*CANDLE.names)
+
+
 @query(
     "epoch_units",
     """SELECT event_id, date_trunc('milliseconds', ts) AS from_millis, date_trunc('milliseconds', ts) AS from_micros

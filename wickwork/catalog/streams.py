@@ -17,15 +17,21 @@ from wickwork.streaming import events as stream
 _NUMBER = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of candle messages.
+def _messages(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
+    """The events table as a stream of candle messages; with more ``files``, as many batches in no order of time.
 
     Payloads carry two fields the schema does not name. The number ``k`` in an event's
     properties spoils some: below 10 the coin is missing, below 20 a time is an epoch
     number, below 30 the text is cut short, below 40 a price is no number.
     """
-    schema = shapes.table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = shapes.table(spark, sf_dir, "events")
+    reader = spark.readStream.schema(events.schema)
+    if files == 1:
+        source = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    else:
+        folder = new_folder(spark, "events")
+        events.repartition(files, "event_id").write.parquet(folder)
+        source = reader.option("maxFilesPerTrigger", 1).parquet(folder)
     k = F.col("k")
     columns = shapes._candle_columns(F.date_trunc("hour", F.col("ts")))
     number = F.get_json_object("props", "$.k").cast("bigint")
@@ -55,8 +61,8 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return stream.split_invalid(stream.parse_events(_messages(spark, sf_dir), "bronze"))
+def _split(spark: SparkSession, sf_dir: str, files: int = 1) -> tuple[DataFrame, DataFrame]:
+    return stream.split_invalid(stream.parse_events(_messages(spark, sf_dir, files), "bronze"))
 
 
 def _finish(run) -> None:
@@ -119,6 +125,25 @@ def stream_ohlcv(spark, sf_dir):
     return read_table(spark, gold, layout.GOLD_HOURLY).drop("date")
 
 
+@query("stream_silver_batches", ctes(_BRONZE, _STREAM_SILVER) + "SELECT * FROM silver")
+def stream_silver_batches(spark, sf_dir):
+    """Silver after several batches that reach into the same days, one of them replayed from a new checkpoint."""
+    path = new_folder(spark, "stream-silver")
+    for checkpoint in ("first", "second"):
+        valid, _ = _split(spark, sf_dir, 3)
+        _finish(stream.start_silver(valid, path, new_folder(spark, checkpoint)))
+    return read_table(spark, path, layout.SILVER).drop("date")
+
+
+@query("stream_ohlcv_batches", ctes(_BRONZE, _STREAM_SILVER, gold_sql("gold", "silver", "day")) + "SELECT * FROM gold")
+def stream_ohlcv_batches(spark, sf_dir):
+    """Day bars after several batches, of which each rolls up only the buckets it has candles of."""
+    silver, gold = new_folder(spark, "stream-silver"), new_folder(spark, "stream-gold")
+    valid, _ = _split(spark, sf_dir, 3)
+    _finish(stream.start_ohlcv(valid, silver, gold, "day", new_folder(spark, "checkpoint")))
+    return read_table(spark, gold, layout.GOLD_DAILY).drop("date")
+
+
 @query(
     "stream_windows",
     ctes(FINE, gold_sql("gold", "fine", "hour", latest="publish_time")) + "SELECT * FROM gold",

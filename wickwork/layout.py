@@ -25,6 +25,9 @@ class Layout:
     source: str | None = None
     buckets: int = 32
     sort: tuple[str, ...] = ()
+    # How the newest of a key's appended versions is told: by its publish time ("published") or by
+    # the batch that wrote it ("appended"). None: the table takes no deltas (wickwork.versions).
+    versions: str | None = None
 
     @property
     def partition(self) -> str:
@@ -54,18 +57,29 @@ class Layout:
     def stored_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(self.partition, self.partition_type)])
 
-    def shaped(self, df: DataFrame) -> DataFrame:
+    def shaped(self, df: DataFrame, *extra: str) -> DataFrame:
         """``df`` in the table's column order and types, with the partition column; absent columns are null."""
         columns = [
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in self.schema.fields
         ]
-        return df.select(*columns).withColumn(self.partition, self.partition_value())
+        return df.select(*columns, *extra).withColumn(self.partition, self.partition_value())
+
+    def sorted_for_write(self, df: DataFrame) -> DataFrame:
+        """Rows gathered by partition and sorted inside it.
+
+        REBALANCE sizes the write tasks at run time: small partitions share a task's output
+        sensibly and one partition holding much of the data is split over many tasks.
+        """
+        order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in self.sort]
+        return df.hint("rebalance", F.col(self.partition)).sortWithinPartitions(self.partition, *order)
 
 
 def read_table(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
-    """The table with its partition column, under the fixed schema (no inference, no footer reads)."""
-    return spark.read.schema(layout.stored_schema()).parquet(path)
+    """The table with its partition column: its own files, merged with the deltas beside it where it takes such."""
+    from wickwork.versions import read_current
+
+    return read_current(spark, path, layout)
 
 
 def time_range(
@@ -98,9 +112,9 @@ def time_range(
 
 
 BRONZE = Layout(S.BRONZE, (), "month", "open_time", sort=("coin_id", "interval", "open_time"))
-SILVER = Layout(S.SILVER, ("coin_id", "interval", "open_time"), "day", "open_time", sort=("coin_id", "interval"))
-GOLD_HOURLY = Layout(S.gold_schema("hour"), ("coin_id", "interval", "hour"), "day", "hour", sort=("coin_id", "interval"))
-GOLD_DAILY = Layout(S.gold_schema("day"), ("coin_id", "interval", "day"), "day", "day", sort=("coin_id", "interval"))
+SILVER = Layout(S.SILVER, ("coin_id", "interval", "open_time"), "day", "open_time", sort=("coin_id", "interval"), versions="published")
+GOLD_HOURLY = Layout(S.gold_schema("hour"), ("coin_id", "interval", "hour"), "day", "hour", sort=("coin_id", "interval"), versions="appended")
+GOLD_DAILY = Layout(S.gold_schema("day"), ("coin_id", "interval", "day"), "day", "day", sort=("coin_id", "interval"), versions="appended")
 GOLD = {"hour": GOLD_HOURLY, "day": GOLD_DAILY}
 MARKET_CAP_HISTORY = Layout(
     S.MARKET_CAP_HISTORY, ("coin_id", "timestamp"), "month", "timestamp", sort=("coin_id", "timestamp")

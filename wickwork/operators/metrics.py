@@ -1,7 +1,9 @@
 """Metric queries over a small declarative model, with optional pre-aggregated rollups.
 
 A model names a table's dimensions and measures. A query names some of them; it becomes
-one ``groupBy().agg()`` on the table or, when that gives the same answer, on a rollup.
+one ``groupBy().agg()`` on the table or, when that gives the same answer, on a rollup. A stored
+rollup comes with the ranges of time that it covers; what a query asks for beyond them is taken from the
+table and added to what the rollup has.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -111,6 +114,20 @@ DAILY = Model(
 MODELS = {m.name: m for m in (CANDLES, HOURLY, DAILY)}
 
 
+Range = tuple[datetime | None, datetime | None]
+
+
+@dataclass(frozen=True)
+class Covered:
+    """A rollup's rows and the half-open ranges of UTC times for which they are what the table gives.
+
+    None as an end stands for no limit. Rows without a time are never covered.
+    """
+
+    rows: DataFrame
+    ranges: tuple[Range, ...]
+
+
 @dataclass(frozen=True)
 class _Request:
     measures: list[str]
@@ -256,6 +273,57 @@ def choose_source(
     return None
 
 
+def _fits(model: Model, rollup: Rollup, request: _Request) -> bool:
+    """Whether the rollup has all that the query needs, wherever it has rows."""
+    kinds = {model.measures[m][0] for m in request.measures}
+    plain = set(request.dimensions) | {m for m, _ in request.filters}
+    return (
+        kinds <= _ADDITIVE
+        and set(request.measures) <= set(rollup.measures)
+        and plain <= set(rollup.dimensions)
+        and request.time_dimension in (None, rollup.time_dimension)
+        and (request.granularity is None or step(request.granularity) >= step(rollup.granularity))
+    )
+
+
+def _on_edges(first: datetime | None, last: datetime | None, unit: str) -> Range | None:
+    """The whole buckets within a range; None if there is none."""
+    if first is not None and trunc(first, unit) != first:
+        first = trunc(first, unit) + step(unit)
+    if last is not None:
+        last = trunc(last, unit)
+    return (first, last) if first is None or last is None or first < last else None
+
+
+def split_ranges(ranges: tuple[Range, ...], request: Range, unit: str) -> tuple[list[Range], list[Range]]:
+    """A requested range as whole buckets that ``ranges`` cover, and the gaps that they leave, both in order."""
+    lo, hi = request
+    covered: list[Range] = []
+    for first, last in sorted(ranges, key=lambda r: (r[0] is not None, r[0])):
+        first = lo if first is None else first if lo is None else max(first, lo)
+        last = hi if last is None else last if hi is None else min(last, hi)
+        if covered and covered[-1][1] is None:
+            break
+        if covered and first is not None:
+            first = max(first, covered[-1][1])
+        whole = _on_edges(first, last, unit)
+        if whole is not None and (whole[0] is None or whole[1] is None or whole[0] < whole[1]):
+            if covered and covered[-1][1] == whole[0]:
+                whole = (covered.pop()[0], whole[1])
+            covered.append(whole)
+    gaps: list[Range] = []
+    at = lo
+    for first, last in covered:
+        if first is not None and (at is None or at < first):
+            gaps.append((at, first))
+        at = last
+        if last is None:
+            return covered, gaps
+    if hi is None or at is None or at < hi:
+        gaps.append((at, hi))
+    return covered, gaps
+
+
 def build_range(rollup: Rollup, as_of: datetime) -> tuple[datetime, datetime]:
     """What a capped rollup covers: from whole days ``build_months`` calendar months back up to now."""
     day = trunc(as_of, "day")
@@ -279,22 +347,28 @@ def _average(df: DataFrame, column: str) -> Column:
 
 
 def _filtered(df: DataFrame, request: _Request) -> DataFrame:
+    df = _wanted(df, request)
+    return time_range(df, request.time_dimension, request.start, request.end) if request.time_dimension else df
+
+
+def _wanted(df: DataFrame, request: _Request) -> DataFrame:
     for name, values in request.filters:
         dtype = df.schema[name].dataType
         if isinstance(dtype, T.BooleanType):
             values = [str(v).lower() == "true" for v in values]
         df = df.filter(F.col(name).isin(*values))
-    if request.time_dimension:
-        df = time_range(df, request.time_dimension, request.start, request.end)
     return df
 
 
-def _parts(df: DataFrame, rollup: Rollup, request: _Request) -> DataFrame:
-    """The partitions of a stored rollup that the query's range reaches into."""
-    if request.start is None or "part" not in df.columns:
-        return df
-    first = request.start.replace(day=1) if rollup.partition_granularity == "month" else request.start.replace(month=1, day=1)
-    return df.filter((F.col("part") >= F.lit(first.date())) & (F.col("part") <= F.lit(request.end.date())))
+def _between(df: DataFrame, rollup: Rollup, first: datetime | None, last: datetime | None) -> DataFrame:
+    """A stored rollup's rows of a range, and the partitions that the range reaches into."""
+    df = time_range(df, rollup.time_dimension, first, last)
+    if first is not None:
+        start = first.replace(day=1) if rollup.partition_granularity == "month" else first.replace(month=1, day=1)
+        df = df.filter(F.col("part") >= F.lit(start.date()))
+    if last is not None:
+        df = df.filter(F.col("part") <= F.lit(last.date()))
+    return df
 
 
 def _grouped(df: DataFrame, request: _Request, aggregates: list[Column]) -> DataFrame:
@@ -312,27 +386,23 @@ def metric_query(
     model: Model,
     spec: Mapping,
     as_of: datetime,
-    rollups: Mapping[str, DataFrame] | None = None,
-    built_at: Mapping[str, datetime] | None = None,
+    rollups: Mapping[str, Covered] | None = None,
 ) -> DataFrame:
-    """Answer ``{measures, dimensions, filters, timeDimensions}`` from the table or a given rollup.
+    """Answer ``{measures, dimensions, filters, timeDimensions}`` from the table, with the help of a rollup where one fits.
 
-    ``built_at`` names the time each stored rollup was built; ``sinks.rollups.rollup_built_at``
-    reads it. Column names are the member names without the model prefix.
+    Column names are the member names without the model prefix. ``sinks.rollups.read_rollup`` reads a stored
+    rollup with what it covers; rows without a statement of that are refused. The first rollup that has all members
+    and covers some whole bucket of the range answers for the buckets that it covers, the table for the rest.
     """
     request = _request(model, spec, as_of)
     _check_single_row(model, request)
-    chosen = choose_source(model, spec, as_of, rollups, built_at) if rollups else None
-    if chosen is not None:
-        # Within a rollup a count is summed, and is 0 over no rows; every other additive measure combines as itself.
-        aggregates = []
-        for m in request.measures:
-            kind, column = model.measures[m]
-            combined = _aggregate("sum" if kind == "count" else kind, m)
-            counts_rows = kind == "count" and column is None
-            aggregates.append((F.coalesce(combined, F.lit(0)) if counts_rows else combined).alias(m))
-        stored = _parts(rollups[chosen], model.rollups[chosen], request)
-        return _grouped(_filtered(stored, request), request, aggregates)
+    for name, stored in (rollups or {}).items():
+        rollup = model.rollups[name]
+        if not isinstance(stored, Covered) or not _fits(model, rollup, request):
+            continue
+        covered, gaps = split_ranges(stored.ranges, (request.start, request.end), rollup.granularity)
+        if covered:
+            return _split(table, model, rollup, request, stored.rows, covered, gaps)
     aggregates = []
     for m in request.measures:
         kind, column = model.measures[m]
@@ -341,6 +411,54 @@ def metric_query(
     return _grouped(_filtered(table, request), request, aggregates)
 
 
+def _split(
+    table: DataFrame, model: Model, rollup: Rollup, request: _Request, rows: DataFrame, covered: list[Range], gaps: list[Range]
+) -> DataFrame:
+    """The answer from rollup rows of covered buckets and table rows of the gaps.
+
+    Both give partial measures, which combine alike. Each range is a scan with its own bounds on time and partitions.
+    """
+    ts = rollup.time_dimension
+    names = [*rollup.dimensions, ts, *request.measures]
+    parts = [_between(_wanted(rows, request), rollup, *r).select(*names) for r in covered]
+    wanted = _wanted(table, request)
+    made = [_aggregate(*model.measures[m]).alias(m) for m in request.measures]
+    rest = [time_range(wanted, ts, *gap) for gap in gaps]
+    if request.start is None and request.end is None:
+        rest.append(wanted.where(F.col(ts).isNull()))
+    for gap in rest:
+        time = F.date_trunc(rollup.granularity, F.col(ts)).cast(table.schema[ts].dataType).alias(ts)
+        grouped = gap.groupBy(*rollup.dimensions, time)
+        parts.append((grouped.agg(*made) if made else gap.select(*rollup.dimensions, time)).select(*names))
+    every = reduce(DataFrame.unionByName, parts)
+    aggregates = []
+    for m in request.measures:
+        # A count is summed, and is 0 over no rows; every other additive measure combines as itself.
+        kind, column = model.measures[m]
+        combined = _aggregate("sum" if kind == "count" else kind, m)
+        counts_rows = kind == "count" and column is None
+        if kind == "sum":
+            combined = combined.cast(_sum_type(table, column))
+        aggregates.append((F.coalesce(combined, F.lit(0)) if counts_rows else combined).alias(m))
+    return _grouped(every, request, aggregates)
+
+
+def _sum_type(table: DataFrame, column: str) -> T.DataType:
+    """The type of a sum over the table, which a sum of sums keeps."""
+    return table.select(F.sum(column).alias("x")).schema["x"].dataType
+
+
+def covered_now(table: DataFrame, model: Model, name: str, as_of: datetime) -> Covered:
+    """A rollup built from the table at ``as_of``, with what it covers."""
+    return Covered(build_rollup(table, model, name, as_of), (covered_range(model.rollups[name], as_of),))
+
+
+def covered_range(rollup: Rollup, as_of: datetime) -> Range:
+    """What a rollup built at ``as_of`` holds whole: up to then, from the first whole bucket of its range on."""
+    first = build_range(rollup, as_of)[0] if rollup.build_months is not None else None
+    return first, trunc(as_of, rollup.granularity)
+
+
 def build_rollup(table: DataFrame, model: Model, name: str, as_of: datetime) -> DataFrame:
     """The rollup's rows, with a ``part`` column holding the start of its partition as a date."""
     rollup = model.rollups[name]

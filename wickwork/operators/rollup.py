@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -25,15 +26,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return df.withColumn("__rn", rn).filter("__rn = 1").drop("__rn")
 
 
+def version_order(published: str, first: Sequence[Column] = ()) -> list[Column]:
+    """Versions of a candle, the one that counts first; ``first`` decides among those published together."""
+    order = [F.desc_nulls_last(published), *first, F.desc("is_closed"), F.desc("trade_count")]
+    return order + [F.desc(c) for c in ("volume", "close", "high", "low", "open", "quote_volume", "close_time")]
+
+
 def silver(bronze: DataFrame) -> DataFrame:
     """One row per (coin, interval, open time): the version published last.
 
     Versions published at the same moment are told apart by their contents, so the result
     does not depend on input order. A version without a publish time loses to any with one.
     """
-    order = [F.desc_nulls_last("publish_time"), F.desc("is_closed"), F.desc("trade_count")]
-    order += [F.desc(c) for c in ("volume", "close", "high", "low", "open", "quote_volume", "close_time")]
-    return latest_per_key(bronze, CANDLE_KEY, order).select(
+    return latest_per_key(bronze, CANDLE_KEY, version_order("publish_time")).select(
         *CANDLE_KEY,
         "close_time",
         "open",
@@ -48,25 +53,16 @@ def silver(bronze: DataFrame) -> DataFrame:
     )
 
 
-def merge_silver(stored: DataFrame, fresh_bronze: DataFrame, small_batch: bool = False) -> DataFrame:
+def merge_silver(stored: DataFrame, fresh_bronze: DataFrame) -> DataFrame:
     """Stored silver rows and new bronze versions, reduced again by the same rule.
 
     Merging is associative and repeatable: any split of bronze into batches, in any order
-    and with repeats, ends in the same silver. With ``small_batch`` (its size checked by the
-    caller) only candles the batch has versions of are reduced; a broadcast of the batch's
-    keys lets all other stored rows pass unshuffled.
+    and with repeats, ends in the same silver.
     """
     columns = [*CANDLE_KEY, "close_time", "open", "high", "low", "close", "volume", "quote_volume"]
     columns += ["trade_count", "is_closed", "publish_time"]
-    changed = stored
-    if small_batch:
-        changed = stored.join(fresh_bronze.select(*CANDLE_KEY), CANDLE_KEY, "left_semi")
-    versions = changed.withColumnRenamed("latest_publish_time", "publish_time")
-    merged = silver(versions.select(*columns).unionByName(fresh_bronze.select(*columns)))
-    if small_batch:
-        others = stored.join(fresh_bronze.select(*CANDLE_KEY), CANDLE_KEY, "left_anti")
-        merged = others.select(*merged.columns).unionByName(merged)
-    return merged
+    versions = stored.withColumnRenamed("latest_publish_time", "publish_time")
+    return silver(versions.select(*columns).unionByName(fresh_bronze.select(*columns)))
 
 
 def _measures(order: str, candle_count: Column) -> list[Column]:
@@ -111,6 +107,17 @@ def ohlcv(
     )
 
 
+def bars_of(changed: DataFrame, candles: DataFrame, unit: str) -> DataFrame:
+    """Bars of the buckets in ``changed`` (``coin_id``, ``interval``, ``unit``), with ``deleted`` for those that have no candles left."""
+    keys = ["coin_id", "interval", unit]
+    candles = candles.withColumn(unit, bucket(candles, "open_time", unit))
+    wanted = changed.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = [F.col(f"__{k}").eqNullSafe(F.col(k)) for k in keys]
+    found = wanted.join(candles.withColumn("__there", F.lit(1)), same, "left").drop(*keys).withColumnsRenamed({f"__{k}": k for k in keys})
+    bars = found.groupBy(*keys).agg(*_measures("open_time", F.count("__there")))
+    return bars.withColumn("deleted", F.col("candle_count") == 0)
+
+
 def rebucket(gold: DataFrame, source: str, target: str) -> DataFrame:
     """Gold rows of a finer unit rolled up to a coarser one."""
     return gold.groupBy("coin_id", "interval", bucket(gold, source, target).alias(target)).agg(

@@ -36,9 +36,14 @@ def to_serving(
     """
     lookback = SYNC_LOOKBACK[unit] if lookback is None else lookback
     check_margin(unit, lookback, LOOKBACK[unit])
+    return serving_rows(recent_buckets(gold, unit, interval, as_of, lookback), unit, as_of)
+
+
+def serving_rows(gold: DataFrame, unit: str, as_of: datetime) -> DataFrame:
+    """Gold buckets of one interval in serving types."""
     ts_type = gold.schema[unit].dataType
     ends = F.col("bucket_start") + F.make_interval(secs=F.lit(int(step(unit).total_seconds())))
-    rows = recent_buckets(gold, unit, interval, as_of, lookback).withColumnRenamed(unit, "bucket_start")
+    rows = gold.withColumnRenamed(unit, "bucket_start")
     amounts = {f.name: f.dataType for f in SERVING.fields if f.name in ("open", "high", "low", "close", "volume")}
     return rows.select(
         "coin_id",

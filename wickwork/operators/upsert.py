@@ -16,7 +16,6 @@ def upsert(
     update: Sequence[str] | Mapping[str, Column] | None = None,
     when: Column | None = None,
     order_by: Sequence[Column] | None = None,
-    small_source: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it by key.
 
@@ -30,9 +29,9 @@ def upsert(
     it whenever keys can repeat, or the join would multiply rows. Both sides then hold a key
     at most once, so no key can be hot in the join.
 
-    With ``small_source`` (its size checked by the caller) target rows look their changes up
-    in the source and new keys are found on key columns alone: a broadcast source leaves the
-    target unshuffled. Otherwise one full outer join does both.
+    Target rows look their changes up in the source, and new keys are found on key columns alone. It is one
+    plan for any size: where Spark finds the source small enough to broadcast, the target is not shuffled.
+    A key with a null in it matches nothing: target rows with one stay, source rows with one are inserted.
     """
     keys = list(keys)
     if order_by is not None:
@@ -42,10 +41,9 @@ def upsert(
     changes = dict(update) if isinstance(update, Mapping) else {c: F.col(f"s.{c}") for c in update}
 
     same_key = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    t = target.withColumn("__in_target", F.lit(True)).alias("t")
+    t = target.alias("t")
     s = source.withColumn("__in_source", F.lit(True)).alias("s")
-    joined = t.join(s, same_key, "left" if small_source else "full_outer")
-    is_new = F.col("t.__in_target").isNull()
+    joined = t.join(s, same_key, "left")
     applies = F.col("s.__in_source").isNotNull()
     if when is not None:
         applies = applies & F.coalesce(when, F.lit(False))
@@ -57,21 +55,13 @@ def upsert(
     for field in target.schema.fields:
         name, dtype = field.name, field.dataType
         new_columns.append(inserted(name).cast(dtype).alias(name))
-        if name in keys:
-            value = F.coalesce(F.col(f"t.{name}"), F.col(f"s.{name}"))
-        else:
-            value = F.when(is_new, inserted(name).cast(dtype))
-            if name in changes:
-                value = value.when(applies, changes[name].cast(dtype))
-            value = value.otherwise(F.col(f"t.{name}"))
+        value = F.col(f"t.{name}")
+        if name in changes and name not in keys:
+            value = F.when(applies, changes[name].cast(dtype)).otherwise(value)
         columns.append(value.cast(dtype).alias(name))
-    merged = joined.select(*columns)
-    if small_source:
-        known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
-        new = source.join(known, keys, "left_anti").alias("s").select(*new_columns)
-        # A few rows from many tasks would become as many files.
-        merged = merged.unionByName(new.hint("rebalance"))
-    return merged
+    known = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+    new = source.join(known, keys, "left_anti").alias("s").select(*new_columns)
+    return joined.select(*columns).unionByName(new)
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wickwork import layout, schemas as S
 from wickwork.functions.times import at, trunc
@@ -23,7 +23,9 @@ from wickwork.sinks.files import load_ndjson, stage_ndjson
 from wickwork.sinks.tables import (
     append,
     create_table,
+    delete_from_table,
     drop_partitions_except,
+    partition_values,
     prune_table,
     touched_partitions,
     upsert_table,
@@ -31,7 +33,9 @@ from wickwork.sinks.tables import (
 )
 from wickwork.sources import archive, landed
 from wickwork.sources.tables import first_coins
+from wickwork.plans.follow import follow_gold, follow_silver
 from wickwork.streaming.events import merge_into_silver
+from wickwork.versions import NO_VALUE, append_versions, compact, drop_deltas, note_change, read_deltas, stored_numbers
 
 
 @dataclass(frozen=True)
@@ -110,18 +114,21 @@ def ingest_candles(
 
 
 def rebuild_silver(spark: SparkSession, tables: Tables) -> None:
-    """Silver from all of bronze, in one pass. Days that bronze no longer has go."""
+    """Silver from all of bronze, in one pass. Days that bronze no longer has go, and so do all versions beside silver."""
     bronze = tables.read(spark, "bronze_candles").drop("month")
     path = tables.path("silver_candles")
+    beside, before = stored_numbers(spark, path), partition_values(spark, path, layout.SILVER)
     write_partitions(rollup.silver(bronze), path, layout.SILVER)
     days = touched_partitions(bronze.select(layout.SILVER.partition_value().alias("date")), layout.SILVER)
     drop_partitions_except(spark, path, layout.SILVER, days)
+    drop_deltas(spark, path, beside)
+    note_change(spark, path, list({*before, *[NO_VALUE if d is None else str(d) for d in days]}))
 
 
 def refresh_silver(
     spark: SparkSession, tables: Tables, since: datetime, published_after: datetime | None = None
 ) -> list[date]:
-    """Merge bronze versions of candles from ``since`` on into silver; returns the days that changed.
+    """Append bronze versions of candles from ``since`` on to silver; returns the days that changed.
 
     ``since`` bounds candles by open time, which bronze partitions prune by, and
     ``published_after`` versions by publish time; versions without one are always merged, as
@@ -130,7 +137,36 @@ def refresh_silver(
     bronze = time_range(tables.read(spark, "bronze_candles"), "open_time", since)
     if published_after is not None:
         bronze = bronze.filter(F.col("publish_time").isNull() | (F.col("publish_time") > at(published_after)))
-    return merge_into_silver(bronze.drop("month"), tables.path("silver_candles"))
+    written = merge_into_silver(bronze.drop("month"), tables.path("silver_candles"))
+    return [None if v == NO_VALUE else date.fromisoformat(v) for v in written.partitions] if written else []
+
+
+def compact_tables(spark: SparkSession, tables: Tables) -> dict[str, int]:
+    """Fold appended versions into silver and gold; returns the number of partitions rewritten of each."""
+    names = [name for name, table in tables.layouts.items() if table.versions]
+    return {name: len(compact(spark, tables.path(name), tables.layouts[name])) for name in names}
+
+
+def delete_candles(spark: SparkSession, tables: Tables, condition: Column, as_of: datetime) -> dict[str, int]:
+    """Delete candles from bronze, and from silver by tombstones published at ``as_of``; returns rows deleted of each.
+
+    A tombstone outranks the version that it deletes and all others published up to ``as_of``, those that come later
+    included. Gold and serving take the change over by ``propagate``.
+    """
+    deleted = delete_from_table(spark, tables.path("bronze_candles"), layout.BRONZE, condition)
+    path = tables.path("silver_candles")
+    gone = tables.read(spark, "silver_candles").where(F.coalesce(condition, F.lit(False)))
+    published = F.greatest(at(as_of), F.col("latest_publish_time")).alias("latest_publish_time")
+    gone = gone.select(*layout.SILVER.keys, published, F.lit(True).alias("deleted"))
+    written = append_versions(gone, path, layout.SILVER)
+    return {"bronze": deleted, "silver": read_deltas(spark, path, layout.SILVER, [written.number]).count() if written else 0}
+
+
+def propagate(spark: SparkSession, tables: Tables, unit: str, as_of: datetime, interval: str = "1h") -> dict[str, int]:
+    """Take what changed in silver over into gold and serving, deletions included; returns serving rows upserted and deleted."""
+    gold = tables.path(GOLD_NAME[unit])
+    follow_silver(spark, tables.path("silver_candles"), gold, unit)
+    return follow_gold(spark, gold, tables.path(ROLLUP_NAME[unit]), unit, as_of, interval)
 
 
 def rebuild_gold(
@@ -152,8 +188,12 @@ def rebuild_gold(
         silver = time_range(silver, "open_time", first)
         since = first.strftime("%Y-%m-%d")
     path, gold = tables.path(GOLD_NAME[unit]), layout.GOLD[unit]
+    compact(spark, path, gold)
+    before = [v for v in partition_values(spark, path, gold) if v >= since]
     write_partitions(rollup.ohlcv(silver, unit), path, gold)
-    drop_partitions_except(spark, path, gold, touched_partitions(silver, layout.SILVER), since)
+    days = touched_partitions(silver, layout.SILVER)
+    drop_partitions_except(spark, path, gold, days, since)
+    note_change(spark, path, list({*before, *[NO_VALUE if d is None else str(d) for d in days]}))
 
 
 def sync_serving(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,10 +10,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Parquet bytes up to which a staged side is joined in a way that lets Spark broadcast it;
-# below Spark's own default limit of 10 MB, which still has the last word.
-SMALL_BYTES = 8 * 1024 * 1024
-
 _local_folder: str | None = None
 
 
@@ -37,6 +34,15 @@ def build_session(app_name: str = "wickwork", master: str | None = None, conf: d
     return builder.getOrCreate()
 
 
+def share_package(spark: SparkSession) -> None:
+    """Put this package on the path of Python workers that see the driver's folders; elsewhere it is installed or sent along."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
@@ -73,20 +79,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 @contextmanager
 def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``staged`` for the length of a ``with`` block; the files are dropped at its end."""
-    with sized_staging(df, label) as (rows, _):
-        yield rows
-
-
-@contextmanager
-def sized_staging(df: DataFrame, label: str) -> Iterator[tuple[DataFrame, bool]]:
-    """``staging`` that also tells whether what was written is small enough to broadcast."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     try:
         df.write.parquet(path)
-        fs, p = file_system(spark, path)
-        small = fs.getContentSummary(p).getLength() <= SMALL_BYTES
-        yield spark.read.schema(df.schema).parquet(path), small
+        yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove(spark, path)
 

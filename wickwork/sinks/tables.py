@@ -4,7 +4,8 @@ Plain parquet has no MERGE or DELETE. Every change here recomputes the partition
 touches and replaces them with a dynamic partition overwrite, whose new files only take the
 place of the old ones when the whole job has succeeded; a lost executor re-runs its tasks
 from files that are still there. All changes are keyed, so a rerun ends in the same table.
-A table takes one writer at a time.
+A table takes one writer at a time. Deltas beside a table (``wickwork.versions``) are folded in before a
+change in place.
 """
 
 from __future__ import annotations
@@ -18,14 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wickwork.layout import Layout, read_table
 from wickwork.operators.retention import cutoff
 from wickwork.operators.upsert import delete_where, upsert
-from wickwork.session import file_system, remove, sized_staging
-
+from wickwork.session import file_system, remove, staging
+from wickwork.versions import NO_VALUE, compact
 
 _log = logging.getLogger(__name__)
 
-# Fixed value: the directory of rows whose partition value is null.
-_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = file_system(spark, path)
@@ -47,26 +45,11 @@ def partition_values(spark: SparkSession, path: str, layout: Layout) -> list[str
     return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
 
-def _sorted_for_write(df: DataFrame, layout: Layout, gather: bool = True) -> DataFrame:
-    """Rows gathered by partition and sorted inside it.
-
-    REBALANCE sizes the write tasks at run time: small partitions share a task's output
-    sensibly and one partition holding much of the data is split over many tasks.
-    """
-    order = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in layout.sort]
-    gathered = df.hint("rebalance", F.col(layout.partition)) if gather else df
-    return gathered.sortWithinPartitions(layout.partition, *order)
-
-
-def write_partitions(df: DataFrame, path: str, layout: Layout, gather: bool = True) -> None:
-    """Replace exactly the partitions ``df`` has rows for.
-
-    Rows that come straight from the table's own files are gathered already: without
-    ``gather`` they are written where they were read, unshuffled.
-    """
+def write_partitions(df: DataFrame, path: str, layout: Layout) -> None:
+    """Replace exactly the partitions ``df`` has rows for, in the table's own files."""
     shaped = df if layout.partition in df.columns else layout.shaped(df)
     (
-        _sorted_for_write(shaped, layout, gather)
+        layout.sorted_for_write(shaped)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(layout.partition)
@@ -82,14 +65,14 @@ def append(df: DataFrame, path: str, layout: Layout) -> None:
     if not table_exists(df.sparkSession, path):
         raise FileNotFoundError(f"no table at {path}")
     shaped = layout.shaped(df)
-    _sorted_for_write(shaped, layout).write.mode("append").partitionBy(layout.partition).parquet(path)
+    layout.sorted_for_write(shaped).write.mode("append").partitionBy(layout.partition).parquet(path)
 
 
 def drop_partitions_except(spark: SparkSession, path: str, layout: Layout, kept: list, since: str = "") -> None:
     """Remove the partitions from ``since`` on (a directory value) that ``kept`` does not name."""
-    names = {_NO_VALUE if v is None else str(v) for v in kept}
+    names = {NO_VALUE if v is None else str(v) for v in kept}
     for value in partition_values(spark, path, layout):
-        reached = not since if value == _NO_VALUE else value >= since
+        reached = not since if value == NO_VALUE else value >= since
         if reached and value not in names:
             remove(spark, f"{path}/{layout.partition}={value}")
 
@@ -118,7 +101,8 @@ def upsert_table(
     if update is None:
         update = [c for c in present if c not in layout.keys]
     keyed = source.withColumn(layout.partition, layout.partition_value())
-    with sized_staging(keyed, "upsert") as (staged, small):
+    compact(spark, path, layout)
+    with staging(keyed, "upsert") as staged:
         rows = staged.dropna(subset=list(layout.keys))
         merged_rows = rows.count()
         rejected = staged.count() - merged_rows
@@ -135,9 +119,8 @@ def upsert_table(
             update=update,
             when=when,
             order_by=order_by,
-            small_source=small,
         )
-        write_partitions(layout.shaped(merged), path, layout, gather=not small)
+        write_partitions(layout.shaped(merged), path, layout)
         return merged_rows
 
 
@@ -154,6 +137,7 @@ def prune_table(
     Partitions before the limit's own are dropped as directories, their rows counted from
     file footers; only the partition the limit falls in is rewritten.
     """
+    compact(spark, path, layout)
     limit = cutoff(as_of, days, months)
     edge = spark.range(1).select(layout.partition_literal(limit).cast("string")).first()[0]
     stored = partition_values(spark, path, layout)
@@ -171,11 +155,33 @@ def prune_table(
 
 def delete_from_table(spark: SparkSession, path: str, layout: Layout, condition: Column) -> int:
     """Delete rows by predicate and return their number; only partitions that hold such rows are rewritten."""
+    compact(spark, path, layout)
     hit = read_table(spark, path, layout).filter(F.coalesce(condition, F.lit(False)))
     values = [r[0] for r in hit.select(F.col(layout.partition).cast("string")).distinct().collect()]
     return _delete_in(spark, path, layout, values, condition) if values else 0
 
 
+def delete_keys(spark: SparkSession, path: str, layout: Layout, keys: DataFrame) -> int:
+    """Delete the rows whose key is in ``keys`` and return their number; only partitions that hold such rows are rewritten."""
+    compact(spark, path, layout)
+    with staging(keys.select(*layout.keys).distinct(), "keys") as gone:
+        values = touched_partitions(gone.withColumn(layout.partition, layout.partition_value()), layout)
+        if not values:
+            return 0
+        inside = read_table(spark, path, layout).filter(layout.in_partitions(values))
+        marked = inside.join(gone.withColumn("__gone", F.lit(True)), list(layout.keys), "left")
+        text = F.coalesce(F.col(layout.partition).cast("string"), F.lit(NO_VALUE))
+        counts = marked.groupBy(text.alias("value")).agg(F.count("__gone").alias("gone"), F.count_if(F.col("__gone").isNull()).alias("kept"))
+        hit = {r["value"]: r for r in counts.where("gone > 0").collect()}
+        if hit:
+            chosen = layout.in_partitions([None if v == NO_VALUE else v for v in hit])
+            write_partitions(marked.where("__gone is null").where(chosen).drop("__gone"), path, layout)
+        for value, row in hit.items():
+            if row["kept"] == 0:
+                remove(spark, f"{path}/{layout.partition}={value}")
+        return sum(r["gone"] for r in hit.values())
+
+
 def _delete_in(spark: SparkSession, path: str, layout: Layout, values: list[str], condition: Column) -> int:
     inside = read_table(spark, path, layout).filter(layout.in_partitions(values))
     deletes = F.coalesce(condition, F.lit(False))
@@ -187,9 +193,9 @@ def _delete_in(spark: SparkSession, path: str, layout: Layout, values: list[str]
     }
     deleted = sum(d for d, _ in counts.values())
     if deleted:
-        write_partitions(delete_where(inside, condition), path, layout, gather=False)
+        write_partitions(delete_where(inside, condition), path, layout)
         # A dynamic overwrite leaves a partition alone when no rows remain for it.
         for value, (_, kept) in counts.items():
             if kept == 0:
-                remove(spark, f"{path}/{layout.partition}={_NO_VALUE if value is None else value}")
+                remove(spark, f"{path}/{layout.partition}={NO_VALUE if value is None else value}")
     return deleted

@@ -15,10 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wickwork import layout, schemas as S
 from wickwork.functions.values import money, present
-from wickwork.layout import Layout, read_table
-from wickwork.operators.rollup import LOOKBACK, merge_silver, ohlcv
-from wickwork.session import sized_staging
-from wickwork.sinks.tables import append, create_table, touched_partitions, upsert_table, write_partitions
+from wickwork.layout import Layout
+from wickwork.operators.rollup import LOOKBACK, silver
+from wickwork.plans.follow import follow_silver
+from wickwork.sinks.tables import append, create_table, upsert_table
+from wickwork.versions import Delta, append_versions
 
 _TEXT_FIELDS = ("coin_id", "interval")
 _TIME_FIELDS = ("open_time", "close_time")
@@ -128,22 +129,16 @@ def start_dead_letters(dead: DataFrame, path: str, checkpoint: str, available_no
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def merge_into_silver(batch: DataFrame, path: str) -> list:
-    """Merge new bronze versions into the silver table; returns the days that changed."""
-    target = layout.SILVER
-    with sized_staging(batch.withColumn(target.partition, target.partition_value()), "versions") as (fresh, small):
-        days = touched_partitions(fresh, target)
-        if days:
-            stored = read_table(batch.sparkSession, path, target).filter(target.in_partitions(days))
-            write_partitions(merge_silver(stored, fresh, small), path, target, gather=not small)
-    return days
+def merge_into_silver(batch: DataFrame, path: str) -> Delta | None:
+    """Append new bronze versions to the silver table, which is merged when it is read; None if there are none."""
+    return append_versions(silver(batch), path, layout.SILVER)
 
 
 def start_silver(valid: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Keep silver current: each batch rewrites only the days it has candles for.
+    """Keep silver current: each batch writes its own versions and nothing else.
 
     Nothing is held as stream state and nothing is too late: order, repeats and delay of
-    events do not change the result.
+    events do not change the result. ``versions.compact`` folds the versions in, as a job of its own.
     """
     create_table(valid.sparkSession, path, layout.SILVER)
     return _start(valid, checkpoint, lambda batch, _: merge_into_silver(batch, path), available_now)
@@ -157,17 +152,15 @@ def start_ohlcv(
     checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep silver and one gold table current; a changed day is rolled up again from silver."""
+    """Keep silver and one gold table current; only the buckets that a batch has candles of are rolled up again."""
     spark = valid.sparkSession
     gold = layout.GOLD[unit]
     create_table(spark, silver_path, layout.SILVER)
     create_table(spark, gold_path, gold)
 
     def handle(batch: DataFrame, _: int) -> None:
-        days = merge_into_silver(batch, silver_path)
-        if days:
-            changed = read_table(spark, silver_path, layout.SILVER).filter(layout.SILVER.in_partitions(days))
-            write_partitions(ohlcv(changed, unit), gold_path, gold)
+        merge_into_silver(batch, silver_path)
+        follow_silver(spark, silver_path, gold_path, unit)
 
     return _start(valid, checkpoint, handle, available_now)
 
