@@ -89,14 +89,41 @@ def test_pairs_at_the_threshold_keep_meeting_in_deep_levels(spark):
 
 def test_blocks_are_bounded_and_bring_all_pairs_together(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "MIDDLE", 40)
-    rows = [(node, k, 9, k, k, k, size) for node, size in ((1, 300), (2, 50)) for k in range(size)]
-    nodes = spark.createDataFrame(rows, "node bigint, id bigint, n bigint, s1 bigint, s2 bigint, comp bigint, size bigint")
+    rows = [(node, k, 9, k, k, k, size, 9 * size) for node, size in ((1, 300), (2, 50)) for k in range(size)]
+    nodes = spark.createDataFrame(rows, "node bigint, id bigint, n bigint, s1 bigint, s2 bigint, comp bigint, size bigint, weight bigint")
     members = [set(r["m"]) for r in near_dup._blocks(nodes).groupBy("node").agg(F.collect_list("id").alias("m")).collect()]
     assert max(map(len, members)) <= 80
     together = {(a, b) for m in members for a in m for b in m if a < b}
     assert together == {(a, b) for b in range(300) for a in range(b)}
 
 
+def test_nodes_of_too_many_shingles_go_in_blocks(docs, corpus, monkeypatch):
+    monkeypatch.setattr(near_dup, "SMALL", 2)
+    monkeypatch.setattr(near_dup, "WEIGHT", 300)
+    monkeypatch.setattr(near_dup, "GROUP", 5)
+    out = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(corpus), shingle=2).collect()}
+    assert [out[k] for k in range(len(corpus))] == groups(word_sets(corpus, 2), range(len(corpus)), 80)
+
+
+def test_a_group_gives_a_spanning_forest():
+    rng = random.Random(9)
+    base = [rng.randrange(1 << 62) for _ in range(100)]
+    sets = []
+    for k in range(60):  # near copies of two originals, some just under the threshold
+        kept = [x + (k % 2) for x in base]
+        for at in rng.sample(range(100), rng.randrange(22)):
+            kept[at] = rng.randrange(1 << 62)
+        sets.append(np.unique(np.array(kept, np.uint64)))
+    group = near_dup._Group()
+    group.sets = sets
+    group.rows = [(k, 0, 0, k, False) for k in range(60)]
+    found = group.links(80)
+    assert len(found) == len({*groups([set(x.tolist()) for x in sets], range(60), 80)} ^ set(range(60)))
+    assert all(100 * len(set(sets[a].tolist()) & set(sets[b].tolist())) >= 80 * len(set(sets[a].tolist()) | set(sets[b].tolist())) for a, b in found)
+    group.rows = [(k, 0, 0, k, k == 7) for k in range(60)]
+    assert all(a == 7 for a, _ in group.links(80))
+
+
 def test_texts_joined_by_a_shuffle(docs, corpus, monkeypatch):
     monkeypatch.setattr("wickwork.llm.common.BROADCAST_BYTES", 0)
     out = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs(corpus[:80]), shingle=2).collect()}

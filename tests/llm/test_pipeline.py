@@ -2,7 +2,6 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wickwork.llm.queries import QUERIES
 
 
 def test_stages_take_effect(spark, docs, prose, tmp_path):
@@ -31,8 +30,3 @@ def test_stages_of_an_empty_table(spark, docs, tmp_path):
     docs([]).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
-
-
-def test_one_query_for_each_operator():
-    numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op"))
-    assert numbers == list(range(1, 11))

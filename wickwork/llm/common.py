@@ -55,10 +55,27 @@ def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
     return df.mapInArrow(run, schema)
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def register_cache(owner: str, clear: Callable[[], None]) -> None:
+    """Name what empties the caches that a module keeps in a worker."""
+    _caches[owner] = clear
+
+
+def release_caches(but: str = "") -> None:
+    """Empty the caches that other modules have left in this worker. Workers are reused, from stage to stage and job to job."""
+    for owner, clear in _caches.items():
+        if owner != but:
+            clear()
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
     """One batch out for each slice of at most ``_SLICE`` rows, in the order of the input."""
+    owner = make.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches(but=owner)
         for batch in batches:
             for start in range(0, batch.num_rows, _SLICE):
                 yield make(batch.slice(start, _SLICE))

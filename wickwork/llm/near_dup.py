@@ -7,26 +7,33 @@ sets of similarity s share one with probability s ** TOKEN.
 ``TREES`` independent trees branch all classes: at a node, two tokens are selected by a hash of
 the node, and a class goes to one child for each of them, named by its values. Below the first
 level ``CHILDREN`` tokens are selected, twice as many as the about 1 / 0.8 ** TOKEN that would keep a pair at
-the threshold meeting in expectation, so that its chance hardly falls however deep the tree grows. A node with at most ``SMALL`` classes is compared exhaustively.
-In a larger node every class is compared with the node's first class; then nodes whose classes
-are all connected, through any node of any tree, have nothing to add and end there. So a group
-of thousands of near copies costs as much as its links to a few first classes, not all of its
-pairs. Of the nodes that are left, those with at most ``MIDDLE`` classes are compared
-exhaustively between components, and larger ones branch on.
+the threshold meeting in expectation, so that its chance hardly falls however deep the tree grows.
+
+What a node does:
+
+- At most ``SMALL`` classes: all pairs that may be similar are tested.
+- Otherwise each class is tested with the node's first one. Then nodes whose classes are all connected, through any
+  node of any tree, have nothing to add and end. So a group of thousands of near copies
+  costs as much as its links to a few first classes.
+- Of the nodes that are left, those of at most ``MIDDLE`` classes and ``WEIGHT`` shingles are compared
+  exhaustively within their task. Classes that may be similar to one of another component bring their whole sets
+  there, and what leaves the task are only links that join two components: a spanning forest, fewer rows
+  than the node has classes. Pairs that fail the test are never written.
+- Larger ones branch on. Those left after ``LEVELS`` levels, and lighter ones of too many shingles, are compared in
+  blocks, each two blocks for themselves, so no task holds a whole one. The comparisons inside tasks still grow with
+  the square of such a node: it is a group of copies just under the threshold, whose pairs further branching
+  hardly lessens (four children of a group of similarity s have 4 * s ** 6 of them).
 
 Pairs are sifted by a 128-bit sketch (two bits of each of 64 minwise hashes; a pair at the threshold is
 lost with a chance under one in a million) and by size; the rest is confirmed on the full sets,
-computed anew from the texts. Similarity is exact: ``100 * intersection >= percent * union``.
-A pair at the threshold that does not meet in a tree does so in another: with ten trees one
+computed anew from the texts, once for all the nodes that want a class. Similarity is exact: ``100 * intersection >=
+percent * union``. A pair at the threshold that does not meet in a tree does so in another: with ten trees one
 pair in 10 ** 6 is missed at the first level, one in 80,000 at the second and one in 8,000 at the
 ninth; pairs above it far less.
 
 Levels, links and components stay distributed. What is broadcast, the ids of classes whose
 texts are needed, is checked to be few megabytes; beyond that the texts are joined
-by a shuffle. Nodes still above ``MIDDLE`` after ``LEVELS`` levels are groups of copies just under the
-threshold, whose pairs further branching hardly lessens (four children of a group of similarity s have
-4 * s ** 6 of them). They are compared in blocks of about half of ``MIDDLE``, each two blocks for
-themselves, so no task holds a whole node; the pairs compared still grow with the square of its size.
+by a shuffle. A class tested with very many others is copied to as many groups as hold ``GROUP`` of them each.
 
 Defined cases: a null text, or one without words, has an empty set and links to nothing. A text
 of fewer words than a shingle is one shingle. Documents without an id take part; a component
@@ -37,12 +44,15 @@ classes are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wickwork.llm.common import cut, map_batches, within_broadcast
+from wickwork.llm import common
+from wickwork.llm.common import cut, map_batches, map_in_arrow, register_cache, release_caches, within_broadcast
 from wickwork.llm.graph import components
 
 TREES = 10
@@ -51,8 +61,11 @@ CHILDREN = 4
 COORDINATES = 128
 SMALL = 16
 MIDDLE = 2048
+WEIGHT = 1 << 21
 LEVELS = 4
+GROUP = 1024
 _BLOCK = 128
+_TESTED = 64  # sets held against one at a time
 # Of 128 sketch bits, 64 * (1 - s) differ on average; five standard deviations more are let pass at s = 0.8.
 SKETCH_BITS = 34
 
@@ -74,6 +87,7 @@ class _WordHashes(dict):
 
 
 _hashes = _WordHashes()
+register_cache(__name__, _hashes.clear)
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -159,39 +173,52 @@ def _member() -> Column:
 
 
 def _level(rows: DataFrame) -> DataFrame:
-    """Rows of nodes with classes not yet connected, with the node's ``size`` and ``first`` member."""
+    """Rows of nodes with classes not yet connected, with the node's ``size``, ``weight`` in shingles and ``first`` member."""
     sizes = rows.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min(_member()).alias("first"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
+        F.count(F.lit(1)).alias("size"),
+        F.sum("n").alias("weight"),
+        F.min(_member()).alias("first"),
+        F.min("comp").alias("lo"),
+        F.max("comp").alias("hi"),
     )
     return rows.join(sizes.where("lo <> hi").drop("lo", "hi"), "node")
 
 
-def _within(nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a`` < ``b`` of different components in a node that may be similar. For nodes of bounded size.
+def _sieved(nodes: DataFrame, percent: int, pairs: bool) -> DataFrame:
+    """What may be similar in a node of bounded size, of different components: the ``pairs`` ``a`` < ``b``, or the ``node`` and ``id`` of
+    all classes that are in such a pair.
 
     A node's members are compared as arrays, a block of members with all at a time; a pair found
     in several nodes of a batch is given once.
     """
-    members = nodes.groupBy("node").agg(F.collect_list(_member()).alias("members")).select("members")
+    members = nodes.groupBy("node").agg(F.collect_list(_member()).alias("members")).select("node", "members")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column("members")
         ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
         fields = dict(zip(_MEMBER, (c.to_numpy() for c in lists.flatten().flatten())))
         found = [np.empty((0, 2), np.int64)]
-        for first, last in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        for node, first, last in zip(batch.column("node").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
             ids, n, s1, s2, comp = (fields[c][first:last] for c in _MEMBER)
+            flagged = np.zeros(last - first, bool)
             for k in range(0, last - first, _BLOCK):
                 part = slice(k, k + _BLOCK)
                 differ = np.bitwise_count((s1[part, None] ^ s1).view(np.uint64)).astype(np.int16)
                 differ += np.bitwise_count((s2[part, None] ^ s2).view(np.uint64))
                 sizes = 100 * np.minimum(n[part, None], n) >= percent * np.maximum(n[part, None], n)
-                x, y = np.nonzero((differ <= SKETCH_BITS) & sizes & (comp[part, None] != comp) & (ids[part, None] < ids))
-                found.append(np.stack([ids[k + x], ids[y]], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, k].copy()) for k in range(2)], ["a", "b"])
+                fits = (differ <= SKETCH_BITS) & sizes & (comp[part, None] != comp)
+                if pairs:
+                    x, y = np.nonzero(fits & (ids[part, None] < ids))
+                    found.append(np.stack([ids[k + x], ids[y]], axis=1))
+                else:
+                    flagged[part] = fits.any(axis=1)
+            if flagged.any():
+                found.append(np.stack([np.full(int(flagged.sum()), node), ids[flagged]], axis=1))
+        rows = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, k].copy()) for k in range(2)], names)
 
-    return map_batches(members, run, "a bigint, b bigint")
+    names = ["a", "b"] if pairs else ["node", "id"]
+    return map_batches(members, run, ", ".join(f"{c} bigint" for c in names))
 
 
 def _to_first(nodes: DataFrame, percent: int) -> DataFrame:
@@ -200,33 +227,109 @@ def _to_first(nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("first.id").alias("a"), F.col("id").alias("b"))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar. Texts are fetched for the classes in question only."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "doc"), "id")
-    wanted = within_broadcast(cut(wanted.select("id", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text_key").alias("text_key"))))
-    same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["text_key"] == wanted["text_key"])
-    texts = docs.join(wanted, same).select("id", "text")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known: dict[int, np.ndarray] = {}
-
-        def of(key: int, text: str) -> np.ndarray:
-            if key not in known:
-                if len(known) >= 256:
-                    known.clear()
-                known[key] = shingles(text, size)
-            return known[key]
-
-        keep = []
-        for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns)):
-            x, y = of(a, text_a), of(b, text_b)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
-        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return map_batches(both, run, "a bigint, b bigint").distinct()
+def _starred(pairs: DataFrame) -> DataFrame:
+    """Pairs as groups of a hub and at most about ``GROUP`` classes: ``node``, ``id``, ``hub``."""
+    pairs = pairs.distinct()
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
+    dealt = cut(pairs.join(parts, "a").select("a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), "parts")).alias("node")))
+    hubs = dealt.select("node", F.col("a").alias("id"), F.lit(True).alias("hub")).distinct()
+    return hubs.unionByName(dealt.select("node", F.col("b").alias("id"), F.lit(False).alias("hub")))
+
+
+def _common(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with others, none of them empty."""
+    joined = np.concatenate(others)
+    at = np.searchsorted(x, joined)
+    at[at == len(x)] = 0
+    starts = np.cumsum([0, *[len(y) for y in others[:-1]]])
+    return np.add.reduceat(x[at] == joined, starts, dtype=np.int64)
+
+
+class _Group:
+    """The classes of a node that have come to its task."""
+
+    def __init__(self):
+        self.rows: list[tuple[int, int, int, int, bool]] = []  # id, s1, s2, comp, hub
+        self.sets: list[np.ndarray] = []
+
+    def links(self, percent: int) -> list[tuple[int, int]]:
+        """Pairs of similar sets, each of which joins two components. With a hub, only pairs with it are tested."""
+        m = len(self.rows)
+        ids, s1, s2, root, hub = (np.array(c) for c in zip(*self.rows))
+        n = np.array([len(x) for x in self.sets])
+        found = []
+        for i in np.flatnonzero(hub).tolist() or range(m - 1):
+            later = np.arange(m) if hub.any() else np.arange(i + 1, m)
+            differ = np.bitwise_count((s1[later] ^ s1[i]).view(np.uint64)).astype(np.int16)
+            differ += np.bitwise_count((s2[later] ^ s2[i]).view(np.uint64))
+            sizes = 100 * np.minimum(n[later], n[i]) >= percent * np.maximum(n[later], n[i])
+            later = later[(differ <= SKETCH_BITS) & sizes & (root[later] != root[i])]
+            while len(later):
+                some, later = later[:_TESTED], later[_TESTED:]
+                common = _common(self.sets[i], [self.sets[j] for j in some])
+                alike = some[100 * common >= percent * (n[i] + n[some] - common)]
+                if len(alike):
+                    joined, where = np.unique(root[alike], return_index=True)
+                    found += [(int(ids[i]), int(ids[alike[k]])) for k in where]
+                    root[np.isin(root, joined)] = root[i]
+                    later = later[root[later] != root[i]]
+        return found
+
+
+def _confirmed(groups: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` inside groups (``node``, ``id``, ``comp``, ``hub``), confirmed on the full sets.
+
+    Texts are read for the classes in question only, each one's set is made once and sent to all its groups.
+    """
+    wanted = groups.groupBy("id").agg(F.first("comp").alias("comp"), F.collect_list(F.struct("node", "hub")).alias("groups"))
+    wanted = cut(wanted.join(classes.select("id", "s1", "s2", "doc"), "id").select("id", "s1", "s2", "comp", "groups", "doc.*"))
+    places = wanted.agg(F.count(F.lit(1)), F.sum(F.size("groups"))).first()
+    keys = wanted.withColumnsRenamed({"doc_id": "__doc", "text_key": "__key"})
+    if 64 * places[0] + 16 * (places[1] or 0) <= common.BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    same = docs["doc_id"].eqNullSafe(keys["__doc"]) & (docs["text_key"] == keys["__key"])
+    # Rows that repeat an id and text are one.
+    texts = docs.join(keys, same).select("id", "s1", "s2", "comp", "groups", "text")
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at, nodes, hubs, out = [], [], [], []
+        for k, (text, groups) in enumerate(zip(batch.column("text").to_pylist(), batch.column("groups").to_pylist())):
+            made = shingles(text, size).tobytes()
+            for g in groups:
+                at.append(k)
+                nodes.append(g["node"])
+                hubs.append(g["hub"])
+                out.append(made)
+        taken = batch.select(["id", "s1", "s2", "comp"]).take(pa.array(at, pa.int64()))
+        arrays = [pa.array(nodes, pa.int64()), pa.array(hubs, pa.bool_()), *taken.columns, pa.array(out, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["node", "hub", "id", "s1", "s2", "comp", "shingles"])
+
+    rows = map_batches(texts, sets, "node bigint, hub boolean, id bigint, s1 bigint, s2 bigint, comp bigint, shingles binary")
+    rows = rows.repartition("node").sortWithinPartitions("node", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches(but=__name__)
+        node, group = None, _Group()
+
+        def out(links: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
+
+        for batch in batches:
+            nodes = batch.column("node").to_numpy()
+            columns = [batch.column(c).to_pylist() for c in ("id", "s1", "s2", "comp", "hub")]
+            made = batch.column("shingles")
+            for k, row in enumerate(zip(*columns)):
+                if nodes[k] != node:
+                    if len(group.rows) > 1:
+                        yield out(group.links(percent))
+                    node, group = nodes[k], _Group()
+                if not group.rows or group.rows[-1][0] != row[0]:
+                    group.rows.append(row)
+                    group.sets.append(np.frombuffer(made[k].as_py(), np.uint64))
+        if len(group.rows) > 1:
+            yield out(group.links(percent))
+
+    return map_in_arrow(rows, run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
@@ -252,16 +355,16 @@ def near_duplicates(
         if not nodes.take(1):
             break
         small, larger = nodes.where(F.col("size") <= SMALL), nodes.where(F.col("size") > SMALL)
-        links.confirm(_within(small, percent).union(_to_first(larger, percent)))
+        links.confirm(_starred(_sieved(small, percent, True).union(_to_first(larger, percent))))
         mixed = cut(_level(links.relabel(larger.select("node", *_MEMBER))))
         if not mixed.take(1):
             break
-        large = mixed.where(F.col("size") > MIDDLE)
-        links.confirm(_within(mixed.where(F.col("size") <= MIDDLE), percent))
-        if not large.take(1):
-            break
-        if level == LEVELS:
-            links.confirm(_within(_blocks(large), percent))
+        larger = F.col("size") > MIDDLE
+        ended = mixed if level == LEVELS else mixed.where(~larger)
+        flagged = cut(_sieved(_blocks(ended), percent, False))
+        links.confirm(flagged.withColumn("hub", F.lit(False)))
+        large = mixed.where(larger)
+        if level == LEVELS or not large.take(1):
             break
         large = large.select("node", "id").join(classes.select("id", "n", "s1", "s2", "mins"), "id")
         rows = links.relabel(large.select(F.explode(_children()).alias("node"), "id", "n", "s1", "s2"))
@@ -269,22 +372,17 @@ def near_duplicates(
 
 
 class _Links:
-    """Pairs tested so far, and the components of those that were confirmed."""
+    """The components made by the links confirmed so far."""
 
     def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
         self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
-        self.tested: DataFrame | None = None
         self.labels: DataFrame | None = None  # class -> least class of its component, for classes that are not the least
 
-    def confirm(self, pairs: DataFrame) -> None:
-        pairs = pairs.distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        if not pairs.take(1):
+    def confirm(self, groups: DataFrame) -> None:
+        """Test the pairs inside ``groups`` (``node``, ``id``, ``hub``)."""
+        if not groups.take(1):
             return
-        self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        links = cut(_confirmed(pairs, self.classes, self.docs, self.size, self.percent))
+        links = cut(_confirmed(self.relabel(groups), self.classes, self.docs, self.size, self.percent))
         if links.take(1):
             self.labels = components(links if self.labels is None else links.union(self.labels))
 
@@ -298,12 +396,14 @@ class _Links:
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
-    """Nodes above ``MIDDLE`` as nodes of two blocks of members each, so that every two members meet in one."""
-    blocks = F.ceil(F.col("size") / max(1, MIDDLE // 2))
-    nodes = nodes.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", "id"), "blocks"))
+    """Nodes above ``MIDDLE`` classes or ``WEIGHT`` shingles as nodes of two blocks of members each, so that every two members meet in
+    one; others as they are."""
+    parts = F.greatest(F.ceil(F.col("size") / max(1, MIDDLE // 2)), F.ceil(F.col("weight") / max(1, WEIGHT // 2)))
+    parts = F.when((F.col("size") <= MIDDLE) & (F.col("weight") <= WEIGHT), F.lit(1)).otherwise(F.least(parts, F.col("size")))
+    nodes = nodes.withColumn("blocks", parts).withColumn("block", F.pmod(F.xxhash64("node", "id"), "blocks"))
     nodes = nodes.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pair = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
-    return nodes.withColumn("node", pair).select("node", *_MEMBER)
+    return nodes.withColumn("node", F.when(F.col("blocks") == 1, F.col("node")).otherwise(pair)).select("node", *_MEMBER)
 
 
 def _results(described: DataFrame, named: DataFrame) -> DataFrame:

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wickwork.llm.common import map_in_arrow
+from wickwork.llm import tokens
+from wickwork.llm.common import map_in_arrow, release_caches
 from wickwork.llm.tokens import word_encoder
 
 _ROWS = 2048  # pieces in a batch of the result
@@ -126,6 +127,7 @@ def pack(
         yield from packer.finish()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches(but=tokens.__name__)
         first = TaskContext.get().partitionId() << 33
         types = None
         rows: list[tuple] = []

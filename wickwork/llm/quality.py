@@ -148,25 +148,20 @@ def judge(measured: DataFrame, keys: tuple[str, str] = ("lang", "source"), least
         upper_thresholds(merge_sketches(sketch, keys[0]), keys[0]),
         upper_thresholds(merge_sketches(sketch.withColumn("every", F.lit(1)), "every"), "every"),
     ]
-    fine, wide, every = (
+    fine, wide, whole = (
         t.select(
             *[c for c in t.columns if c not in ("docs", *SLACK)],
             F.struct(F.col("docs"), *[F.col(m) for m in SLACK]).alias(name),
         )
-        for t, name in zip(levels, ("fine", "wide", "every_one"))
+        for t, name in zip(levels, ("fine", "wide", "whole"))
     )
     wide = wide.withColumnRenamed(keys[0], "wide_key")
-    chosen = (
-        fine.withColumn("every", F.lit(1))
-        .join(wide, F.col(keys[0]).eqNullSafe(F.col("wide_key")))
-        .join(every, "every")
-        .select(
-            *[F.col(k).alias(f"t_{k}") for k in keys],
-            F.when(F.col("fine.docs") >= least_docs, F.col("fine"))
-            .when(F.col("wide.docs") >= least_docs, F.col("wide"))
-            .otherwise(F.col("every_one"))
-            .alias("limits"),
-        )
+    chosen = fine.join(wide, F.col(keys[0]).eqNullSafe(F.col("wide_key"))).select(
+        *[F.col(k).alias(f"t_{k}") for k in keys],
+        F.when(F.col("fine.docs") >= least_docs, F.col("fine"))
+        .when(F.col("wide.docs") >= least_docs, F.col("wide"))
+        .otherwise(whole.select("whole").scalar())  # one row
+        .alias("limits"),
     )
     same = [F.col(k).eqNullSafe(F.col(f"t_{k}")) for k in keys]
     within = [F.col(m) <= F.col(f"limits.{m}") for m in SLACK]

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wickwork.llm.common import BROADCAST_BYTES, cut, map_batches, words
+from wickwork.llm.common import BROADCAST_BYTES, cut, map_batches, register_cache, words
 from wickwork.llm.suffix import SuffixAutomaton
 
 ANCHOR = 16
@@ -58,6 +58,14 @@ _hashes = _WordHashes()
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def _clear() -> None:
+    _hashes.clear()
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+register_cache(__name__, _clear)
+
+
 def _power(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse, from 0 to n at least."""
     if len(_powers[0]) <= n:

@@ -14,6 +14,8 @@ import struct
 
 from tokenizers import Tokenizer
 
+from wickwork.llm.common import register_cache
+
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # The file's split pattern, for chunks that _PLAIN matches, in lower case.
@@ -42,6 +44,10 @@ class _Cache(dict):
         self.make, self.most = make, most
         self.old: dict = {}
 
+    def empty(self) -> None:
+        self.clear()
+        self.old = {}
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
@@ -82,6 +88,15 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _clear() -> None:
+    for encoder in _encoders.values():
+        encoder.pieces.empty()
+        encoder.chunks.empty()
+
+
+register_cache(__name__, _clear)
+
+
 def word_encoder(path: str) -> WordEncoder:
     """This worker's encoder."""
     if path not in _encoders:
