@@ -48,14 +48,21 @@ def test_ranks_of_odd_volumes_and_other_tie_breaks(spark):
         assert {(r["coin_id"], r["pos"], r["rank"]) for r in plain.collect()} == {(r["coin_id"], r["pos"], r["rank"]) for r in ranked.collect()}
 
 
-def test_no_task_sorts_a_whole_coin(spark):
-    """Building the ranks runs nothing, and the rows of a coin are dealt out by volume and tie-break too."""
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("ranks", "building only")
-    ranked = registry.rank_listings(hot_listings(spark).filter("coin_id = 'hot'"), ["exchange_id"])
-    assert not tracker.getJobIdsForGroup("ranks")
-    windows = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)", ranked._jdf.queryExecution().optimizedPlan().toString())
-    assert windows and all("__start" in w and "__volume" in w for w in windows)
+def test_no_task_sorts_a_whole_coin(spark, monkeypatch):
+    """One coin whose listings have no volume is parted into ranges of like size, and no window is keyed by rows."""
+    kept = []
+    stage = registry.staged
+    monkeypatch.setattr(registry, "staged", lambda df, label: kept.append(stage(df, label)) or kept[0])
+    hot = hot_listings(spark).filter("coin_id = 'hot'").withColumn("volume_usd_24h", F.lit(None).cast("decimal(28,2)"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = registry.rank_listings(hot, ["exchange_id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in kept[0].groupBy(F.shiftright("__at", 33).alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    assert "row_number" not in plan(ranked)
+    assert [r[0] for r in ranked.orderBy("exchange_id").select("rank").collect()] == list(range(1, ranked.count() + 1))
 
 
 def test_versions_of_one_candle_shrink_before_the_shuffle(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wickwork import layout
@@ -10,8 +12,9 @@ from wickwork.catalog.base import ctes, query
 from wickwork.catalog.shapes import BRONZE, FINE, SILVER_COLUMNS, gold_sql
 from wickwork.functions.times import iso_instant
 from wickwork.layout import read_table
+from wickwork.operators import alerts
 from wickwork.session import new_folder
-from wickwork.streaming import events as stream
+from wickwork.streaming import events as stream, watch
 
 # The number in an event's properties says whether its message is spoilt, and how.
 _NUMBER = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -101,6 +104,53 @@ def stream_dead_letter(spark, sf_dir):
     return letters.select("message_id", "publish_time", "subscription_name", "reason")
 
 
+@query(
+    "stream_parked",
+    f"""WITH failed AS (
+      SELECT CAST(event_id % 97 AS VARCHAR) AS message_id, ts AS publish_time, CASE WHEN k < 10 THEN 'missing required field: coin_id'
+        WHEN k < 20 THEN 'not an RFC 3339 time: open_time' WHEN k < 30 THEN 'malformed JSON' ELSE 'not an amount: open' END AS reason,
+        row_number() OVER (PARTITION BY event_id % 97 ORDER BY ts) AS attempts
+      FROM (SELECT *, {_NUMBER} AS k FROM events) WHERE NOT ({_GOOD}))
+    SELECT message_id, publish_time, reason, CAST(attempts AS INTEGER) AS attempts FROM failed WHERE attempts = 5""",
+)
+def stream_parked(spark, sf_dir):
+    """Events as repeated deliveries of 97 messages: the fifth failure of a message parks it, with its reason."""
+    path = new_folder(spark, "stream-parked")
+    _, failed = _split(spark, sf_dir)
+    failed = failed.withColumn("message_id", (F.col("message_id").cast("bigint") % 97).cast("string"))
+    parked = watch.park_failures(failed, forget=timedelta(days=3650))
+    _finish(stream.start_dead_letters(parked, path, new_folder(spark, "checkpoint")))
+    return spark.read.schema(parked.schema).parquet(path).select("message_id", "publish_time", "reason", "attempts")
+
+
+@query(
+    "stream_lag_alert",
+    """WITH w AS (
+      SELECT event_type AS subscription_id, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, max(CAST(user_id * 10 AS DOUBLE)) AS value
+      FROM events GROUP BY 1, 2 HAVING max(CAST(user_id * 10 AS DOUBLE)) > 600),
+    a AS (
+      SELECT w.*, EXISTS (SELECT 1 FROM w b WHERE b.subscription_id = w.subscription_id AND b.window_start = w.window_start - INTERVAL 5 MINUTE) AS held
+      FROM w),
+    r AS (SELECT * FROM a WHERE held)
+    SELECT r.*  EXCLUDE (held), CASE WHEN EXISTS (SELECT 1 FROM r b WHERE b.subscription_id = r.subscription_id
+        AND b.window_start = r.window_start - INTERVAL 5 MINUTE) THEN 'open' ELSE 'opened' END AS event
+    FROM r WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+)
+def stream_lag_alert(spark, sf_dir):
+    """The lag rule over a stream of samples, one an event; what the watermark has passed."""
+    schema = shapes.table(spark, sf_dir, "events").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    samples = source.select(
+        F.col("event_type").alias("subscription_id"),
+        F.lit(alerts.LAG_RULE["metric"]).alias("metric"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        (F.col("user_id") * 10).cast("double").alias("value"),
+    )
+    path, found = new_folder(spark, "stream-alerts"), watch.watch(samples, **alerts.LAG_RULE)
+    _finish(stream.start_dead_letters(found, path, new_folder(spark, "checkpoint")))
+    return spark.read.schema(found.schema).parquet(path).where("event <> 'closed'")
+
+
 _STREAM_SILVER = f"""
 silver AS (
   SELECT {SILVER_COLUMNS}, publish_time AS latest_publish_time

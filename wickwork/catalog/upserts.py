@@ -19,7 +19,7 @@ from wickwork.layout import read_table
 from wickwork.operators import registry, retention
 from wickwork.operators.rollup import latest_per_key
 from wickwork.operators.upsert import delete_where, upsert
-from wickwork.plans.jobs import snapshot_changes, snapshot_rows
+from wickwork.plans.jobs import snapshot_changes, snapshot_rows, store_listings
 from wickwork.session import new_folder
 from wickwork.sinks.tables import append, create_table, delete_from_table, prune_table, upsert_table
 
@@ -193,8 +193,7 @@ _KEY = ", ".join(layout.MARKETS.keys)
 _AFTER = "last_traded_at >= TIMESTAMP '1998-01-01'"
 
 
-@query(
-    "upsert_markets",
+_MARKETS_SQL = (
     ctes(
         LISTINGS,
         latest_sql("target", "listings", _KEY, "coalesce(volume_usd_24h, 0), pos DESC", f"NOT ({_AFTER})"),
@@ -206,8 +205,11 @@ _AFTER = "last_traded_at >= TIMESTAMP '1998-01-01'"
       WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.coin_id = t.coin_id AND s.exchange_id = t.exchange_id
         AND s.base_symbol = t.base_symbol AND s.target_symbol = t.target_symbol))""",
     )
-    + f"SELECT {', '.join(S.MARKETS.names)} FROM merged",
+    + f"SELECT {', '.join(S.MARKETS.names)} FROM merged"
 )
+
+
+@query("upsert_markets", _MARKETS_SQL)
 def upsert_markets(spark, sf_dir):
     rows = shapes.listings(spark, sf_dir)
     late = F.col("last_traded_at") >= F.lit("1998-01-01").cast("timestamp")
@@ -218,19 +220,29 @@ def upsert_markets(spark, sf_dir):
     return upsert(stored, fresh.drop("pos"), layout.MARKETS.keys)
 
 
-@query(
-    "upsert_market_cap",
-    """WITH points AS (
+@query("upsert_markets_table", _MARKETS_SQL)
+def upsert_markets_table(spark, sf_dir):
+    """The same against a stored table: two loads, of which the second rewrites nothing of the first."""
+    path = new_folder(spark, "markets")
+    create_table(spark, path, layout.MARKETS)
+    late = F.col("last_traded_at") >= F.lit("1998-01-01").cast("timestamp")
+    for which, at in ((~late, "1998-01-01"), (late, "2001-08-01")):
+        rows = shapes.listings(spark, sf_dir).filter(which)
+        store_listings(spark, path, rows.withColumn("updated_at", F.lit(at).cast("timestamp")))
+    return read_table(spark, path, layout.MARKETS).drop("part")
+
+
+_MARKET_CAP_SQL = """WITH points AS (
       SELECT CAST(o_custkey AS VARCHAR) AS coin_id, o_orderdate AS timestamp, o_orderstatus = 'F' AS stored,
         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,9)) AS price_usd, o_orderkey AS seq FROM orders),
     best AS (SELECT *, row_number() OVER (PARTITION BY coin_id, timestamp ORDER BY stored, seq DESC) AS rn FROM points)
     SELECT coin_id, timestamp, price_usd, CAST(price_usd * 2 AS DECIMAL(38,9)) AS market_cap_usd,
-      CAST(NULL AS DECIMAL(38,9)) AS total_volume_usd FROM best WHERE rn = 1""",
-)
-def upsert_market_cap(spark, sf_dir):
-    """Market-cap points merged by coin and time; of repeated points the later request's stays."""
+      CAST(NULL AS DECIMAL(38,9)) AS total_volume_usd FROM best WHERE rn = 1"""
+
+
+def _points(spark, sf_dir):
     o = shapes.table(spark, sf_dir, "orders")
-    points = o.select(
+    return o.select(
         F.col("o_custkey").cast("string").alias("coin_id"),
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
         shapes.amount("o_totalprice").alias("price_usd"),
@@ -239,6 +251,12 @@ def upsert_market_cap(spark, sf_dir):
         F.col("o_orderkey").alias("seq"),
         "o_orderstatus",
     )
+
+
+@query("upsert_market_cap", _MARKET_CAP_SQL)
+def upsert_market_cap(spark, sf_dir):
+    """Market-cap points merged by coin and time; of repeated points the later request's stays."""
+    points = _points(spark, sf_dir)
     stored = latest_per_key(points.filter("o_orderstatus = 'F'"), ["coin_id", "timestamp"], [F.desc("seq")])
     return upsert(
         stored.select(*S.MARKET_CAP_HISTORY.names),
@@ -248,6 +266,16 @@ def upsert_market_cap(spark, sf_dir):
     )
 
 
+@query("upsert_market_cap_table", _MARKET_CAP_SQL)
+def upsert_market_cap_table(spark, sf_dir):
+    """The same against a stored table, in two loads."""
+    path, table = new_folder(spark, "market-caps"), layout.MARKET_CAP_HISTORY
+    create_table(spark, path, table)
+    for which in ("o_orderstatus = 'F'", "o_orderstatus <> 'F'"):
+        upsert_table(path, _points(spark, sf_dir).filter(which).drop("o_orderstatus"), table, order_by=[F.desc("seq")])
+    return read_table(spark, path, table).drop(table.partition)
+
+
 @query(
     "upsert_watermarks",
     """WITH t AS (SELECT CAST(o_custkey AS VARCHAR) AS coin_id, max(o_orderdate) AS m FROM orders

@@ -122,7 +122,7 @@ MARKET_CAP_HISTORY = Layout(
 COINS = Layout(S.COINS, ("coin_id",), "hash", buckets=4, sort=("coin_id",))
 SNAPSHOTS = Layout(S.SNAPSHOTS, ("coin_id",), "hash", buckets=4, sort=("coin_id",))
 MARKETS = Layout(
-    S.MARKETS, ("coin_id", "exchange_id", "base_symbol", "target_symbol"), "hash", buckets=32, sort=("coin_id",)
+    S.MARKETS, ("coin_id", "exchange_id", "base_symbol", "target_symbol"), "hash", buckets=32, sort=("coin_id",), versions="appended"
 )
 WATERMARKS = Layout(S.WATERMARKS, ("coin_id", "interval"), "hash", buckets=4, sort=("coin_id",))
 # Newest bucket first within a coin: the order in which charts read.

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from wickwork.operators.rollup import latest_per_key
 from wickwork.schemas import PAIR_QUOTE, PAIR_STATUS
+from wickwork.session import staged
 
 TOP_N = 150
 
@@ -77,34 +75,21 @@ def latest_listings(listings: DataFrame, keys: list[str]) -> DataFrame:
 def rank_listings(listings: DataFrame, tie_break: list[str]) -> DataFrame:
     """Rank of each listing within its coin by USD volume, as a ``rank`` column.
 
-    A rank is the number of listings in the groups before, plus the place in the listing's own
-    group. Groups get finer in three steps, each in the order of the listings: volumes with the
-    same number of digits and the same first two, equal volumes, and equal beginnings of the
-    first tie-break. Counts are partial aggregates, so however many listings a coin has, one task
-    sorts those of one volume and beginning only. ``tie_break`` has to make the order unique.
+    Rows are parted by ranges of coin, volume and tie-break, whose bounds Spark samples, and sorted inside: a
+    coin of any size, and any number of listings of one volume, is as many ranges as it needs. Numbered in that
+    order, a listing's place in its range is known; its rank is that place, less that of its coin's
+    first listing there, plus the coin's listings in the ranges before. These are counted per range and coin, so what is
+    windowed by coin is one row a range. ``tie_break`` has to make the order unique. The
+    placed rows are written once to the shared folder, as all counts have to see the same ranges.
     """
-    volume = F.coalesce("volume_usd_24h", F.lit(0))
-    whole = F.floor(volume).cast("string")
-    digits = F.when(volume < 0, F.lit(-1)).otherwise(100 * F.length(whole) + F.substring(whole, 1, 2).cast("int"))
-    text = isinstance(listings.schema[tie_break[0]].dataType, T.StringType)
-    rows = listings.select(
-        "*",
-        digits.alias("__digits"),
-        volume.alias("__volume"),
-        (F.substring(tie_break[0], 1, 4) if text else F.lit("")).alias("__start"),
-    )
-    names = ["coin_id", "__digits", "__volume", "__start"]
-    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
-    # Listings of larger volume with the same digits, then those of the same volume that begin earlier.
-    alike, equal = Window.partitionBy(*names[:2]), Window.partitionBy(*names[:3])
-    larger = F.sum("__n").over(alike.orderBy(F.desc("__volume"))) - F.sum("__n").over(equal)
-    earlier = F.sum("__n").over(equal.orderBy("__start")) - F.col("__n")
-    counts = counts.select(*names, "__n", (larger + earlier).alias("__offset"))
-    sizes = counts.groupBy(*names[:2]).agg(F.sum("__n").alias("__n"))
-    more = F.sum("__n").over(Window.partitionBy("coin_id").orderBy(F.desc("__digits"))) - F.col("__n")
-    sizes = sizes.select(F.col("coin_id").alias("__c"), F.col("__digits").alias("__d"), more.alias("__more"))
-    offsets = counts.join(sizes, F.col("coin_id").eqNullSafe(F.col("__c")) & (F.col("__digits") == F.col("__d")))
-    offsets = offsets.select(*[F.col(c).alias(f"__o{c}") for c in names], (F.col("__offset") + F.col("__more")).alias("__offset"))
-    inside = F.row_number().over(Window.partitionBy(*names).orderBy(*[F.col(c).asc() for c in tie_break]))
-    joined = rows.join(offsets, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__o{c}")) for c in names]))
-    return joined.select(*listings.columns, (inside + F.col("__offset")).cast("int").alias("rank"))
+    order = [F.col("coin_id").asc_nulls_first(), *_listing_order(tie_break)]
+    placed = listings.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The upper bits are the partition, the lower 33 the place in it.
+    placed = staged(placed.withColumn("__at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("__at", 33).alias("__part")
+    pieces = placed.groupBy("coin_id", part).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("coin_id").orderBy("__part")) - F.col("__n")
+    pieces = pieces.select(F.col("coin_id").alias("__coin"), "__part", (before - F.col("__first") + 1).alias("__add"))
+    same = placed["coin_id"].eqNullSafe(pieces["__coin"]) & (F.shiftright("__at", 33) == pieces["__part"])
+    ranked = placed.join(pieces, same)
+    return ranked.select(*listings.columns, (F.col("__at") + F.col("__add")).cast("int").alias("rank"))

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from wickwork.functions.times import at, bucket, step, trunc
+from wickwork.functions.times import at, bucket, step, trunc, utc
 from wickwork.layout import time_range
 from wickwork.operators.rollup import LOOKBACK
 from wickwork.schemas import SERVING
@@ -81,15 +81,35 @@ def today_bars(hourly: DataFrame, as_of: datetime) -> DataFrame:
 def with_today(daily: DataFrame, hourly: DataFrame, as_of: datetime) -> DataFrame:
     """Daily bars with today's bar taken from the hourly ones where a coin has any.
 
-    Only rows of today take part in the join; history passes through with its filter pushed
-    to the scan. Rows of later days do not exist yet at ``as_of``.
+    Today's stored rows and hourly bars meet in one aggregate by coin and day, in which a stored row counts only where there
+    are no hourly ones. History passes through with its filter pushed to the scan. Rows of later days do not exist yet at ``as_of``.
     """
-    today = trunc(as_of, "day")
-    bars = today_bars(hourly, as_of)
-    history = time_range(daily, "bucket_start", end=today).select(*bars.columns)
-    stored_today = time_range(daily, "bucket_start", today, today + timedelta(days=1)).select(*bars.columns)
-    kept = stored_today.join(bars.select("coin_id", "bucket_start"), ["coin_id", "bucket_start"], "left_anti")
-    return history.unionByName(kept).unionByName(bars)
+    ts_type = hourly.schema["bucket_start"].dataType
+    today, end = trunc(as_of, "day"), trunc(as_of, "day") + timedelta(days=1)
+    names = [f.name for f in SERVING.fields]
+    amounts = [c for c in names if c not in ("coin_id", "bucket_start", "is_closed", "updated_at")]
+    history = time_range(daily, "bucket_start", end=today).select(*names)
+    stored = time_range(daily, "bucket_start", today, end)
+    stored = stored.select("coin_id", "bucket_start", F.lit(None).cast(ts_type).alias("hour"), *amounts, "is_closed", "updated_at")
+    bars = time_range(hourly, "bucket_start", today, end)
+    day = bucket(bars, "bucket_start", "day").alias("bucket_start")
+    bars = bars.select("coin_id", day, F.col("bucket_start").alias("hour"), *amounts, F.lit(None).cast("boolean").alias("is_closed"), "updated_at")
+    fresh = F.col("hour").isNotNull()
+    made = {
+        "open": F.min_by("open", "hour"),
+        "high": F.max(F.when(fresh, F.col("high"))),
+        "low": F.min(F.when(fresh, F.col("low"))),
+        "close": F.max_by("close", "hour"),
+        "volume": F.sum(F.when(fresh, F.col("volume"))),
+        "updated_at": F.max(F.when(fresh, F.col("updated_at"))),
+        "is_closed": F.lit(end <= utc(as_of)),
+    }
+    rows = stored.unionByName(bars).groupBy("coin_id", "bucket_start")
+    there = F.count("hour") > 0
+    known = lambda c: F.max(F.when(~fresh, F.col(c)))
+    merged = rows.agg(*[F.when(there, value).otherwise(known(c)).alias(c) for c, value in made.items()])
+    typed = [F.col(c).cast(hourly.schema[c].dataType).alias(c) for c in names]
+    return history.unionByName(merged.select(*typed))
 
 
 def history(daily: DataFrame, hourly: DataFrame, coin_id: str, start: datetime, as_of: datetime) -> DataFrame:

@@ -293,12 +293,22 @@ def refresh_coins(
     counts = {"coins": coins, "listings": 0, "failed": 0}
     if raw_tickers is not None and incremental.due(as_of, listings_hour):
         listings = landed.parse_tickers(raw_tickers).withColumn("updated_at", at(as_of))
-        latest = registry.latest_listings(listings, list(layout.MARKETS.keys)).drop("pos")
-        counts["listings"] = upsert_table(tables.path("markets"), latest, layout.MARKETS)
+        counts["listings"] = store_listings(spark, tables.path("markets"), listings)
         counts["failed"] = landed.unparsed(raw_tickers, S.TICKERS).count()
     return counts
 
 
+def store_listings(spark: SparkSession, path: str, listings: DataFrame) -> int:
+    """The latest of each listing, whole rows, into the listings table; returns their number.
+
+    A load is appended and rewrites no group of the table; reading keeps the newest load's row of a listing.
+    """
+    keys = list(layout.MARKETS.keys)
+    latest = registry.latest_listings(listings.dropna(subset=keys), keys).drop("pos")
+    written = append_versions(latest, path, layout.MARKETS)
+    return read_deltas(spark, path, layout.MARKETS, [written.number]).count() if written else 0
+
+
 def backfill_candles(
     spark: SparkSession,
     tables: Tables,

@@ -24,6 +24,8 @@ def build_session(app_name: str = "wickwork", master: str | None = None, conf: d
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # Checkpoints that nothing refers to any more are deleted.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf or {})
     builder = SparkSession.builder.appName(app_name)
