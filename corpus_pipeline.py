@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` writes each result but
 the last as Parquet to the shared folder, reads it again for the next stage, and then removes
-what that stage has read.
+what that stage has read. If a stage fails, nothing of the run stays. What the last stage reads stays
+until its result, which is not yet computed, has been used.
 """
 
 from __future__ import annotations
@@ -54,11 +55,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = read_table(spark, sf_dir, "documents"), None
-    for name, stage in STAGES[:-1]:
-        done, folder = folder, new_folder(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
-        if done:
-            remove(spark, done)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    docs, folders = read_table(spark, sf_dir, "documents"), []
+    try:
+        for name, stage in STAGES[:-1]:
+            folders.append(new_folder(spark, name))
+            stage(spark, docs, sf_dir).write.parquet(folders[-1])
+            docs = spark.read.parquet(folders[-1])
+            for done in folders[:-1]:
+                remove(spark, done)
+            del folders[:-1]
+        return STAGES[-1][1](spark, docs, sf_dir)
+    except BaseException:
+        for folder in folders:
+            remove(spark, folder)
+        raise
