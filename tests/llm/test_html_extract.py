@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from wickwork.llm import html_extract
@@ -62,6 +64,14 @@ def test_whole_text_of_a_very_long_page():
     assert main_text("<article>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</article>") == "\n".join(paragraphs)
 
 
+@pytest.mark.parametrize("tag", ["<div>", "<article>", "<div class='ad'><article>", "<div></span>", "<b class='ad'>"])
+def test_many_unclosed_elements(tag):
+    started = time.perf_counter()
+    text = main_text(tag * 30_000 + f"<p>{LONG}</p>")
+    assert time.perf_counter() - started < 20
+    assert text == ("" if tag.startswith("<b") else LONG)
+
+
 MARKED = {
     "siblings": (f"<article><p>{LONG} one</p></article><div class='ad'>Buy</div><article><p>{LONG}</p></article>", f"{LONG} one\n{LONG}"),
     "body beside cards": (

@@ -1,4 +1,5 @@
 import random
+import time
 
 from wickwork.llm.common import lower_words
 from wickwork.llm.licenses import PHRASES, TEMPLATES, Scanner, Template, find_licenses
@@ -68,6 +69,15 @@ def test_query_cases(docs, clashing):
     assert find_licenses(docs([])).count() == 0
 
 
+def test_very_many_notices():
+    scanner = Scanner(PHRASES, TEMPLATES, 4, 0.7)
+    notice = lower_words("Released under the MIT License")
+    started = time.perf_counter()
+    spans = scanner.scan(notice * 30_000)[1]
+    assert time.perf_counter() - started < 30
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]) if a[2] == b[2])
+
+
 def test_very_long_text():
     scanner = Scanner(PHRASES, TEMPLATES, 4, 0.7)
     document = [b"the", b"software"] * 200_000 + lower_words("MIT License")

@@ -25,6 +25,7 @@ named are read, so other columns cannot clash.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 from itertools import groupby
@@ -84,6 +85,7 @@ class Element:
     around: str = ""  # why its lines are not text: "", "tag", "class" or "comment"
     article: int = 0  # its number if it is an article
     cleared: bool = False  # whether an article in it has shown its class to be no reason
+    within: tuple[bool, int, bool, bool] = (False, 0, False, False)  # what lines in it are: around, article, cleared, doubtful
 
 
 @dataclass
@@ -121,21 +123,38 @@ def _around(tag: str, attributes: dict[str, str], in_article: bool) -> str:
     return "" if tag == "article" else reason
 
 
+def _step(outside: tuple[bool, int, bool, bool], e: Element) -> tuple[bool, int, bool, bool]:
+    """What lines in an element are, from what they are outside of it."""
+    around, article, cleared, doubtful = outside
+    cleared = cleared or e.cleared
+    if e.article and (cleared > doubtful or not article):
+        article, doubtful = e.article, cleared
+    return around or bool(e.around), article, cleared, doubtful
+
+
 def lines_of(html: str) -> list[Line]:
     """The page's lines in order, with what is known of each."""
     open_elements: list[Element] = []
+    open_tags: Counter[str] = Counter()
+    by_class: list[int] = []  # places of open elements that their class names as around
     lines = [Line()]
     articles = 0
     links = 0
     at = 0
 
-    def state() -> tuple[bool, int, bool]:
-        article, cleared, doubtful = 0, False, False
-        for e in open_elements:
-            cleared = cleared or e.cleared
-            if e.article and (cleared > doubtful or not article):
-                article, doubtful = e.article, cleared
-        return any(e.around for e in open_elements), article, doubtful
+    def within() -> tuple[bool, int, bool, bool]:
+        return open_elements[-1].within if open_elements else (False, 0, False, False)
+
+    def refold(first: int) -> None:
+        for k in range(first, len(open_elements)):
+            open_elements[k].within = _step(open_elements[k - 1].within if k else (False, 0, False, False), open_elements[k])
+
+    def close(first: int) -> None:
+        for e in open_elements[first:]:
+            open_tags[e.tag] -= 1
+        while by_class and by_class[-1] >= first:
+            by_class.pop()
+        del open_elements[first:]
 
     def put(text: str) -> None:
         line = lines[-1]
@@ -146,7 +165,7 @@ def lines_of(html: str) -> list[Line]:
     def new_line() -> None:
         if lines[-1].parts:
             lines.append(Line())
-        lines[-1].around, lines[-1].article, lines[-1].doubtful = state()
+        lines[-1].around, lines[-1].article, _, lines[-1].doubtful = within()
 
     for m in _TOKEN.finditer(html):
         if m.start() > at:
@@ -161,30 +180,36 @@ def lines_of(html: str) -> list[Line]:
         known = len(open_elements)
         changed = False
         if m["end"]:
-            for k in range(known - 1, -1, -1):
+            for k in range(known - 1, -1, -1) if open_tags[tag] else ():
                 if open_elements[k].tag == tag:
                     changed = any(e.around or e.article for e in open_elements[k:])
-                    del open_elements[k:]
+                    close(k)
                     break
         else:
             attributes = _attributes(m["more"]) if m["more"].strip(" /") else {}
             if open_elements and tag in _ENDED_BY.get(open_elements[-1].tag, ()):
                 changed = bool(open_elements[-1].around)
-                open_elements.pop()
-            in_article = any(e.article for e in open_elements)
+                close(len(open_elements) - 1)
+            in_article = within()[1] > 0
             around = _around(tag, attributes, in_article)
             is_article = not around and (
                 tag in ("article", "main") or attributes.get("role") in ("main", "article") or attributes.get("itemprop") == "articleBody"
             )
             if is_article:
-                for e in open_elements:
-                    if e.around == "class":
-                        e.around, e.cleared = "", True
-                if not any(e.around for e in open_elements):
+                for k in by_class:
+                    open_elements[k].around, open_elements[k].cleared = "", True
+                if by_class:
+                    refold(by_class[0])
+                    by_class.clear()
+                if not within()[0]:
                     articles += 1
                 changed = True
             if tag not in _VOID:
+                if around == "class":
+                    by_class.append(len(open_elements))
                 open_elements.append(Element(tag, around, articles if is_article else 0))
+                open_tags[tag] += 1
+                refold(len(open_elements) - 1)
                 changed = changed or bool(around)
         if tag in _BLOCKS or changed:
             if tag == "body" or tag in _BLOCKS:

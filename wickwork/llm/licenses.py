@@ -17,6 +17,8 @@ same rows each. Only ``doc_id`` and ``text`` are read, so other columns cannot c
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -157,13 +159,14 @@ class Scanner:
                     if new > 0 and best[j][0] + new > choice[0]:
                         choice = (best[j][0] + new, best[j][1])
                 best.append(choice)
-            taken: list[tuple[int, int]] = []
+            taken: list[tuple[int, int]] = []  # apart and in order, so only neighbours can be met
             for i in sorted(range(len(pieces)), key=lambda i: (-best[i][0], pieces[i][0])):
                 covered, first = best[i]
                 if covered < self.cover * size:
                     break
-                if all(pieces[i][0] <= a or first >= b for a, b in taken):
-                    taken.append((first, pieces[i][0]))
+                at = bisect_left(taken, (first, 0))
+                if (at == len(taken) or pieces[i][0] <= taken[at][0]) and (not at or first >= taken[at - 1][1]):
+                    taken.insert(at, (first, pieces[i][0]))
                     spans.append((first, pieces[i][0], self.templates[k].label, covered / size))
         return sorted(spans)
 

@@ -222,7 +222,29 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op8_minhash_near_dedup")
+# All pairs that share a shingle, and what is reachable over links.
+_NEAR_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 1 THEN ws ELSE list_transform(range(1, len(ws)), lambda p: ws[p] || ' ' || ws[p + 1]) END) AS shingle FROM d
+),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+),
+l AS (
+  SELECT a, b FROM p JOIN c AS x ON x.doc_id = a JOIN c AS y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, seen) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.seen),
+m AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d LEFT JOIN c USING (doc_id) JOIN m USING (doc_id)
+"""
+
+
+@query("op8_minhash_near_dedup", _NEAR_SQL)
 def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -246,7 +268,22 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op10_substring_dedup")
+# All windows of 35 words.
+_REPEAT_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS ws FROM documents),
+w AS (
+  SELECT k, p, md5(array_to_string(ws[p : p + 34], ' ')) AS h FROM (SELECT k, ws, unnest(range(1, len(ws) - 33)) AS p FROM d WHERE len(ws) >= 35)
+),
+t AS (SELECT k, p FROM w QUALIFY count(*) OVER (PARTITION BY h) > 1),
+x AS (SELECT k, list(DISTINCT q) AS gone FROM (SELECT k, unnest(range(p, p + 35)) AS q FROM t) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(ws, ' ')
+    ELSE coalesce((SELECT string_agg(ws[q], ' ' ORDER BY q) FROM (SELECT unnest(range(1, len(ws) + 1)) AS q) AS i WHERE NOT list_contains(gone, q)), '') END) AS kept_sha256
+FROM d LEFT JOIN x USING (k)
+"""
+
+
+@query("op10_substring_dedup", _REPEAT_SQL)
 def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), window=35)
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
