@@ -167,3 +167,135 @@ def test_refresh_rebuilds_only_changed_partitions(spark, silver, tmp_path):
 def test_dimensions_alone_are_distinct(spark, silver):
     got = M.metric_query(silver, M.CANDLES, spec([], ["coin_id"], time=None), NOW)
     assert rows_of(got, "coin_id") == [("a",), ("b",)]
+
+
+H = timedelta(hours=1)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_split_ranges_cover_each_hour_once(seed):
+    """Every half hour of the requested range lies in just one covered range or gap; covered ones are whole covered buckets."""
+    import random
+
+    rng = random.Random(seed)
+    zero = datetime(2024, 1, 1)
+    some = lambda: zero + timedelta(minutes=30 * rng.randrange(200))
+    ranges = []
+    for _ in range(rng.randrange(4)):
+        first, last = sorted((some(), some()))
+        ranges.append((first, last))
+    if rng.random() < 0.3:
+        ranges.append((None, some()))
+    first, last = sorted((some(), some()))
+    request = (rng.choice([None, first]), rng.choice([None, last]))
+    covered, gaps = M.split_ranges(tuple(ranges), request, "hour")
+    inside = lambda t, r: (r[0] is None or r[0] <= t) and (r[1] is None or t < r[1])
+    for k in range(-4, 210):
+        t = zero + timedelta(minutes=30 * k)
+        found = sum(inside(t, r) for r in covered), sum(inside(t, r) for r in gaps)
+        assert sum(found) == (1 if inside(t, request) else 0)
+        if found[0]:
+            assert any(inside(t, r) for r in ranges)
+    for a, b in covered:
+        assert all(e is None or e.minute == 0 or e in request for e in (a, b))
+        assert a is None or a.minute == 0
+
+
+def test_rows_without_a_manifest_are_refused(spark, silver, tmp_path):
+    from wickwork.operators.metrics import build_rollup
+
+    query = spec(["count"], dateRange=["2024-01-05", "2024-01-20"])
+    wrong = build_rollup(silver.limit(0), M.CANDLES, NAME, NOW)
+    expected = rows_of(M.metric_query(silver, M.CANDLES, query, NOW), "count")
+    assert rows_of(M.metric_query(silver, M.CANDLES, query, NOW, {NAME: wrong}), "count") == expected
+    path = str(tmp_path / "r")
+    write_rollup(silver, M.CANDLES, NAME, path, NOW)
+    import shutil
+
+    shutil.rmtree(path + "-manifest")
+    stored = read_rollup(silver, M.CANDLES, NAME, path)
+    assert stored.ranges == ()
+    assert rows_of(M.metric_query(silver, M.CANDLES, query, NOW, {NAME: stored}), "count") == expected
+
+
+def test_an_old_rollup_does_not_hide_new_rows(spark, silver, tmp_path):
+    path, query = str(tmp_path / "r"), spec(["count"], dateRange=["2024-01-01", "2024-01-01"])
+    early = silver.where(F.col("open_time") < F.lit("2024-01-01 12:00:00").cast("timestamp"))
+    write_rollup(early, M.CANDLES, NAME, path, utc(2024, 1, 1, 12))
+    got = M.metric_query(silver, M.CANDLES, query, utc(2024, 1, 4), {NAME: read_rollup(silver, M.CANDLES, NAME, path)})
+    assert got.first()["count"] == 8
+
+
+@pytest.fixture()
+def followed(spark, tmp_path):
+    """A stored silver table in appended batches, with a rollup that has followed the first."""
+    from wickwork import layout
+    from wickwork.sinks.tables import create_table
+    from wickwork.versions import append_versions
+
+    source = str(tmp_path / "silver")
+    create_table(spark, source, layout.SILVER)
+
+    def append(*candles):
+        return append_versions(rollup.silver(bronze(spark, list(candles))), source, layout.SILVER)
+
+    append(*[candle(c, open_time=utc(2024, m, d, 5), published=utc(2024, 4, 1)) for c in "ab" for m in (1, 2, 3) for d in range(1, 28)])
+    return source, str(tmp_path / "rollup"), append
+
+
+def test_refresh_follows_the_feed(spark, followed, monkeypatch):
+    from wickwork import layout
+    from wickwork.sinks import rollups as R
+
+    source, path, append = followed
+    refresh = lambda at: R.refresh_rollup(spark, source, layout.SILVER, M.CANDLES, NAME, path, at)
+    assert refresh(utc(2024, 4, 1)) is None
+    assert refresh(utc(2024, 4, 2)) == []
+    append(candle("a", open_time=utc(2024, 2, 9, 5), high=77, published=utc(2024, 4, 3)))
+    scans = []
+    build = R.build_rollup
+    monkeypatch.setattr(R, "build_rollup", lambda table, *a: scans.append(table) or build(table, *a))
+    assert [str(c) for c in refresh(utc(2024, 4, 3))] == ["2024-02-01"]
+    plan = scans[0]._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], Pushed", plan)
+    assert filters and all("2024-02" in f or "trunc" in f for f in filters)
+    days = {r[0].month for r in scans[0].select("date").distinct().collect()}
+    assert days == {2}
+    table = layout.read_table(spark, source, layout.SILVER)
+    query = spec(["count", "high"], ["coin_id"], dateRange=["2024-01-01", "2024-03-31"], granularity="day")
+    stored = read_rollup(table, M.CANDLES, NAME, path, source)
+    assert len(stored.ranges) == 1
+    columns = ["coin_id", "open_time", "count", "high"]
+    assert rows_of(M.metric_query(table, M.CANDLES, query, utc(2024, 4, 3), {NAME: stored}), *columns) == rows_of(
+        M.metric_query(table, M.CANDLES, query, utc(2024, 4, 3)), *columns
+    )
+
+
+def test_changed_days_are_not_covered_until_refreshed(spark, followed):
+    from wickwork import layout
+    from wickwork.sinks import rollups as R
+
+    source, path, append = followed
+    R.refresh_rollup(spark, source, layout.SILVER, M.CANDLES, NAME, path, utc(2024, 4, 1))
+    append(candle("a", open_time=utc(2024, 2, 9, 5), high=77, published=utc(2024, 4, 3)))
+    table = layout.read_table(spark, source, layout.SILVER)
+    stored = read_rollup(table, M.CANDLES, NAME, path, source)
+    assert [r[1:] or r for r in stored.ranges][0][0] == datetime(2024, 2, 9) and stored.ranges[1][0] == datetime(2024, 2, 10)
+    query = spec(["high"], dateRange=["2024-02-01", "2024-02-29"])
+    assert M.metric_query(table, M.CANDLES, query, utc(2024, 4, 3), {NAME: stored}).first()["high"] == 77
+
+
+def test_months_out_of_range_go(spark, followed):
+    from wickwork import layout
+    from wickwork.sinks import rollups as R
+
+    source, path, append = followed
+    refresh = lambda at: R.refresh_rollup(spark, source, layout.SILVER, M.CANDLES, NAME, path, at)
+    refresh(utc(2024, 4, 1))
+    assert sorted(R._stored_parts(spark, path)) == ["2024-01-01", "2024-02-01", "2024-03-01"]
+    append(candle("a", open_time=utc(2025, 3, 9, 5), published=utc(2025, 3, 10)))
+    refresh(utc(2025, 3, 10))
+    assert sorted(R._stored_parts(spark, path)) == ["2024-02-01", "2024-03-01", "2025-03-01"]
+    assert read_rollup(layout.read_table(spark, source, layout.SILVER), M.CANDLES, NAME, path).ranges[0][0] == datetime(2024, 2, 10)

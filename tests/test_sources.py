@@ -122,6 +122,35 @@ def test_relative_keys_and_keys_without_a_file(spark, tmp_path):
         archive.read_kline_archive(spark, str(tmp_path), missing)
 
 
+def test_only_wanted_zips_are_opened_and_nothing_is_shuffled(spark, tmp_path):
+    wanted = []
+    for key in KEYS:
+        if key.endswith(".zip"):
+            make_zip(tmp_path / key, {"x.csv": LINE})
+            wanted.append(str(tmp_path / key))
+    (tmp_path / KEYS[0]).write_bytes(b"not a zip, and not wanted")
+    keys = spark.createDataFrame([(k,) for k in wanted[1:]], "key string")
+    lines = archive.read_kline_archive(spark, str(tmp_path), keys)
+    text = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "content" not in text and "Join" not in text
+    assert lines.count() == len(wanted) - 1
+    broken = spark.createDataFrame([(wanted[0],)], "key string")
+    with pytest.raises(Exception, match="not a zip"):
+        archive.read_kline_archive(spark, str(tmp_path), broken).count()
+
+
+def test_files_share_tasks_by_size(monkeypatch):
+    monkeypatch.setattr(archive, "TASK_BYTES", 100)
+    files = [("d", 60), ("a", 50), ("b", 50), ("c", 10), ("e", 500)]
+    assert [p.paths for p in archive._ArchiveReader(files).partitions()] == [["a", "b"], ["c", "d"], ["e"]]
+    assert archive._ArchiveReader([]).partitions() == []
+
+
+def test_names_with_spaces_and_signs(spark, tmp_path):
+    make_zip(tmp_path / "a folder #1 %20" / "AUSDT-1h-2024-01.zip", {"x.csv": LINE})
+    assert archive.read_kline_archive(spark, str(tmp_path)).count() == 1
+
+
 def test_epoch_threshold(spark):
     df = spark.createDataFrame([(100_000_000_000_000,), (100_000_000_000_001,), (1735689600123456,)], "v bigint")
     got = [r[0] for r in df.select(F.unix_micros(epoch_to_timestamp(F.col("v"))).alias("m")).collect()]

@@ -177,6 +177,18 @@ def test_followers_read_the_feed_from_their_own_position(spark, path, tmp_path):
     assert rows_of(bars, *columns) == rows_of(expected, *columns) and bars.count() == 2
 
 
+def test_passed_records_can_be_dropped(spark, path):
+    for n in range(4):
+        V.append_versions(silver(spark, candle("a", hour=n, published=published(n))), path, layout.SILVER)
+    assert V.forget_changes(spark, path, 3) == 0  # not folded in yet
+    V.compact(spark, path, layout.SILVER)
+    V.append_versions(silver(spark, candle("a", hour=9, published=published(9))), path, layout.SILVER)
+    assert V.forget_changes(spark, path, 3) == 3
+    assert [d.number for d in V.feed(spark, path)] == [4, 5] and read_table(spark, path, layout.SILVER).count() == 5
+    V.compact(spark, path, layout.SILVER)
+    assert V.forget_changes(spark, path, 99) == 1 and V.newest(spark, path) == 5
+
+
 def test_delete_reaches_gold_and_serving(spark, tmp_path):
     tables = jobs.Tables(str(tmp_path / "t"))
     tables.create(spark)
@@ -232,3 +244,31 @@ def test_follow_gold_after_folding(spark, tmp_path):
     V.compact(spark, gold, layout.GOLD_DAILY)
     assert follow_gold(spark, gold, serving, "day", T0) == {"upserted": 1, "deleted": 1}
     assert rows_of(read_table(spark, serving, layout.ROLLUPS_DAILY), "coin_id") == [("b",)]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_one_coin_is_in_few_files_of_a_big_day(spark, path, hot):
+    """Compaction clusters by coin, and splits a coin that is most of a day."""
+    import pyarrow.parquet as pq
+
+    i = F.col("id")
+    coin = F.when(F.lit(hot) & (i % 10 < 9), F.lit("c00")).otherwise(F.format_string("c%02d", (i % 40).cast("int")))
+    rows = spark.range(20_000).select(
+        coin.alias("coin_id"),
+        F.concat((i % 1000).cast("string"), F.lit("m")).alias("interval"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_interval(secs=i % 80_000)).alias("open_time"),
+        F.lit(T0).cast("timestamp").alias("latest_publish_time"),
+        i.alias("trade_count"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        V.append_versions(rows, path, layout.SILVER)
+        V.compact(spark, path, layout.SILVER)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [pq.ParquetFile(f) for f in data_files(path)]
+    sizes = [f.metadata.num_rows for f in files]
+    assert len(files) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    column = files[0].schema_arrow.names.index("coin_id")
+    spans = [(f.metadata.row_group(0).column(column).statistics.min, f.metadata.row_group(0).column(column).statistics.max) for f in files]
+    assert sum(lo <= "c17" <= hi for lo, hi in spans) <= 2

@@ -42,6 +42,26 @@ def ohlcv_hourly(spark, sf_dir):
     return rollup.ohlcv(sane_silver(spark, sf_dir), "hour")
 
 
+_TWO = BRONZE.replace("'1h' AS", "CASE WHEN event_id % 2 = 0 THEN '1h' ELSE '4h' END AS")
+
+
+def _two_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles of two intervals that open at the same times."""
+    even = F.col("trade_count") % 2 == 0
+    rows = sane(shapes.bronze(spark, sf_dir))[0].withColumn("interval", F.when(even, "1h").otherwise("4h"))
+    return rollup.silver(rows)
+
+
+@query("silver_two_intervals", ctes(_TWO, SILVER) + "SELECT * FROM silver")
+def silver_two_intervals(spark, sf_dir):
+    return _two_intervals(spark, sf_dir)
+
+
+@query("ohlcv_two_intervals", ctes(_TWO, SILVER, gold_sql("gold", "silver", "day")) + "SELECT * FROM gold")
+def ohlcv_two_intervals(spark, sf_dir):
+    return rollup.ohlcv(_two_intervals(spark, sf_dir), "day")
+
+
 @query(
     "ohlcv_fine_hourly",
     ctes(FINE, gold_sql("gold", "fine", "hour", latest="publish_time")) + "SELECT * FROM gold",

@@ -24,10 +24,8 @@ from wickwork.sinks.tables import append, create_table
 from wickwork.sources import archive, landed
 
 
-def raw_klines(spark, sf_dir):
-    """One response per event with one positional candle, times in epoch milliseconds."""
-    b = shapes.bronze(spark, sf_dir)
-    cells = F.array(
+def _cells():
+    return F.array(
         F.unix_millis("open_time").cast("string"),
         *[F.col(c).cast("decimal(38,2)").cast("string") for c in ("open", "high", "low", "close", "volume")],
         F.unix_millis("close_time").cast("string"),
@@ -35,20 +33,34 @@ def raw_klines(spark, sf_dir):
         F.col("trade_count").cast("string"),
         F.lit("ignored"),
     )
-    return b.select("coin_id", F.to_json(F.array(cells)).alias("body"))
 
 
-@query(
-    "klines_parse",
+def raw_klines(spark, sf_dir):
+    """One response per event with one positional candle, times in epoch milliseconds."""
+    return shapes.bronze(spark, sf_dir).select("coin_id", F.to_json(F.array(_cells())).alias("body"))
+
+
+_KLINES_SQL = (
     ctes(BRONZE)
     + """SELECT coin_id, "interval", open_time, close_time, open, high, low, close, volume, quote_volume, trade_count,
       close_time < TIMESTAMP '2024-01-30 20:30:00' AS is_closed, TIMESTAMP '2024-01-30 20:30:00' AS publish_time
-    FROM bronze""",
+    FROM bronze"""
 )
+
+
+@query("klines_parse", _KLINES_SQL)
 def klines_parse(spark, sf_dir):
     return landed.parse_klines(raw_klines(spark, sf_dir), "1h", EVENTS_AS_OF)
 
 
+@query("klines_parse_pages", _KLINES_SQL)
+def klines_parse_pages(spark, sf_dir):
+    """Responses as an exchange gives them: a page of candles, here a coin's day."""
+    pages = shapes.bronze(spark, sf_dir).groupBy("coin_id", F.to_date("open_time").alias("day"))
+    pages = pages.agg(F.to_json(F.collect_list(_cells())).alias("body"))
+    return landed.parse_klines(pages.select("coin_id", "body"), "1h", EVENTS_AS_OF)
+
+
 def raw_markets(spark, sf_dir):
     c = shapes.table(spark, sf_dir, "customer")
     row = F.struct(
@@ -78,11 +90,10 @@ def markets_parse(spark, sf_dir):
     return landed.parse_markets(raw_markets(spark, sf_dir))
 
 
-def raw_tickers(spark, sf_dir):
-    """One response per line item; returned items lack their exchange, open accepted ones have an empty target."""
+def _ticker():
     returned = F.col("base_symbol") == "R"
     open_accepted = (F.col("base_symbol") == "A") & (F.col("target_symbol") == "O")
-    ticker = F.struct(
+    return F.struct(
         F.col("base_symbol").alias("base"),
         F.when(open_accepted, "").otherwise(F.col("target_symbol")).alias("target"),
         F.lit("green").alias("trust_score"),
@@ -91,8 +102,26 @@ def raw_tickers(spark, sf_dir):
         F.struct(F.col("price_usd").alias("usd")).alias("converted_last"),
         F.struct(F.col("volume_usd_24h").alias("usd")).alias("converted_volume"),
     )
+
+
+def raw_tickers(spark, sf_dir):
+    """One response per line item; returned items lack their exchange, open accepted ones have an empty target."""
     rows = shapes.listings(spark, sf_dir)
-    return rows.select("coin_id", F.to_json(F.struct(F.array(ticker).alias("tickers"))).alias("body"))
+    return rows.select("coin_id", F.to_json(F.struct(F.array(_ticker()).alias("tickers"))).alias("body"))
+
+
+@query(
+    "tickers_parse_pages",
+    ctes(LISTINGS)
+    + """SELECT coin_id, exchange_id, base_symbol, target_symbol, price_usd, volume_usd_24h, 'green' AS trust_score, last_traded_at,
+      CAST(n AS INTEGER) AS pos FROM (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY pos) - 1 AS n FROM listings)
+    WHERE base_symbol <> 'R' AND NOT (base_symbol = 'A' AND target_symbol = 'O')""",
+)
+def tickers_parse_pages(spark, sf_dir):
+    """One response a coin with all its listings, some of which are left out."""
+    listed = F.sort_array(F.collect_list(F.struct("pos", _ticker().alias("t"))))["t"]
+    rows = shapes.listings(spark, sf_dir).groupBy("coin_id").agg(listed.alias("tickers"))
+    return landed.parse_tickers(rows.select("coin_id", F.to_json(F.struct("tickers")).alias("body")))
 
 
 @query(

@@ -118,7 +118,7 @@ def rebuild_silver(spark: SparkSession, tables: Tables) -> None:
     bronze = tables.read(spark, "bronze_candles").drop("month")
     path = tables.path("silver_candles")
     beside, before = stored_numbers(spark, path), partition_values(spark, path, layout.SILVER)
-    write_partitions(rollup.silver(bronze), path, layout.SILVER)
+    write_partitions(rollup.silver(bronze), path, layout.SILVER, clustered=True)
     days = touched_partitions(bronze.select(layout.SILVER.partition_value().alias("date")), layout.SILVER)
     drop_partitions_except(spark, path, layout.SILVER, days)
     drop_deltas(spark, path, beside)

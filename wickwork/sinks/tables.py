@@ -45,11 +45,11 @@ def partition_values(spark: SparkSession, path: str, layout: Layout) -> list[str
     return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
 
-def write_partitions(df: DataFrame, path: str, layout: Layout) -> None:
-    """Replace exactly the partitions ``df`` has rows for, in the table's own files."""
+def write_partitions(df: DataFrame, path: str, layout: Layout, clustered: bool = False) -> None:
+    """Replace exactly the partitions ``df`` has rows for, in the table's own files; ``clustered`` for large rewrites."""
     shaped = df if layout.partition in df.columns else layout.shaped(df)
     (
-        layout.sorted_for_write(shaped)
+        layout.sorted_for_write(shaped, clustered)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(layout.partition)

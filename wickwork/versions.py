@@ -59,16 +59,35 @@ def _numbers(spark: SparkSession, path: str) -> set[int]:
     return {int(n[4:]) for n in _names(spark, _deltas(path)) if n.startswith("seq=")}
 
 
+def _recorded(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n) for n in _names(spark, _feed(path)) if n.isdigit())
+
+
+def _records(spark: SparkSession, path: str, numbers: list[int], stored: set[int]) -> list[Delta]:
+    return [Delta(n, tuple(read_lines(spark, f"{_feed(path)}/{n:012d}")), n in stored) for n in numbers]
+
+
 def feed(spark: SparkSession, path: str, after: int = 0) -> list[Delta]:
-    """The deltas with a number above ``after``, in order."""
-    found = sorted(int(n) for n in _names(spark, _feed(path)) if n.isdigit() and int(n) > after)
-    stored = _numbers(spark, path) if found else set()
-    return [Delta(n, tuple(read_lines(spark, f"{_feed(path)}/{n:012d}")), n in stored) for n in found]
+    """The deltas with a number above ``after``, in order. Earlier records are not read."""
+    found = [n for n in _recorded(spark, path) if n > after]
+    return _records(spark, path, found, _numbers(spark, path)) if found else []
 
 
 def newest(spark: SparkSession, path: str) -> int:
     """The number of the last finished delta, compacted or not; 0 before the first."""
-    return max((int(n) for n in _names(spark, _feed(path)) if n.isdigit()), default=0)
+    return max(_recorded(spark, path), default=0)
+
+
+def forget_changes(spark: SparkSession, path: str, upto: int) -> int:
+    """Drop the records up to a number that all followers have passed, whose deltas are folded in; returns how many.
+
+    The last record stays, for the numbers to go on from.
+    """
+    stored, known = _numbers(spark, path), _recorded(spark, path)
+    gone = [n for n in known[:-1] if n <= upto and n not in stored]
+    for n in gone:
+        remove(spark, f"{_feed(path)}/{n:012d}")
+    return len(gone)
 
 
 def read_lines(spark: SparkSession, file: str) -> list[str]:
@@ -122,13 +141,15 @@ def note_change(spark: SparkSession, path: str, values: list) -> None:
         write_lines(spark, f"{_feed(path)}/{number:012d}", names)
 
 
-def _write(shaped: DataFrame, folder: str, layout: Layout) -> None:
-    writer = layout.sorted_for_write(shaped).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _write(shaped: DataFrame, folder: str, layout: Layout, clustered: bool = False) -> None:
+    writer = layout.sorted_for_write(shaped, clustered).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(layout.partition).parquet(folder)
 
 
 def _stored(spark: SparkSession, path: str) -> list[Delta]:
-    return [d for d in feed(spark, path) if d.stored]
+    """The finished deltas beside the base."""
+    folders = _numbers(spark, path) - {_KEPT}
+    return _records(spark, path, sorted(folders.intersection(_recorded(spark, path))), folders) if folders else []
 
 
 def read_deltas(spark: SparkSession, path: str, layout: Layout, numbers: list[int]) -> DataFrame:
@@ -197,7 +218,7 @@ def compact(spark: SparkSession, path: str, layout: Layout) -> list[str]:
             tombstones = winners.where("deleted").select(*layout.schema.names, "deleted", layout.partition)
             _write(tombstones, f"{_deltas(path)}/seq={_KEPT}", layout)
         alive = winners.where(~F.col("deleted")).select(*layout.stored_schema().names)
-        _write(alive, path, layout)
+        _write(alive, path, layout, clustered=True)
         # A dynamic overwrite leaves a partition alone when no rows remain for it.
         text = F.coalesce(F.col(layout.partition).cast("string"), F.lit(NO_VALUE))
         with_rows = {r[0] for r in alive.select(text).distinct().collect()}
