@@ -114,12 +114,15 @@ def raw_tickers(spark, sf_dir):
     "tickers_parse_pages",
     ctes(LISTINGS)
     + """SELECT coin_id, exchange_id, base_symbol, target_symbol, price_usd, volume_usd_24h, 'green' AS trust_score, last_traded_at,
-      CAST(n AS INTEGER) AS pos FROM (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY pos) - 1 AS n FROM listings)
+      CAST(n AS INTEGER) AS pos FROM (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY pos, exchange_id, price_usd, volume_usd_24h,
+        base_symbol, target_symbol, last_traded_at) - 1 AS n FROM listings)
     WHERE base_symbol <> 'R' AND NOT (base_symbol = 'A' AND target_symbol = 'O')""",
 )
 def tickers_parse_pages(spark, sf_dir):
     """One response a coin with all its listings, some of which are left out."""
-    listed = F.sort_array(F.collect_list(F.struct("pos", _ticker().alias("t"))))["t"]
+    # Some positions are not unique.
+    order = ["pos", "exchange_id", "price_usd", "volume_usd_24h", "base_symbol", "target_symbol", "last_traded_at"]
+    listed = F.sort_array(F.collect_list(F.struct(*order, _ticker().alias("t"))))["t"]
     rows = shapes.listings(spark, sf_dir).groupBy("coin_id").agg(listed.alias("tickers"))
     return landed.parse_tickers(rows.select("coin_id", F.to_json(F.struct("tickers")).alias("body")))
 
