@@ -217,7 +217,7 @@ def archive_select(spark, sf_dir):
     return archive.select_archive_files(_keys(spark, sf_dir))
 
 
-def _write_zip(name: tuple, lines):
+def _write_zip(name: tuple, lines: pd.DataFrame) -> pd.DataFrame:
     """One group's CSV lines as a zip; the folder is part of the group's name."""
     folder, stem = name
     fs, inside = archive.open_uri(folder)
