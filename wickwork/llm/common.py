@@ -13,6 +13,9 @@ from wickwork.session import shared_folder
 
 BROADCAST_BYTES = 8 * 1024 * 1024
 _SLICE = 512  # rows held as Python objects at a time
+# Bytes of an Arrow batch, of which the JVM and the worker of each task hold a few.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_BYTES = 16 * 1024 * 1024
 
 _LETTERS_AND_DIGITS = b"0123456789abcdefghijklmnopqrstuvwxyz"
 
@@ -52,6 +55,9 @@ def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH).rstrip("b")) > _BATCH_BYTES:
+        conf.set(_BATCH, str(_BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 
@@ -70,15 +76,19 @@ def release_caches(but: str = "") -> None:
             clear()
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, _SLICE):
+            yield batch.slice(start, _SLICE)
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema) -> DataFrame:
     """One batch out for each slice of at most ``_SLICE`` rows, in the order of the input."""
     owner = make.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_caches(but=owner)
-        for batch in batches:
-            for start in range(0, batch.num_rows, _SLICE):
-                yield make(batch.slice(start, _SLICE))
+        yield from map(make, slices(batches))
 
     return map_in_arrow(df, run, schema)
 

@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wickwork.llm import common
-from wickwork.llm.common import cut, map_batches, map_in_arrow, register_cache, release_caches, within_broadcast
+from wickwork.llm.common import cut, map_batches, map_in_arrow, register_cache, release_caches, slices, within_broadcast
 from wickwork.llm.graph import components
 
 TREES = 10
@@ -65,6 +65,7 @@ WEIGHT = 1 << 21
 LEVELS = 4
 GROUP = 1024
 _BLOCK = 128
+_OUT_BYTES = 4 * 1024 * 1024  # shingles given to Spark at a time
 _TESTED = 64  # sets held against one at a time
 # Of 128 sketch bits, 64 * (1 - s) differ on average; five standard deviations more are let pass at s = 0.8.
 SKETCH_BITS = 34
@@ -291,20 +292,32 @@ def _confirmed(groups: DataFrame, classes: DataFrame, docs: DataFrame, size: int
     # Rows that repeat an id and text are one.
     texts = docs.join(keys, same).select("id", "s1", "s2", "comp", "groups", "text")
 
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        at, nodes, hubs, out = [], [], [], []
-        for k, (text, groups) in enumerate(zip(batch.column("text").to_pylist(), batch.column("groups").to_pylist())):
-            made = shingles(text, size).tobytes()
-            for g in groups:
-                at.append(k)
-                nodes.append(g["node"])
-                hubs.append(g["hub"])
-                out.append(made)
-        taken = batch.select(["id", "s1", "s2", "comp"]).take(pa.array(at, pa.int64()))
-        arrays = [pa.array(nodes, pa.int64()), pa.array(hubs, pa.bool_()), *taken.columns, pa.array(out, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["node", "hub", "id", "s1", "s2", "comp", "shingles"])
-
-    rows = map_batches(texts, sets, "node bigint, hub boolean, id bigint, s1 bigint, s2 bigint, comp bigint, shingles binary")
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_caches(but=__name__)
+        for batch in slices(batches):
+            ids = batch.select(["id", "s1", "s2", "comp"])
+            rows: list[tuple[int, int, bool, bytes]] = []
+            held = 0
+
+            def out() -> pa.RecordBatch:
+                at, nodes, hubs, made = (list(c) for c in zip(*rows))
+                arrays = [pa.array(nodes, pa.int64()), pa.array(hubs, pa.bool_()), *ids.take(pa.array(at, pa.int64())).columns]
+                names = ["node", "hub", "id", "s1", "s2", "comp", "shingles"]
+                return pa.RecordBatch.from_arrays([*arrays, pa.array(made, pa.binary())], names)
+
+            for k, (text, groups) in enumerate(zip(batch.column("text").to_pylist(), batch.column("groups").to_pylist())):
+                made = shingles(text, size).tobytes()
+                for g in groups:
+                    rows.append((k, g["node"], g["hub"], made))
+                    held += len(made)
+                    if held >= _OUT_BYTES:
+                        yield out()
+                        rows.clear()
+                        held = 0
+            if rows:
+                yield out()
+
+    rows = map_in_arrow(texts, sets, "node bigint, hub boolean, id bigint, s1 bigint, s2 bigint, comp bigint, shingles binary")
     rows = rows.repartition("node").sortWithinPartitions("node", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from wickwork.llm import tokens
-from wickwork.llm.common import map_in_arrow, release_caches
+from wickwork.llm.common import map_in_arrow, release_caches, slices
 from wickwork.llm.tokens import word_encoder
 
 _ROWS = 2048  # pieces in a batch of the result
@@ -120,7 +120,7 @@ def pack(
 
     def windows(batches: Iterator[pa.RecordBatch], packer: Packer) -> Iterator[list[Piece]]:
         encode = word_encoder(tokenizer).encode
-        for batch in batches:
+        for batch in slices(batches):
             for doc, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = encode(t) + end
                 yield from packer.add(Piece(doc, 0, ids, len(ids) // 4))

@@ -10,8 +10,9 @@
    equal as the records at their ends allow.
 
 The order is by key and then by a hash of the record, so a hot key is cut like any other part
-of the order. What reaches the driver is the samples and one row a range: both have a fixed
-size that does not depend on the data. No task holds more than a range.
+of the order. What reaches the driver, and stands in the plan as splitters, is one row a range
+and ``SAMPLES_PER_RANGE`` keys for each: eight ranges a shard, or one for ``ROWS_PER_RANGE`` rows where that is more.
+No task holds more than a range.
 
 Defined cases: a null key comes first. Records that are equal in all columns are ordered among
 themselves at will, which cannot be seen in the result. A null size counts as 0. An empty table gives no rows. A table
