@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -58,24 +59,43 @@ def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
     conf = df.sparkSession.conf
     if int(conf.get(_BATCH).rstrip("b")) > _BATCH_BYTES:
         conf.set(_BATCH, str(_BATCH_BYTES))
-    return df.mapInArrow(run, schema)
 
+    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
 
-_caches: dict[str, Callable[[], None]] = {}
+    return df.mapInArrow(worker, schema)
 
 
-def register_cache(owner: str, clear: Callable[[], None]) -> None:
-    """Name what empties the caches that a module keeps in a worker."""
-    _caches[owner] = clear
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+_caches: dict[str, tuple[Callable[[], None], bool]] = {}
+
+
+def register_cache(owner: str, clear: Callable[[], None], lasting: bool = False) -> None:
+    """Name what empties the caches that a module keeps in a worker; those that are ``lasting`` outlive a partition."""
+    _caches[owner] = clear, lasting
 
 
 def release_caches(but: str = "") -> None:
     """Empty the caches that other modules have left in this worker. Workers are reused, from stage to stage and job to job."""
-    for owner, clear in _caches.items():
+    for owner, (clear, _) in _caches.items():
         if owner != but:
             clear()
 
 
+def _give_back() -> None:
+    """At the end of a partition: a worker that waits for its next task holds no memory that it does not use."""
+    for clear, lasting in _caches.values():
+        if not lasting:
+            clear()
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, _SLICE):

@@ -94,7 +94,7 @@ def _clear() -> None:
         encoder.chunks.empty()
 
 
-register_cache(__name__, _clear)
+register_cache(__name__, _clear, lasting=True)
 
 
 def word_encoder(path: str) -> WordEncoder:
