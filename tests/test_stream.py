@@ -1,11 +1,12 @@
 import json
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import bronze, candle, frame, rows_of, utc
 from wickwork import layout, schemas as S
+from wickwork.catalog import streams
 from wickwork.layout import read_table
 from wickwork.operators import rollup
 from wickwork.streaming import events as E
@@ -169,3 +170,23 @@ def test_stream_windows_equal_the_batch(spark, tmp_path):
     got = read_table(spark, path, layout.GOLD_HOURLY).drop("date")
     want = rollup.ohlcv(rollup.silver(bronze(spark, rows)), "hour")
     assert rows_of(got, *want.columns) == rows_of(want, *want.columns)
+
+
+def test_streamed_batches_have_files_for_several_tasks(spark, tmp_path, monkeypatch):
+    """The number of batches is fixed; what grows with the table is the number of files in each."""
+    monkeypatch.setattr(streams, "_ROWS_PER_FILE", 50, raising=False)
+    rows = [(i, datetime(2024, 1, 1 + i % 5, i % 24), i, "click", 1.0, json.dumps({"k": 40 + i})) for i in range(600)]
+    events = spark.createDataFrame(
+        rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    )
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    batches = []
+
+    def note(batch, _):
+        batches.append(([r["message_id"] for r in batch.select("message_id").collect()], batch.rdd.getNumPartitions()))
+
+    valid, _ = streams._split(spark, str(tmp_path), 3)
+    run = valid.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).foreachBatch(note)
+    run.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(int(i) for ids, _ in batches for i in ids) == list(range(600))
+    assert len(batches) == 3 and all(tasks > 1 for _, tasks in batches)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,12 +17,15 @@ from wickwork.operators import alerts
 from wickwork.session import new_folder
 from wickwork.streaming import events as stream, watch
 
+# Events in a landed file. A file is the work of one task, so a batch has as many files as its rows need.
+_ROWS_PER_FILE = 100_000
+
 # The number in an event's properties says whether its message is spoilt, and how.
 _NUMBER = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
 
-def _messages(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
-    """The events table as a stream of candle messages; with more ``files``, as many batches in no order of time.
+def _messages(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+    """The events table as a stream of candle messages; with more ``batches``, in as many, in no order of time.
 
     Payloads carry two fields the schema does not name. The number ``k`` in an event's
     properties spoils some: below 10 the coin is missing, below 20 a time is an epoch
@@ -29,12 +33,13 @@ def _messages(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     """
     events = shapes.table(spark, sf_dir, "events")
     reader = spark.readStream.schema(events.schema)
-    if files == 1:
+    if batches == 1:
         source = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     else:
         folder = new_folder(spark, "events")
-        events.repartition(files, "event_id").write.parquet(folder)
-        source = reader.option("maxFilesPerTrigger", 1).parquet(folder)
+        files = max(1, math.ceil(events.count() / batches / _ROWS_PER_FILE))
+        events.repartition(batches * files, "event_id").write.parquet(folder)
+        source = reader.option("maxFilesPerTrigger", files).parquet(folder)
     k = F.col("k")
     columns = shapes._candle_columns(F.date_trunc("hour", F.col("ts")))
     number = F.get_json_object("props", "$.k").cast("bigint")
@@ -64,8 +69,8 @@ def _messages(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     )
 
 
-def _split(spark: SparkSession, sf_dir: str, files: int = 1) -> tuple[DataFrame, DataFrame]:
-    return stream.split_invalid(stream.parse_events(_messages(spark, sf_dir, files), "bronze"))
+def _split(spark: SparkSession, sf_dir: str, batches: int = 1) -> tuple[DataFrame, DataFrame]:
+    return stream.split_invalid(stream.parse_events(_messages(spark, sf_dir, batches), "bronze"))
 
 
 def _finish(run) -> None:
