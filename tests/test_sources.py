@@ -1,13 +1,16 @@
 import json
 import os
+import tracemalloc
 import zipfile
 from datetime import date
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 
 from helpers import rows_of, utc
 from wickwork import schemas as S
+from wickwork.catalog import sources
 from wickwork.functions.times import epoch_to_timestamp, iso_instant
 from wickwork.operators import registry, series
 from wickwork.operators.backfill import backfill_windows, work_grid
@@ -316,3 +319,19 @@ def test_series_bodies_are_parsed_once(spark):
     series = landed.parse_series(raw)
     assert series._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
     assert rows_of(series, "kind", "ts_ms", "value") == [("prices", 1, 2.0), ("total_volumes", 1, 3.0)]
+
+
+def test_an_archive_zip_is_written_in_the_memory_of_a_batch(tmp_path):
+    line = lambda i: f"{i},{LINE}"
+    batches = (pa.RecordBatch.from_pydict({"line": [line(i) for i in range(b, b + 1000)]}) for b in range(0, 200_000, 1000))
+    tracemalloc.start()
+    try:
+        made = list(sources._write_zip((pa.scalar(str(tmp_path)), pa.scalar("AUSDT-1h-2024-01")), batches))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2_000_000
+    assert [b.to_pydict() for b in made] == [{"key": [f"{tmp_path}/AUSDT-1h-2024-01.zip"]}]
+    with zipfile.ZipFile(tmp_path / "AUSDT-1h-2024-01.zip") as z:
+        assert z.namelist() == ["AUSDT-1h-2024-01.csv"]
+        assert z.read("AUSDT-1h-2024-01.csv").decode().split("\n") == [line(i) for i in range(200_000)]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import zipfile
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from wickwork import layout
@@ -217,14 +218,19 @@ def archive_select(spark, sf_dir):
     return archive.select_archive_files(_keys(spark, sf_dir))
 
 
-def _write_zip(name: tuple, lines: pd.DataFrame) -> pd.DataFrame:
-    """One group's CSV lines as a zip; the folder is part of the group's name."""
-    folder, stem = name
+def _write_zip(name: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One group's CSV lines as a zip, packed a batch at a time; the folder is part of the group's name."""
+    folder, stem = (part.as_py() for part in name)
     fs, inside = archive.open_uri(folder)
     fs.create_dir(inside, recursive=True)
     with fs.open_output_stream(f"{inside}/{stem}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as packed:
-        packed.writestr(f"{stem}.csv", "\n".join(lines["line"]))
-    return pd.DataFrame({"key": [f"{folder}/{stem}.zip"]})
+        # The length is not known beforehand and may pass what a header without zip64 holds.
+        with packed.open(f"{stem}.csv", "w", force_zip64=True) as entry:
+            between = ""
+            for batch in batches:
+                entry.write((between + "\n".join(batch.column("line").to_pylist())).encode())
+                between = "\n"
+    yield pa.RecordBatch.from_pydict({"key": [f"{folder}/{stem}.zip"]})
 
 
 def _write_archive(candles, folder: str) -> int:
@@ -234,7 +240,7 @@ def _write_archive(candles, folder: str) -> int:
     cells = [unit("open_time"), *[F.col(c) for c in names], unit("close_time"), F.col("quote_volume"), F.col("trade_count"), F.lit("0")]
     stem = F.concat(F.upper("coin_id"), F.lit("USDT-1h-"), F.date_format("open_time", "yyyy-MM"))
     lines = candles.select(F.lit(folder).alias("folder"), stem.alias("stem"), F.concat_ws(",", *[c.cast("string") for c in cells]).alias("line"))
-    return lines.groupBy("folder", "stem").applyInPandas(_write_zip, "key string").count()
+    return lines.groupBy("folder", "stem").applyInArrow(_write_zip, "key string").count()
 
 
 @query(
