@@ -102,3 +102,18 @@ def test_documents_round_trip(docs, prose, clashing):
 
 def test_empty_table(docs):
     assert pack(docs([]), PATH).count() == 0
+
+
+def test_signs_and_case_make_no_words_of_their_own():
+    encoder, texts = WordEncoder(PATH), ["House, house. (house)\thouse!\n", "HOUSE&&& 'house' it's"]
+    for text in texts:
+        ids = np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encode(text) == ids
+    assert not encoder.chunks
+    assert sorted(encoder.pieces) == sorted([",", "house", ".", "(", ")", "!", "&&&", "'", "it", "'s"])
+
+
+@pytest.mark.parametrize("text", ["a\x0bb,\x0cc\r\nd", "don't I'LL ÀÉß÷×", "x <|endoftext|> y", "a\x1cb\x85c\xa0d", "naïve – ’tis 日本"])
+def test_plain_and_other_texts_have_the_ids_of_the_tokenizer(text):
+    encoder = WordEncoder(PATH)
+    assert encoder.encode(text) == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -1,10 +1,11 @@
 """Byte-pair ids of whole texts by a public tokenizer file, with a bounded cache of words.
 
 ``word_bpe`` files drop white space and never join letters across it, so a text's ids are
-those of its white-space separated chunks in a row. A worker keeps the ids of chunks it has
-seen. Chunks of plain Latin letters, digits and ASCII signs are split here as the file's own
-pattern splits them and their pieces go to its merges directly; all others go through the
-whole tokenizer.
+those of its white-space separated chunks in a row. Texts and chunks of plain Latin letters,
+digits and ASCII signs are split here as the file's own pattern splits them and their pieces go
+to its merges directly; all other chunks go through the whole tokenizer. A worker keeps the ids
+of pieces it has seen, and of chunks where a text is not plain as a whole: pieces recur more
+often than chunks, to which signs stick.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from wickwork.llm.common import register_cache
 
 _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-# The file's split pattern, for chunks that _PLAIN matches, in lower case.
-_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+_PLAIN_TEXT = re.compile("[\\t-\\r -~À-ÖØ-öø-ÿ]*")
+# The file's split pattern, for what _PLAIN or _PLAIN_TEXT matches, in lower case.
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -82,6 +84,8 @@ class WordEncoder:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
+        if text and _PLAIN_TEXT.fullmatch(text) and not any(s in text for s in self.special):
+            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
         return b"".join(map(self.chunks.__getitem__, text.encode().split())) if text else b""
 
 
